@@ -219,12 +219,12 @@ def orphan_products(r):
 
 @query
 def fk_quarantine(r):
-    accepted, rejected = quality.fk_quarantine(
+    """Every line with the reason it is rejected for, if any; one pass serves both sides."""
+    flagged = quality.flag_references(
         r.raw_items,
         {"order_id": (r.orders, "order_id"), "product_name": (r.product_lookup, "product_name")},
     )
-    both = accepted.withColumn("reject_reason", F.lit("")).unionByName(rejected)
-    return as_double(both, "quantity", "unit_price_at_order")
+    return as_double(flagged, "quantity", "unit_price_at_order").fillna("", "reject_reason")
 
 
 @query
@@ -309,6 +309,11 @@ def _features(r):
     return features.finalize_features(features.build_features(_grid(r)))
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """A frame read more than once: series x days rows, far fewer than lines."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 @query
 def daily_sales(r):
     daily = features.daily_sales(r.items, r.orders)
@@ -356,7 +361,8 @@ def chronological_split(r):
 
 @query
 def leakage_checks(r):
-    return features.leakage_checks(*features.chronological_split(_features(r), SPLIT_DATE))
+    kept = _kept(_features(r))
+    return features.leakage_checks(*features.chronological_split(kept, SPLIT_DATE))
 
 
 @query
@@ -378,7 +384,7 @@ def _rounded(metrics: DataFrame) -> DataFrame:
 
 @query
 def mean_baseline(r):
-    train_rows, test_rows = _split(r)
+    train_rows, test_rows = features.chronological_split(_kept(_features(r)), SPLIT_DATE)
     return _rounded(
         models.regression_metrics(models.mean_baseline(train_rows, test_rows), "mean_baseline")
     )
@@ -456,11 +462,12 @@ def erratic_flag(r):
 
 @query
 def inventory_report(r):
+    grid = _kept(_grid(r))
     return restock.inventory_report(
-        _features(r),
+        features.finalize_features(features.build_features(grid)),
         forecast.rolling_mean_predictor,
         restock.current_stock(r.series_stock),
-        restock.erratic_from_history(_grid(r), ERRATIC_SHARE),
+        restock.erratic_from_history(grid, ERRATIC_SHARE),
         step_digits=STEP_DIGITS,
     )
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from storecast.operators.features import FESTIVAL_MONTHS, WEEKEND_DAYS
 from storecast.session import shared_root
 
 WEEK = 7
+STEPS_TYPE = "array<struct<horizon:int,prediction:double>>"
 # Lineage of a longer model-driven horizon is cut this often.
 STEPS_PER_CHECKPOINT = 14
 
@@ -34,7 +36,8 @@ def last_value_predictor(features: dict[str, Column]) -> Column:
 
 
 def recent_state(history: DataFrame, series: str = "series") -> DataFrame:
-    """(series, recent): the last seven quantities, oldest first; fewer if history is short.
+    """(series, recent, last_day): the last seven quantities, oldest first, and the day
+    of the newest; fewer if history is short.
 
     The rank filter lets Spark keep seven rows per series before the shuffle.
     """
@@ -44,9 +47,38 @@ def recent_state(history: DataFrame, series: str = "series") -> DataFrame:
         .withColumn("age", F.row_number().over(newest))
         .where(F.col("age") <= WEEK)
     )
-    kept = F.sort_array(F.collect_list(F.struct("order_date", F.col("quantity").cast("double").alias("quantity"))))
-    return last.groupBy(series).agg(kept.alias("kept")).select(
-        series, F.transform("kept", lambda row: row["quantity"]).alias("recent")
+    row = F.struct("order_date", F.col("quantity").cast("double").alias("quantity"))
+    kept = last.groupBy(series).agg(F.sort_array(F.collect_list(row)).alias("kept"))
+    return kept.select(
+        series,
+        F.transform("kept", lambda r: r["quantity"]).alias("recent"),
+        F.element_at("kept", -1)["order_date"].alias("last_day"),
+    )
+
+
+def _start_state(history: DataFrame, series: str) -> DataFrame:
+    """State with `first_day`, the day after the newest day of any series, and an empty `out`.
+
+    Kept, since it is read for that day and for the forecast: one row per series,
+    against a second pass over the whole history.
+    """
+    state = recent_state(history, series).persist(StorageLevel.MEMORY_AND_DISK)
+    newest = state.agg(F.max("last_day")).scalar()
+    return state.select(
+        series,
+        "recent",
+        F.date_add(newest, 1).alias("first_day"),
+        F.expr(f"cast(array() as {STEPS_TYPE})").alias("out"),
+    )
+
+
+def _result(state: DataFrame, series: str, steps: Column) -> DataFrame:
+    return state.select(series, "first_day", F.inline(steps)).select(
+        series,
+        F.date_add(F.col("first_day"), F.col("horizon") - 1).alias("order_date"),
+        "horizon",
+        "prediction",
+        round_half_even(F.col("prediction"), 2).alias("predicted_quantity"),
     )
 
 
@@ -75,11 +107,6 @@ def _push(recent: Column, value: Column) -> Column:
     return F.slice(longer, F.greatest(F.size(longer) - (WEEK - 1), F.lit(1)), WEEK)
 
 
-def _first_day(history: DataFrame) -> Column:
-    """The day after the newest day of any series."""
-    return F.date_add(history.agg(F.max("order_date")).scalar(), 1)
-
-
 def forecast_with_columns(
     history: DataFrame,
     predictor: Predictor,
@@ -93,7 +120,6 @@ def forecast_with_columns(
     plan does not grow with the horizon. `step_digits` rounds the value that is
     fed back; `predicted_quantity` is the output at two digits.
     """
-    state = recent_state(history, series).withColumn("first_day", _first_day(history))
 
     def step(acc: Column, h: Column) -> Column:
         day = F.date_add(F.col("first_day"), h - 1)
@@ -112,28 +138,18 @@ def forecast_with_columns(
         )
         return bound[0]
 
-    start = F.struct(
-        F.col("recent").alias("recent"),
-        F.expr("cast(array() as array<struct<horizon:int,prediction:double>>)").alias("out"),
-    )
-    steps = F.sequence(F.lit(1), F.lit(n_days))
-    folded = F.aggregate(steps, start, step, lambda acc: acc["out"])
-    return state.select(series, "first_day", F.inline(folded)).select(
-        series,
-        F.date_add(F.col("first_day"), F.col("horizon") - 1).alias("order_date"),
-        "horizon",
-        "prediction",
-        round_half_even(F.col("prediction"), 2).alias("predicted_quantity"),
-    )
+    start = F.struct("recent", "out")
+    days = F.sequence(F.lit(1), F.lit(n_days))
+    steps = F.aggregate(days, start, step, lambda acc: acc["out"])
+    return _result(_start_state(history, series), series, steps)
 
 
 def forecast_with_model(
     history: DataFrame, model: PipelineModel, n_days: int = 7, series: str = "series"
 ) -> DataFrame:
     """Same result columns from a fitted pipeline; one batch transform per day ahead."""
-    spark = history.sparkSession
-    state = recent_state(history, series).withColumn("first_day", _first_day(history))
-    state = state.withColumn("out", F.expr("cast(array() as array<struct<horizon:int,prediction:double>>)"))
+    context = history.sparkSession.sparkContext
+    state = _start_state(history, series)
     for h in range(1, n_days + 1):
         day = F.date_add(F.col("first_day"), h - 1)
         features = {**_lags(F.col("recent")), **_calendar(day)}
@@ -146,16 +162,10 @@ def forecast_with_model(
             F.concat("out", F.array(step)).alias("out"),
         )
         if h % STEPS_PER_CHECKPOINT == 0 and h < n_days:
-            if spark.sparkContext.getCheckpointDir() is None:
-                spark.sparkContext.setCheckpointDir(shared_root(spark))
+            if context.getCheckpointDir() is None:
+                context.setCheckpointDir(shared_root(history.sparkSession))
             state = state.checkpoint()
-    return state.select(series, "first_day", F.inline("out")).select(
-        series,
-        F.date_add(F.col("first_day"), F.col("horizon") - 1).alias("order_date"),
-        "horizon",
-        "prediction",
-        round_half_even(F.col("prediction"), 2).alias("predicted_quantity"),
-    )
+    return _result(state, series, F.col("out"))
 
 
 def forecast(

@@ -7,14 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Width of a key block: a cell of (group, block) holds at most this many keys.
-BLOCK = 65536
+# A key block spans 2^16 keys, so a cell of (group, block) holds at most that many.
+BLOCK_BITS = 16
 
 
-def key_block(key: str | Column, width: int = BLOCK) -> Column:
+def key_block(key: str) -> Column:
     """Block number of an integer key; grows with the key."""
-    column = F.col(key) if isinstance(key, str) else key
-    return F.floor(column.cast("decimal(20,0)") / F.lit(width)).cast("long")
+    return F.shiftright(F.col(key).cast("long"), BLOCK_BITS)
 
 
 def join_cells(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

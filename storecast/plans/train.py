@@ -21,8 +21,10 @@ from storecast.operators.models import (
     regression_metrics,
 )
 
-# Rows per partition of a training frame; every tree level is a job over all of them.
-TRAIN_ROWS_PER_PARTITION = 250_000
+# Rows per task of a training frame, which every tree level reads: at most the first
+# figure; down to the second while that keeps cores busy.
+TRAIN_ROWS_PER_TASK = 250_000
+SMALL_TASK_ROWS = 1_000
 
 
 def demand_grid(
@@ -42,16 +44,16 @@ def demand_features(
     )
 
 
-def training_frame(features: DataFrame) -> DataFrame:
-    """Persisted, in as many partitions as its size calls for: models read it many times."""
+def training_frame(features: DataFrame, series: str = "series") -> DataFrame:
+    """Persisted and spread over as many tasks as its size calls for."""
     kept = features.persist(StorageLevel.MEMORY_AND_DISK)
-    parts = max(1, -(-kept.count() // TRAIN_ROWS_PER_PARTITION))
-    if parts >= kept.rdd.getNumPartitions():
-        return kept
-    narrow = kept.coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK)
-    narrow.count()
+    rows = kept.count()
+    cores = kept.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, rows // TRAIN_ROWS_PER_TASK, min(cores, rows // SMALL_TASK_ROWS))
+    spread = kept.repartition(tasks, series, "order_date").persist(StorageLevel.MEMORY_AND_DISK)
+    spread.count()
     kept.unpersist()
-    return narrow
+    return spread
 
 
 def choose_model(
