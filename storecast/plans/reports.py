@@ -267,9 +267,9 @@ def full_report(
 ) -> DataFrame:
     """All seven reports in one long frame: section, label, metric, value.
 
-    Lines are read twice, not seven times: once per product and period, once per
-    order. Both aggregates are kept for the sections that share them; they hold
-    one row per product and one per month and customer.
+    Lines are read twice, not seven times. The four product sections share one kept
+    aggregate of a row per product; the month and customer sections start from the
+    same shuffle of lines per order, which Spark reuses.
     """
     zero = F.lit(0).cast("decimal(12,2)")
     per_product = (
@@ -285,15 +285,6 @@ def full_report(
         )
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    per_month_customer = (
-        order_sales(items, orders)
-        .groupBy(F.date_format("order_date", "yyyy-MM").alias("month"), "customer_id")
-        .agg(
-            F.countDistinct("order_id").alias("total_orders"),
-            F.sum("revenue").alias("revenue"),
-        )
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
     trend = per_product.select(
         "product_id",
         "q1_quantity",
@@ -317,14 +308,9 @@ def full_report(
         .orderBy(F.col("days_of_stock_remaining").asc_nulls_last(), "product_id")
         .limit(low_stock_rows)
     )
-    monthly = per_month_customer.groupBy("month").agg(
-        F.sum("revenue").alias("total_revenue"), F.sum("total_orders").alias("total_orders")
-    )
-    per_customer = (
-        per_month_customer.where(F.col("customer_id") != UNKNOWN_CUSTOMER)
-        .groupBy("customer_id")
-        .agg(F.sum("total_orders").alias("total_orders"), F.sum("revenue").alias("revenue"))
-    )
+    monthly = _monthly(order_sales(items, orders))
+    known = orders.where(F.col("customer_id") != UNKNOWN_CUSTOMER)
+    per_customer = customer_sales(order_sales(items, known))
     totals = ["total_quantity_sold", "total_revenue"]
     listed = products.select("product_id")
     sections = [
