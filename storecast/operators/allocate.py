@@ -161,7 +161,7 @@ def proportional_allocation(
         rows = blocked
         added = F.when(F.col(key) == F.col("group_last"), F.col("rest"))
     else:
-        rows = blocked.withColumn("position", number_in_cell([*group, "weight"], "block", [key]))
+        rows = blocked.withColumn("position", number_in_cell([*group, "weight"], ["block"], [key]))
         added = F.when(F.col("position") <= F.col("extra"), F.lit(1))
     cents = F.col("cents") + F.coalesce(added, F.lit(0))
     allocated = join_cells(rows, lookup, cell).select(

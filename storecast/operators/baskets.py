@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import takewhile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -11,6 +12,8 @@ from pyspark.sql import types as T
 
 from storecast.operators.ranking import cell_counts, join_cells, key_block, number_in_cell
 
+INTEGERS = {"tinyint", "smallint", "int", "bigint"}
+
 
 def basket_starts(counts: DataFrame, group: Sequence[str], product: str, capacity: int) -> DataFrame:
     """Add `first_basket`: how many baskets of the group are full before each product.
@@ -56,18 +59,24 @@ def assemble_baskets(
     room and without that product; products are served in order of `product`.
 
     Adds `basket_no` and `basket_line`, both from 1. `order` sorts the portions of a
-    product; its first column is an integer. Only the number of portions per group
-    and product is scanned in sequence, so that scan is as long as the product list.
+    product. Its leading integer columns, two at most, come as blocks of keys first:
+    portions are numbered block by block, so one product of one day, or one order in
+    it, may hold any number of them. Only the number of portions per group and
+    product is scanned in sequence; that scan is as long as the product list.
     """
     group = list(group)
     cell = [*group, product]
-    blocked = portions.withColumn("__block", key_block(order[0]))
-    cells = cell_counts(blocked, cell, "__block")
+    kinds = dict(portions.dtypes)
+    # Two levels: an order with very many lines is itself split by line number.
+    leading = list(takewhile(lambda c: kinds[c] in INTEGERS, order))[:2]
+    blocks = [f"__block{i}" for i in range(len(leading))]
+    blocked = portions.withColumns({b: key_block(c) for b, c in zip(blocks, leading)})
+    cells = cell_counts(blocked, cell, blocks)
     sizes = cells.groupBy(*cell).agg(F.sum("n").alias("portions"))
     starts = basket_starts(sizes, group, product, capacity).drop("portions")
     offsets = join_cells(cells.drop("n"), starts, cell)
-    numbered = blocked.withColumn("__position", number_in_cell(cell, "__block", order))
-    placed = join_cells(numbered, offsets, [*cell, "__block"]).select(
+    numbered = blocked.withColumn("__position", number_in_cell(cell, blocks, order))
+    placed = join_cells(numbered, offsets, [*cell, *blocks]).select(
         *portions.columns,
         (F.col("first_basket") + F.col("before") + F.col("__position")).alias("basket_no"),
     )

@@ -23,18 +23,18 @@ def join_cells(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFr
     return left.join(renamed, match).drop(*[f"__r_{k}" for k in keys])
 
 
-def cell_counts(df: DataFrame, group: Sequence[str], block: str) -> DataFrame:
-    """(group, block, n, before): rows of each cell, and of the cells before it in its group.
+def cell_counts(df: DataFrame, group: Sequence[str], blocks: Sequence[str]) -> DataFrame:
+    """(group, blocks, n, before): rows of each cell, and of the cells before it in its group.
 
     The window sees one row per cell, not one per input row.
     """
     earlier = (
-        Window.partitionBy(*group).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*group).orderBy(*blocks).rowsBetween(Window.unboundedPreceding, -1)
     )
-    cells = df.groupBy(*group, block).agg(F.count(F.lit(1)).alias("n"))
+    cells = df.groupBy(*group, *blocks).agg(F.count(F.lit(1)).alias("n"))
     return cells.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0).cast("long")))
 
 
-def number_in_cell(group: Sequence[str], block: str, order: Sequence[str]) -> Column:
+def number_in_cell(group: Sequence[str], blocks: Sequence[str], order: Sequence[str]) -> Column:
     """1-based position inside a cell; add the cell's `before` for that in the group."""
-    return F.row_number().over(Window.partitionBy(*group, block).orderBy(*order)).cast("long")
+    return F.row_number().over(Window.partitionBy(*group, *blocks).orderBy(*order)).cast("long")

@@ -57,33 +57,32 @@ def append_table(
     writer.saveAsTable(table)
 
 
-def publish_tables(
-    spark: SparkSession,
-    tables: Mapping[str, DataFrame],
-    root: str,
-    partition_by: Mapping[str, str] | None = None,
-) -> int:
-    """Full refresh of a table set: write a new version, read it back, then publish it.
-
-    Every table goes to a folder of its own version. The manifest row set is
-    appended last, in one commit, so readers see the old version or the new one
-    and never a half-written mix. Returns the version number.
-    """
-    partition_by = partition_by or {}
+def stage_tables(
+    spark: SparkSession, tables: Mapping[str, DataFrame], root: str
+) -> tuple[int, dict[str, DataFrame]]:
+    """Write tables into a new version folder nobody reads yet: (version, written tables)."""
     version = int(dt.datetime.now(dt.timezone.utc).timestamp() * 1_000_000)
-    manifest = []
+    staged = {}
     for name, df in tables.items():
         path = f"{root}/version={version}/{name}"
-        writer = df.write.mode("errorifexists")
-        if name in partition_by:
-            writer = writer.partitionBy(partition_by[name])
-        writer.parquet(path)
-        manifest.append((version, name, spark.read.parquet(path).count()))
+        df.write.mode("errorifexists").parquet(path)
+        staged[name] = spark.read.schema(df.schema).parquet(path)
+    return version, staged
+
+
+def publish_version(
+    spark: SparkSession, root: str, version: int, staged: Mapping[str, DataFrame]
+) -> None:
+    """Make a staged version the current one: append its row counts to the manifest.
+
+    That append is one commit, so readers see the old version or the new one and
+    never a half-written mix.
+    """
+    manifest = [(version, name, df.count()) for name, df in staged.items()]
     schema = "version bigint, table_name string, row_count bigint"
     spark.createDataFrame(manifest, schema).coalesce(1).write.mode("append").parquet(
         f"{root}/manifest"
     )
-    return version
 
 
 def published_manifest(spark: SparkSession, root: str) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.queries import REGISTRY
-from storecast.operators import allocate, features
+from storecast.operators import allocate, features, forecast
 from storecast.plans import reports
 from tests.conftest import SMALL
 
@@ -94,6 +94,16 @@ def test_customer_totals_aggregate_before_the_customer_join(retail):
     assert re.search(r"Exchange hashpartitioning\(order_id.*\n.*HashAggregate\(keys=\[order_id", plan)
 
 
+def test_last_week_is_cut_before_the_shuffle(spark):
+    history = spark.read.parquet(f"{SMALL}/events.parquet").select(
+        F.col("event_type").alias("series"),
+        F.col("ts").cast("date").alias("order_date"),
+        F.col("value").alias("quantity"),
+    )
+    plan = plan_of(forecast.recent_state(history))
+    assert re.search(r"Exchange hashpartitioning\(series.*\n.*WindowGroupLimit .*Partial", plan)
+
+
 @pytest.fixture
 def shuffled(spark):
     """Sort-merge joins and small skew thresholds, as large inputs would have them."""
