@@ -200,10 +200,17 @@ def price_sanity(r):
     )
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """A frame read more than once, computed once: cleaned tables, or the dense grid."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 @query
 def validate_cleaned(r):
     return quality.validate_cleaned(
-        load.clean_orders(r.raw_orders), quality.dedup_order_items(r.raw_items), r.product_lookup
+        _kept(load.clean_orders(r.raw_orders)),
+        _kept(quality.dedup_order_items(r.raw_items)),
+        r.product_lookup,
     )
 
 
@@ -232,8 +239,8 @@ def constraint_report(r):
     return quality.constraint_report(
         {
             "customers": r.customers,
-            "orders": load.clean_orders(r.raw_orders),
-            "order_items": load.clean_order_items(r.raw_items, r.product_lookup),
+            "orders": _kept(load.clean_orders(r.raw_orders)),
+            "order_items": _kept(load.clean_order_items(r.raw_items, r.product_lookup)),
         }
     )
 
@@ -309,11 +316,6 @@ def _features(r):
     return features.finalize_features(features.build_features(_grid(r)))
 
 
-def _kept(df: DataFrame) -> DataFrame:
-    """A frame read more than once: series x days rows, far fewer than lines."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 @query
 def daily_sales(r):
     daily = features.daily_sales(r.items, r.orders)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storecast.functions import calendar_days, clip_low, pct_change
-from storecast.operators.ranking import join_cells, key_block, number_in_cell
+from storecast.operators.ranking import cell, key_block, number_in_cell
 
 CENTS = "decimal(14,0)"
 DAYS_PER_YEAR = 365.0
@@ -155,16 +155,16 @@ def proportional_allocation(
             "extra", F.least(F.greatest(F.col("spare") - F.col("before"), F.lit(0)), F.col("n"))
         )
         added_columns = ["extra"]
-    lookup = plan.select(*group, "weight", "block", "cents", *added_columns)
-    cell = [*group, "weight", "block"]
+    cell_columns = [*group, "weight", "block"]
+    lookup = plan.select(cell(cell_columns).alias("cell"), "cents", *added_columns)
+    rows = blocked.select(*group, key, "weight", cell(cell_columns).alias("cell"))
     if mode == "last":
-        rows = blocked
         added = F.when(F.col(key) == F.col("group_last"), F.col("rest"))
     else:
-        rows = blocked.withColumn("position", number_in_cell([*group, "weight"], ["block"], [key]))
+        rows = rows.withColumn("position", number_in_cell("cell", [key]))
         added = F.when(F.col("position") <= F.col("extra"), F.lit(1))
     cents = F.col("cents") + F.coalesce(added, F.lit(0))
-    allocated = join_cells(rows, lookup, cell).select(
+    allocated = rows.join(lookup, "cell").select(
         *group, key, "weight", (cents.cast(CENTS) / 100).cast("decimal(12,2)").alias("allocated")
     )
     return allocated.withColumn("non_positive", F.col("allocated") <= 0), rejected

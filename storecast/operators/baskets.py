@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from storecast.operators.ranking import cell_counts, join_cells, key_block, number_in_cell
+from storecast.operators.ranking import cell, cell_counts, key_block, number_in_cell
 
 INTEGERS = {"tinyint", "smallint", "int", "bigint"}
 
@@ -64,21 +64,28 @@ def assemble_baskets(
     it, may hold any number of them. Only the number of portions per group and
     product is scanned in sequence; that scan is as long as the product list.
     """
-    group = list(group)
-    cell = [*group, product]
+    group, served = list(group), [*group, product]
     kinds = dict(portions.dtypes)
     # Two levels: an order with very many lines is itself split by line number.
     leading = list(takewhile(lambda c: kinds[c] in INTEGERS, order))[:2]
     blocks = [f"__block{i}" for i in range(len(leading))]
     blocked = portions.withColumns({b: key_block(c) for b, c in zip(blocks, leading)})
-    cells = cell_counts(blocked, cell, blocks)
-    sizes = cells.groupBy(*cell).agg(F.sum("n").alias("portions"))
-    starts = basket_starts(sizes, group, product, capacity).drop("portions")
-    offsets = join_cells(cells.drop("n"), starts, cell)
-    numbered = blocked.withColumn("__position", number_in_cell(cell, blocks, order))
-    placed = join_cells(numbered, offsets, [*cell, *blocks]).select(
-        *portions.columns,
-        (F.col("first_basket") + F.col("before") + F.col("__position")).alias("basket_no"),
+    cells = cell_counts(blocked, served, blocks)
+    sizes = cells.groupBy(*served).agg(F.sum("n").alias("portions"))
+    starts = basket_starts(sizes, group, product, capacity)
+    offsets = (
+        cells.withColumn("__served", cell(served))
+        .join(starts.select(cell(served).alias("__served"), "first_basket"), "__served")
+        .select(
+            cell([*served, *blocks]).alias("__cell"),
+            (F.col("first_basket") + F.col("before")).alias("__offset"),
+        )
+    )
+    numbered = blocked.select(
+        *portions.columns, cell([*served, *blocks]).alias("__cell")
+    ).withColumn("__position", number_in_cell("__cell", order))
+    placed = numbered.join(offsets, "__cell").select(
+        *portions.columns, (F.col("__offset") + F.col("__position")).alias("basket_no")
     )
     within = Window.partitionBy(*group, "basket_no").orderBy(product)
     return placed.withColumn("basket_line", F.row_number().over(within))

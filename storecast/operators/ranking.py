@@ -16,11 +16,10 @@ def key_block(key: str) -> Column:
     return F.shiftright(F.col(key).cast("long"), BLOCK_BITS)
 
 
-def join_cells(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join on `keys` where NULL equals NULL; keys come from the left."""
-    renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
-    match = [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys]
-    return left.join(renamed, match).drop(*[f"__r_{k}" for k in keys])
+def cell(columns: Sequence[str]) -> Column:
+    """Columns as one key. A struct is never NULL and NULL fields in it are equal, so rows
+    without a value are not lost in a join, and a join reuses the shuffle of a window."""
+    return F.struct(*[F.col(c) for c in columns])
 
 
 def cell_counts(df: DataFrame, group: Sequence[str], blocks: Sequence[str]) -> DataFrame:
@@ -35,6 +34,6 @@ def cell_counts(df: DataFrame, group: Sequence[str], blocks: Sequence[str]) -> D
     return cells.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0).cast("long")))
 
 
-def number_in_cell(group: Sequence[str], blocks: Sequence[str], order: Sequence[str]) -> Column:
+def number_in_cell(key: str, order: Sequence[str]) -> Column:
     """1-based position inside a cell; add the cell's `before` for that in the group."""
-    return F.row_number().over(Window.partitionBy(*group, *blocks).orderBy(*order)).cast("long")
+    return F.row_number().over(Window.partitionBy(key).orderBy(*order)).cast("long")
