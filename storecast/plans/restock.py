@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from storecast.functions import clip_low, round_half_even, round_to_multiple
 from storecast.operators.forecast import Predictor, forecast
+from storecast.operators.models import load_model
 
 
 def current_stock(inventory: DataFrame, series: str = "series") -> DataFrame:
@@ -108,3 +109,26 @@ def inventory_report(
         .withColumn("review_note", F.when(review, "erratic demand: review by hand").otherwise(""))
         .orderBy(F.desc("needs_reorder"), series)
     )
+
+
+def restock_from_saved(
+    path: str,
+    history: DataFrame,
+    inventory: DataFrame,
+    parameters: DataFrame,
+    lead_time_days: int = 7,
+    order_coverage_days: int = 30,
+    round_to: int = 5,
+    series: str = "series",
+) -> DataFrame:
+    """The report with a stored model, the stock table and the demand parameters."""
+    return inventory_report(
+        history,
+        load_model(path),
+        current_stock(inventory, series),
+        erratic_from_parameters(parameters, series),
+        lead_time_days,
+        order_coverage_days,
+        round_to,
+        series,
+    )

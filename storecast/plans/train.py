@@ -17,8 +17,10 @@ from storecast.operators.features import (
 from storecast.operators.models import (
     compare_models,
     default_regressors,
+    feature_importance,
     fit_model,
     regression_metrics,
+    save_model,
 )
 
 # Rows per task of a training frame, which every tree level reads: at most the first
@@ -73,3 +75,22 @@ def choose_model(
     best = table.where(F.col("model").isin(list(regressors))).orderBy("rmse", "model").first().model
     model = fit_model(train, regressors[best], series)
     return best, model, regression_metrics(model.transform(test), best)
+
+
+def train_and_save(
+    features: DataFrame,
+    path: str,
+    split_date: str = "2025-11-15",
+    keep: str = "random_forest_best",
+    regressors: dict | None = None,
+    series: str = "series",
+) -> tuple[DataFrame, DataFrame]:
+    """Fit and compare all regressors and both baselines, and store the one named `keep`.
+
+    Returns the metrics on the test days and the feature importance of the kept
+    model, which is a tree model.
+    """
+    train, test = chronological_split(training_frame(features, series), split_date)
+    table, fitted = compare_models(train, test, regressors, series)
+    save_model(fitted[keep], path)
+    return table, feature_importance(fitted[keep], features.sparkSession, series=series)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from storecast.functions import portable_hash
 from storecast.operators import allocate, features, models
+from storecast.plans import restock
 from storecast.plans import train as training
 from storecast.session import scratch_path
 
@@ -111,6 +112,29 @@ def test_choice_never_looks_at_the_test_days(split):
     assert metrics.first().rows == 12 * 47
 
 
+def test_train_store_and_restock(spark, split):
+    frame = split[0].unionAll(split[1])
+    path = scratch_path(spark, "model")
+    table, importance = training.train_and_save(
+        frame,
+        path,
+        keep="forest",
+        regressors={"forest": models.random_forest(max_depth=5, min_leaf=5, trees=5)},
+    )
+    assert {r.model for r in table.collect()} == {"mean_baseline", "naive_lag_baseline", "forest"}
+    assert importance.count() == 15
+    series = frame.select("series").distinct()
+    stock = series.withColumn("stock_available", F.lit(30).cast("decimal(12,2)"))
+    erratic = series.withColumn("zero_order_prob", F.lit(0.2))
+    report = restock.restock_from_saved(path, frame, stock, erratic).collect()
+    assert len(report) == 12
+    for r in report:
+        assert r.needs_reorder == (r.reorder_point >= 30)
+        assert bool(r.review_note) == r.needs_reorder
+        wanted = max(0.0, r.predicted_daily_demand * 30 - 30) if r.needs_reorder else 0.0
+        assert abs(r.recommended_order_qty - wanted) <= 2.5
+
+
 def test_default_configurations():
     made = models.default_regressors()
     assert list(made) == [
