@@ -22,6 +22,25 @@ def test_query_equals_sql(spark, duck, name):
     assert compare(spark, duck, SMALL, name) == ""
 
 
+@pytest.mark.parametrize(
+    "name",
+    [
+        "full_report",
+        "low_stock_risk",
+        "fk_quarantine",
+        "clean_order_items",
+        "inventory_report",
+        "proportional_allocation",
+        "proportional_allocation_remainder",
+        "assemble_baskets",
+    ],
+)
+def test_query_equals_sql_without_broadcasts(spark, duck, shuffled, name):
+    """As with inputs too large to broadcast, and with partitions split for skew."""
+    spark.catalog.clearCache()
+    assert compare(spark, duck, SMALL, name) == ""
+
+
 def test_entry(spark):
     import __spark_entry__ as contract
 

@@ -104,25 +104,6 @@ def test_last_week_is_cut_before_the_shuffle(spark):
     assert re.search(r"Exchange hashpartitioning\(series.*\n.*WindowGroupLimit .*Partial", plan)
 
 
-@pytest.fixture
-def shuffled(spark):
-    """Sort-merge joins and small skew thresholds, as large inputs would have them."""
-    changed = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-    }
-    before = {k: spark.conf.get(k, None) for k in changed}
-    for key, value in changed.items():
-        spark.conf.set(key, value)
-    yield
-    for key, value in before.items():
-        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-
-
 def hot_items(spark):
     """60,000 lines; a third of them belong to order 1."""
     hot = F.col("id") % 3 == 0
@@ -173,3 +154,37 @@ def test_hot_group_allocation_adds_up(spark, shuffled):
     assert re.search(r"hashpartitioning\(g#\d+, .*block#\d+L, 8\)", plan_of(allocated))
     sums = {r.g: float(r[1]) for r in allocated.groupBy("g").agg(F.sum("allocated")).collect()}
     assert sums == {1: 1000.0, 2: 1000.0}
+
+
+def test_lines_per_order_are_shuffled_once(retail, shuffled):
+    """Aggregate, join and distinct count share one partitioning of the lines."""
+    plan = plan_of(reports.revenue_trends(retail.items, retail.orders))
+    assert "SortMergeJoin" in plan
+    assert len(re.findall(r"Exchange hashpartitioning\(order_id", plan)) == 2
+    by_region = plan_of(
+        reports.region_performance(retail.items, retail.orders, retail.customers)
+    )
+    assert len(re.findall(r"Exchange hashpartitioning\(order_id", by_region)) == 2
+
+
+def test_full_report_reads_lines_twice(retail, shuffled):
+    from storecast.sources.retail import BASE_PERIOD, COMPARE_PERIOD, RECENT_PERIOD
+
+    report = reports.full_report(
+        retail.items,
+        retail.orders,
+        retail.products,
+        retail.categories,
+        retail.customers,
+        retail.stock,
+        BASE_PERIOD,
+        COMPARE_PERIOD,
+        RECENT_PERIOD,
+    )
+    report.collect()
+    final = plan_of(report).split("\n+- == Initial Plan ==")[0]
+    # Three sections start from lines per order: one shuffles them, two reuse that.
+    assert len(re.findall(r"ReusedExchange \[order_id#\d+L, sum", final)) == 2
+    assert len(re.findall(r"FileScan parquet \[l_orderkey#\d+L,l_quantity", final)) == 1
+    # The four product sections read the kept aggregate.
+    assert "InMemoryTableScan" in final
