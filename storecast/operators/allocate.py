@@ -12,6 +12,8 @@ from storecast.operators.ranking import cell, key_block, number_in_cell
 
 CENTS = "decimal(14,0)"
 DAYS_PER_YEAR = 365.0
+# Buckets of the remainder of a share, at most so many per group.
+REMAINDER_BUCKETS = 2**20
 
 
 def expected_demand(
@@ -99,65 +101,44 @@ def proportional_allocation(
     whose weights are negative or add up to zero are rejected with a `reason`.
 
     Parts of a group with the same weight get the same share, so all arithmetic
-    runs on (group, weight, key block) cells; rows only look up their cell, and a
-    cell holds one block of keys however large the group is.
+    runs on (group, weight, key block) cells and rows only look up their cell. Group
+    figures are combined on the map side and joined back; keys that are structs make
+    the steps after a join on the group shuffle anew, which leaves Spark free to
+    split that join where one group is very large.
     """
     if mode not in ("last", "largest_remainder"):
         raise ValueError(f"unknown mode: {mode}")
     group = list(group)
     blocked = parts.select(*group, key, "weight", key_block(key).alias("block"))
-    cells = blocked.groupBy(*group, "weight", "block").agg(
-        F.count(F.lit(1)).alias("n"), F.max(key).alias("last_key")
+    cells = (
+        blocked.groupBy(*group, "weight", "block")
+        .agg(F.count(F.lit(1)).alias("n"), F.max(key).alias("last_key"))
+        .withColumn("w", (F.col("weight") * 100).cast(CENTS))
     )
-    units = cells.withColumn("w", (F.col("weight") * 100).cast(CENTS))
-    whole = Window.partitionBy(*group)
-    weighed = units.select(
-        "*",
-        F.sum(F.col("w") * F.col("n")).over(whole).cast("decimal(38,0)").alias("w_sum"),
-        F.min(F.coalesce("w", F.lit(-1).cast(CENTS))).over(whole).alias("w_min"),
-        F.max("last_key").over(whole).alias("group_last"),
+    sums = cells.groupBy(*group).agg(
+        F.sum(F.col("w") * F.col("n")).cast("decimal(38,0)").alias("w_sum"),
+        F.min(F.coalesce("w", F.lit(-1).cast(CENTS))).alias("w_min"),
+        F.max(F.struct("last_key", "weight", "block")).alias("last"),
     )
-    # Totals go left: a total without parts must come out as rejected.
     priced = totals.select(*group, (F.col("total") * 100).cast(CENTS).alias("t"))
-    joined = priced.join(weighed, group, "left")
     reason = (
         F.when(F.col("t").isNull() | (F.col("t") <= 0), "total is not positive")
-        .when(F.col("n").isNull(), "no parts")
+        .when(F.col("w_min").isNull(), "no parts")
         .when(F.col("w_min") < 0, "missing or negative weight")
         .when(F.col("w_sum") <= 0, "weights add up to zero")
     )
-    judged = joined.withColumn("reason", reason)
-    rejected = (
-        judged.where(F.col("reason").isNotNull())
-        .select(*group, (F.col("t") / 100).cast("decimal(12,2)").alias("total"), "reason")
-        .distinct()
+    # Totals go left: a total without parts must come out as rejected.
+    judged = priced.join(sums, group, "left").withColumn("reason", reason)
+    rejected = judged.where(F.col("reason").isNotNull()).select(
+        *group, (F.col("t") / 100).cast("decimal(12,2)").alias("total"), "reason"
     )
-    valid = judged.where(F.col("reason").isNull())
-    if mode == "last":
-        shared = valid.withColumn("cents", F.expr("(2 * t * w + w_sum) div (2 * w_sum)"))
-        given = F.sum(F.col("cents") * F.col("n")).over(whole)
-        plan = shared.withColumn("rest", (F.col("t") - given).cast("long"))
-        added_columns = ["group_last", "rest"]
-    else:
-        shared = valid.select(
-            "*",
-            F.expr("(t * w) div w_sum").alias("cents"),
-            F.expr("(t * w) % w_sum").alias("remainder"),
-        )
-        spare = F.col("t") - F.sum(F.col("cents") * F.col("n")).over(whole)
-        ranked = whole.orderBy(F.desc("remainder"), F.desc("w"), "block").rowsBetween(
-            Window.unboundedPreceding, -1
-        )
-        before = F.coalesce(F.sum("n").over(ranked), F.lit(0).cast("long"))
-        plan = shared.select(
-            "*", spare.cast("long").alias("spare"), before.alias("before")
-        ).withColumn(
-            "extra", F.least(F.greatest(F.col("spare") - F.col("before"), F.lit(0)), F.col("n"))
-        )
-        added_columns = ["extra"]
-    cell_columns = [*group, "weight", "block"]
-    lookup = plan.select(cell(cell_columns).alias("cell"), "cents", *added_columns)
-    rows = blocked.select(*group, key, "weight", cell(cell_columns).alias("cell"))
+    valid = judged.where(F.col("reason").isNull()).select(*group, "t", "w_sum", "last.*")
+    shared = cells.drop("last_key").join(
+        valid.withColumnsRenamed({"weight": "last_weight", "block": "last_block"}), group
+    )
+    plan = _last_takes_rest if mode == "last" else _spare_cents
+    lookup = plan(shared, group)
+    rows = blocked.select(*group, key, "weight", _cell_of(group).alias("cell"))
     if mode == "last":
         added = F.when(F.col(key) == F.col("group_last"), F.col("rest"))
     else:
@@ -168,3 +149,68 @@ def proportional_allocation(
         *group, key, "weight", (cents.cast(CENTS) / 100).cast("decimal(12,2)").alias("allocated")
     )
     return allocated.withColumn("non_positive", F.col("allocated") <= 0), rejected
+
+
+def _cell_of(group: list[str]) -> Column:
+    return cell([*group, "weight", "block"])
+
+
+def _undivided() -> Column:
+    """What the shares of a group leave of its total, in cents."""
+    return (F.max("t") - F.sum(F.col("cents") * F.col("n"))).cast("long")
+
+
+def _last_takes_rest(shared: DataFrame, group: list[str]) -> DataFrame:
+    """(cell, cents, rest, group_last): rounded shares; the cell of the last key has the rest."""
+    rounded = shared.withColumn("cents", F.expr("(2 * t * w + w_sum) div (2 * w_sum)"))
+    rests = rounded.groupBy(cell(group).alias("g")).agg(
+        _undivided().alias("rest"),
+        F.max("last_key").alias("group_last"),
+        F.max("last_weight").alias("weight"),
+        F.max("last_block").alias("block"),
+    )
+    last_cells = rests.select("g.*", "weight", "block", "rest", "group_last").select(
+        _cell_of(group).alias("cell"), "rest", "group_last"
+    )
+    return rounded.select(_cell_of(group).alias("cell"), "cents").join(last_cells, "cell", "left")
+
+
+def _spare_cents(shared: DataFrame, group: list[str]) -> DataFrame:
+    """(cell, cents, extra): shares cut to the cent, and how many parts of the cell, lowest
+    keys first, take one cent more.
+
+    Cells are ranked by remainder in two steps, by bucket of the remainder and inside
+    a bucket, so no window holds all cells of a group.
+    """
+    cut = shared.select(
+        "*",
+        F.expr("(t * w) div w_sum").alias("cents"),
+        F.expr("(t * w) % w_sum").alias("remainder"),
+    )
+    bucketed = cut.withColumn(
+        "bucket", F.expr(f"(remainder * {REMAINDER_BUCKETS}) div w_sum")
+    ).withColumn("b", cell([*group, "bucket"]))
+    spares = cut.groupBy(cell(group).alias("g")).agg(_undivided().alias("spare"))
+    earlier = (
+        Window.partitionBy("g")
+        .orderBy(F.desc("bucket"))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    buckets = (
+        bucketed.groupBy("b")
+        .agg(F.sum("n").alias("bucket_n"))
+        .select("b", "b.*", "bucket_n")
+        .withColumn("g", cell(group))
+        .withColumn("taken", F.coalesce(F.sum("bucket_n").over(earlier), F.lit(0).cast("long")))
+        .join(spares, "g")
+        .select("b", (F.col("spare") - F.col("taken")).alias("left"))
+    )
+    inside = (
+        Window.partitionBy("b")
+        .orderBy(F.desc("remainder"), F.desc("w"), "block")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    before = F.coalesce(F.sum("n").over(inside), F.lit(0).cast("long"))
+    ranked = bucketed.withColumn("before", before).join(buckets, "b")
+    extra = F.least(F.greatest(F.col("left") - F.col("before"), F.lit(0)), F.col("n"))
+    return ranked.select(_cell_of(group).alias("cell"), "cents", extra.alias("extra"))
