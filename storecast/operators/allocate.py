@@ -118,7 +118,7 @@ def proportional_allocation(
     sums = cells.groupBy(*group).agg(
         F.sum(F.col("w") * F.col("n")).cast("decimal(38,0)").alias("w_sum"),
         F.min(F.coalesce("w", F.lit(-1).cast(CENTS))).alias("w_min"),
-        F.max(F.struct("last_key", "weight", "block")).alias("last"),
+        F.max("last_key").alias("group_last"),
     )
     priced = totals.select(*group, (F.col("total") * 100).cast(CENTS).alias("t"))
     reason = (
@@ -132,10 +132,8 @@ def proportional_allocation(
     rejected = judged.where(F.col("reason").isNotNull()).select(
         *group, (F.col("t") / 100).cast("decimal(12,2)").alias("total"), "reason"
     )
-    valid = judged.where(F.col("reason").isNull()).select(*group, "t", "w_sum", "last.*")
-    shared = cells.drop("last_key").join(
-        valid.withColumnsRenamed({"weight": "last_weight", "block": "last_block"}), group
-    )
+    valid = judged.where(F.col("reason").isNull()).select(*group, "t", "w_sum", "group_last")
+    shared = cells.join(valid, group)
     plan = _last_takes_rest if mode == "last" else _spare_cents
     lookup = plan(shared, group)
     rows = blocked.select(*group, key, "weight", _cell_of(group).alias("cell"))
@@ -163,11 +161,12 @@ def _undivided() -> Column:
 def _last_takes_rest(shared: DataFrame, group: list[str]) -> DataFrame:
     """(cell, cents, rest, group_last): rounded shares; the cell of the last key has the rest."""
     rounded = shared.withColumn("cents", F.expr("(2 * t * w + w_sum) div (2 * w_sum)"))
+    is_last = F.col("last_key") == F.col("group_last")
     rests = rounded.groupBy(cell(group).alias("g")).agg(
         _undivided().alias("rest"),
-        F.max("last_key").alias("group_last"),
-        F.max("last_weight").alias("weight"),
-        F.max("last_block").alias("block"),
+        F.max("group_last").alias("group_last"),
+        F.max(F.when(is_last, F.col("weight"))).alias("weight"),
+        F.max(F.when(is_last, F.col("block"))).alias("block"),
     )
     last_cells = rests.select("g.*", "weight", "block", "rest", "group_last").select(
         _cell_of(group).alias("cell"), "rest", "group_last"
