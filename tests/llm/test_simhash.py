@@ -1,0 +1,127 @@
+"""SimHash groups against brute force."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from storecast.llm import simhash
+from storecast.llm.components import components
+
+
+def brute_print(text, size=4):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    for space in "\t\n\x0b\x0c\r":
+        lower = lower.replace(space, " ")
+    words = [w for w in lower.split(" ") if w]
+    grams = [" ".join(words[i : i + size]) for i in range(len(words) - size + 1)] or [" ".join(words)] * bool(words)
+    hashes = [xxhash.xxh64(g.encode(), seed=42).intdigest() for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_groups(rows, most=4):
+    """{fingerprint: smallest id reachable}"""
+    prints = {}
+    for doc, text in rows:
+        prints.setdefault(brute_print(text), []).append(doc)
+    left, out = set(prints), {}
+    while left:
+        group, queue = set(), [left.pop()]
+        while queue:
+            x = queue.pop()
+            group.add(x)
+            near = {y for y in left if (x ^ y).bit_count() <= most}
+            left -= near
+            queue += near
+        ids = [d for fp in group for d in prints[fp] if d is not None]
+        out |= {fp: min(ids, default=None) for fp in group}
+    return out
+
+
+def corpus(seed, groups, copies):
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(groups):
+        words = [f"W{rng.randrange(5000)}" for _ in range(rng.randint(1, 150))]
+        for _ in range(rng.randint(1, copies)):
+            new = list(words)
+            for _ in range(rng.randint(0, 2)):
+                new[rng.randrange(len(new))] = f"x{rng.randrange(99)}"
+            rows.append("\t ".join(new))
+    rng.shuffle(rows)
+    return list(enumerate(rows, 10))
+
+
+ODD = [(1, None), (2, ""), (3, " \n\t"), (4, "one"), (5, "ONE"), (6, "Éa b\x0bc"), (7, "a b c d e"), (8, "É a b c d")]
+
+
+@pytest.mark.parametrize("split_above", [4096, 9])
+def test_matches_brute_force(spark, make_docs, split_above):
+    rows = corpus(1, 60, 12) + ODD
+    got = simhash.near_duplicates(make_docs(rows), split_above=split_above).collect()
+    groups, texts = brute_groups(rows), dict(rows)
+    assert len(got) == len(rows)
+    for r in got:
+        fp = brute_print(texts[r.doc_id])
+        assert (r.fingerprint, r.component_id) == (f"{fp:016x}", groups[fp])
+
+
+def test_planted_bit_distances_are_all_found(spark):
+    """Fingerprints around centres, as links sees them: chains over 4 bits join, 5 bits do not."""
+    rng = random.Random(7)
+    fps = set()
+    for _ in range(40):
+        x = rng.getrandbits(64)
+        for _ in range(rng.randint(1, 40)):
+            for bit in rng.sample(range(64), rng.choice([1, 2, 3, 4, 5, 6])):
+                x ^= 1 << bit
+            fps.add(x)
+    signed = [int(np.uint64(x).view(np.int64)) for x in fps]
+    nodes = spark.createDataFrame([(x,) for x in signed], "fp bigint")
+    for split_above in (4096, 9):
+        roots = dict(components(simhash.links(nodes, 4, split_above)).collect())
+        label = {x: roots.get(int(np.uint64(x).view(np.int64)), int(np.uint64(x).view(np.int64))) for x in fps}
+        left = set(fps)
+        while left:
+            group, queue = set(), [left.pop()]
+            while queue:
+                x = queue.pop()
+                group.add(x)
+                near = {y for y in left if (x ^ y).bit_count() <= 4}
+                left -= near
+                queue += near
+            assert len({label[x] for x in group}) == 1
+            assert all(label[x] != label[y] for x in list(group)[:1] for y in left)
+
+
+def test_repeated_rows_null_ids_and_clashing_columns(spark, make_docs):
+    rows = [(1, "a b c d e"), (1, "a b c d e"), (None, "a b c d e"), (None, "q r s t u v"), (2, "z")]
+    df = make_docs(rows).withColumns({"fp": F.lit("own"), "component_id": F.lit(5)})
+    got = simhash.near_duplicates(df)
+    assert sorted(((r.doc_id, r.component_id) for r in got.collect()), key=str) == sorted(
+        [(1, 1), (1, 1), (None, 1), (None, None), (2, 2)], key=str
+    )
+    one = simhash.one_of_each(df)
+    assert one.columns == df.columns
+    assert sorted((r.text for r in one.collect())) == ["a b c d e", "q r s t u v", "z"]
+
+
+def test_empty_table(make_docs):
+    assert simhash.near_duplicates(make_docs([])).count() == 0
+    assert simhash.one_of_each(make_docs([])).count() == 0
+
+
+def test_a_long_text_counts_every_shingle(make_docs):
+    words = " ".join(f"w{i % 977}" for i in range(70_000))
+    got = simhash.fingerprints(make_docs([(1, words)])).first().fp
+    assert int(np.int64(got).view(np.uint64)) == brute_print(words)
+
+
+def test_components_of_a_path_a_star_and_a_loop(spark):
+    edges = [(i, i + 1) for i in range(50)] + [(100, 200 + i) for i in range(30)] + [(7, 7), (400, 400)]
+    got = dict(components(spark.createDataFrame(edges, "a bigint, b bigint")).collect())
+    assert got == {**{i: 0 for i in range(1, 51)}, **{200 + i: 100 for i in range(30)}}

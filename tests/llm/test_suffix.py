@@ -1,0 +1,126 @@
+"""Removal of repeated strings against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from storecast.llm import suffix
+
+
+def brute(rows, length):
+    """{(doc_id, text): (n_bytes, n_removed, n_spans, kept)} for (doc_id, text) rows with different ids."""
+    seen, out = set(), {}
+    for doc, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode())):
+        raw = (text or "").encode()
+        gone = [False] * len(raw)
+        for i in range(len(raw) - length + 1):
+            window = raw[i : i + length]
+            if window in seen:
+                gone[i : i + length] = [True] * length
+            seen.add(window)
+        spans = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
+        kept = bytes(b for b, g in zip(raw, gone) if not g)
+        out.setdefault((doc, text), []).append((len(raw), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def spark_result(df):
+    out = {}
+    for r in df.collect():
+        got = (r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(bytes(r.kept)).hexdigest())
+        out.setdefault((r.doc_id, r.text), []).append(got)
+    return {k: sorted(v) for k, v in out.items()}
+
+
+def texts(seed, n, alphabet="abéc "):
+    rng = random.Random(seed)
+    pool = ["".join(rng.choice(alphabet) for _ in range(rng.randint(5, 60))) for _ in range(12)]
+    return [(i, "".join(rng.choice(pool) for _ in range(rng.randint(0, 6)))) for i in range(n)]
+
+
+@pytest.mark.parametrize("letters", [b"ab", b"abcde", b"a"])
+def test_transform_finds_repeated_windows(letters):
+    rng = random.Random(len(letters))
+    for _ in range(150):
+        segs = [bytes(rng.choice(letters) for _ in range(rng.randint(1, 40))) for _ in range(rng.randint(1, 9))]
+        length = rng.choice([3, 5, 8, 20])
+        data = np.frombuffer(b"".join(segs), np.uint8)
+        got = suffix.repeated_windows(data, np.array([len(s) for s in segs]), length).tolist()
+        seen, want, base = set(), [], 0
+        for s in segs:
+            for i in range(len(s) - length + 1):
+                want += [base + i] * (s[i : i + length] in seen)
+                seen.add(s[i : i + length])
+            base += len(s)
+        assert got == want
+
+
+def test_common_prefixes_are_exact_in_blocks_below_the_bound():
+    whole = b"".join(b"%d bananas and bandanas" % (k % 7) for k in range(30))
+    order, common = suffix.equal_prefixes(np.frombuffer(whole, np.uint8), np.array([len(whole)]), 20)
+    found = {0, 4, 12, 20}  # 20 bytes: a first round of 4, then 8 at a time
+    for i in range(1, len(whole)):
+        a, b = whole[order[i - 1] :], whole[order[i] :]
+        same = next((k for k in range(min(len(a), len(b))) if a[k] != b[k]), min(len(a), len(b)))
+        assert a[:20] <= b[:20] and common[i] == max(f for f in found if f <= same)
+
+
+def test_equal_windows_get_equal_anchors_wherever_texts_are_cut(monkeypatch):
+    rng = np.random.default_rng(3)
+    data = rng.integers(97, 99, 3000).astype(np.uint8)
+    starts = np.array([0, 10, 900, 900, 1700, 3000])
+
+    def keys():
+        out = {}
+        for key, row, first, n in suffix._segments_of(data, starts, 24, 8):
+            for k, r, f, m in zip(key.tolist(), row.tolist(), first.tolist(), n.tolist()):
+                for w in range(f, f + m):
+                    assert (r, w) not in out
+                    out[r, w] = k
+        return out
+
+    whole = keys()
+    monkeypatch.setattr(suffix, "PIECE", 200)
+    assert keys() == whole
+    assert set(whole) == {(r, w) for r in range(5) for w in range(max(0, starts[r + 1] - starts[r] - 23))}
+    by_text = {}
+    for (r, w), k in whole.items():
+        by_text.setdefault(data[starts[r] + w : starts[r] + w + 24].tobytes(), set()).add(k)
+    assert all(len(v) == 1 for v in by_text.values())
+
+
+@pytest.mark.parametrize("options", [{}, {"split_above": 2}, {"block": 1}])
+def test_matches_brute_force(spark, make_docs, options):
+    rows = texts(5, 60) + [(100, "ab" * 300), (101, "x" * 200), (102, "ab" * 150), (103, None), (104, "")]
+    got = suffix.remove_repeats(make_docs(rows), length=24, gram=8, **options)
+    assert spark_result(got) == brute(rows, 24)
+
+
+def test_repeated_rows_null_ids_and_clashing_columns(spark, make_docs):
+    rows = [(1, "abcdefgh" * 6), (1, "abcdefgh" * 6), (None, "abcdefgh" * 6), (2, None), (2, "zz")]
+    df = make_docs(rows).withColumns({"spans": F.lit("own"), "_note": F.lit(1), "id": F.lit(9)})
+    got = suffix.remove_repeats(df, length=24, gram=8)
+    assert spark_result(got) == {k: sorted(v) for k, v in brute(rows, 24).items()}
+    assert "id" in got.columns and "_note" in got.columns and got.columns.count("spans") == 1
+
+
+def test_empty_table(spark, make_docs):
+    assert suffix.remove_repeats(make_docs([])).count() == 0
+    assert suffix.without_repeats(make_docs([])).count() == 0
+
+
+def test_text_output_keeps_characters_whole(spark, make_docs):
+    same = "é" * 30
+    got = {r.doc_id: r for r in suffix.without_repeats(make_docs([(1, "a" + same), (2, "è" + same + "ö")]), length=24, gram=8).collect()}
+    assert got[1].text == "a" + "é" + "é" * 11 or got[1].text.startswith("aé")
+    assert got[2].n_chars == len(got[2].text) and got[2].text.startswith("è") and got[2].text.endswith("ö")
+
+
+def test_gram_must_fit(make_docs):
+    with pytest.raises(ValueError):
+        suffix.remove_repeats(make_docs([(1, "a")]), gram=12)
