@@ -4,8 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storecast.llm import simhash, suffix
-from storecast.llm.frames import scratch_path
+from storecast.llm import decontaminate, pieces, quality, simhash, suffix
+from storecast.llm.frames import scratch_path, table
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject; it learns from the labels of `sf_dir`."""
+    return quality.good(docs, table(spark, sf_dir, "labels"), threshold=0.3)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,7 +23,24 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return suffix.without_repeats(docs, length=100)
 
 
-STAGES = [("near_dedup", near_dedup), ("suffix_dedup", suffix_dedup)]
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of 10 words of a benchmark item."""
+    return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"), window=10)
+
+
+def tokenization(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as tokens, and the text that the tokens give back."""
+    model = pieces.load(spark, pieces.MODEL)
+    return pieces.decoded(pieces.encoded(docs, model), model)
+
+
+STAGES = [
+    ("quality_filter", quality_filter),
+    ("near_dedup", near_dedup),
+    ("suffix_dedup", suffix_dedup),
+    ("decontamination", decontamination),
+    ("tokenization", tokenization),
+]
 
 #: Hash links, a suffix transform, a fitted model and a tokenizer have no SQL form; tests hold run() to brute force.
 ORACLE_SQL = None
