@@ -1,0 +1,105 @@
+"""The quality classifier: held-out accuracy, parts against brute force, and odd rows."""
+
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from storecast.llm import quality
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    return docs, labels, quality.fit(docs, labels)
+
+
+def test_held_out_rows_are_told_apart(spark, tables):
+    docs, labels, model = tables
+    got = quality.scored(docs, model).join(labels, "doc_id").where("held_out").collect()
+    right = sum(r.predicted == r.quality for r in got)
+    assert len(got) > 40 and right / len(got) >= 0.95
+    good, bad = ([r.score for r in got if r.quality == q] for q in (1, 0))
+    assert sum(g > b for g in good for b in bad) / (len(good) * len(bad)) >= 0.98
+
+
+def test_labels_of_held_out_rows_and_other_columns_teach_nothing(spark, tables):
+    docs, labels, model = tables
+    flipped = labels.withColumn("quality", F.when(quality.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")))
+    again = quality.fit(docs.withColumn("source", F.lit("x")), flipped)
+    assert np.array_equal(model.weights, again.weights) and np.array_equal(model.values, again.values)
+
+
+def test_the_fit_does_not_depend_on_partitions(spark, tables):
+    docs, labels, model = tables
+    again = quality.fit(docs.repartition(5), labels.repartition(3))
+    assert np.allclose(model.weights, again.weights, atol=1e-9)
+
+
+def test_held_out_rule(spark):
+    rows = spark.range(-50, 200).select("id", quality.held_out(F.col("id")).alias("h")).collect()
+    assert all(r.h == (zlib.crc32(str(r.id).encode()) % 5 == 0) for r in rows)
+
+
+def test_sums_give_the_ridge_solution(spark, tables):
+    docs, labels, model = tables
+    rows = quality._labelled(docs, labels, quality.MAX_LABELLED).collect()
+    v, y = np.array([r.v for r in rows]), np.array([r.y for r in rows])
+    mean, scale = v.mean(axis=0), v.std(axis=0)
+    scale[scale < 1e-9] = 1
+    x = quality.fourier((v - mean) / scale)
+    penalty = quality.RIDGE * np.eye(x.shape[1])
+    penalty[-1, -1] = 0
+    want = np.linalg.solve(x.T @ x + penalty, x.T @ y)
+    assert np.allclose(x @ model.weights, x @ want, atol=1e-5)
+
+
+def test_fourier_features_approximate_the_kernel():
+    rng = np.random.default_rng(0)
+    z = rng.normal(0, 1, (40, quality.STATISTICS))
+    x = quality.fourier(z)[:, :-1]
+    gap = ((z[:, None] - z[None]) ** 2).sum(axis=2)
+    assert np.abs(x @ x.T - np.exp(-gap * quality.WIDTH**2 / 2)).mean() < 0.08
+
+
+def test_isotonic_is_the_best_rising_fit():
+    rng = random.Random(2)
+    for _ in range(50):
+        n = rng.randint(1, 7)
+        x, y = np.arange(n, dtype=float), np.array([rng.choice([0.0, 0.3, 1.0]) for _ in range(n)])
+        w = np.array([rng.randint(1, 4) for _ in range(n)], float)
+        _, values = quality.isotonic(x, y, w)
+        assert all(a < b for a, b in zip(values, values[1:]))
+        # min-max formula
+        want = [max(min(np.average(y[a : b + 1], weights=w[a : b + 1]) for b in range(i, n)) for a in range(i + 1)) for i in range(n)]
+        assert np.allclose(sorted(set(np.round(want, 9))), np.round(values, 9))
+
+
+def test_odd_rows(spark, tables, make_docs):
+    _, _, model = tables
+    rows = [(1, None), (2, ""), (3, " \n "), (4, "\x00"), (5, "a" * 300_000), (None, "word"), (1, None)]
+    df = make_docs(rows).withColumns({"score": F.lit("own"), "held_out": F.lit(3)})
+    got = quality.scored(df, model).collect()
+    assert len(got) == 7 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in got)
+    assert len({r.score for r in got if not r.text}) == 1
+    assert quality.scored(make_docs([]), model).count() == 0
+
+
+def test_no_labels_reject_nothing(spark, make_docs):
+    none = spark.createDataFrame([(None, 1), (77, None)], "doc_id bigint, quality int")
+    docs = make_docs([(1, "a"), (2, None)])
+    assert {r.score for r in quality.scored(docs, quality.fit(docs, none)).collect()} == {0.5}
+    assert quality.good(docs, none).count() == 2 and quality.good(docs, none).columns == docs.columns
+
+
+def test_few_labels_of_one_kind(spark, make_docs):
+    docs = make_docs([(i, f"text {i}") for i in range(12)])
+    labels = spark.createDataFrame([(i, 1) for i in range(12)] + [(3, 0)], "doc_id bigint, quality int")
+    assert all(r.score > 0.3 for r in quality.scored(docs, quality.fit(docs, labels)).collect())
