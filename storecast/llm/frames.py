@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import gc
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,21 +13,30 @@ from storecast.session import scratch_path
 NO_ID = -(2**63)
 
 
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """`df` written to the shared folder and read back: lineage ends here, lost executors cost nothing."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """`df` written to the shared folder and read back: lineage ends here, lost executors cost nothing.
+
+    The shuffles that led to it are dropped at once, as nothing reads them again.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
+    before = spark.conf.get(_FREE_SHUFFLES, "false")
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_FREE_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def release(df: DataFrame) -> None:
-    """Delete the files of a stored frame that nothing reads any more, and let Spark drop shuffles that are done with."""
+    """Delete the files of a stored frame that nothing reads any more."""
     jvm = df.sparkSession._jvm
     for file in df.inputFiles()[:1]:
         folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
         folder.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
-    gc.collect()
-    jvm.System.gc()
 
 
 def id_or_none(name: str) -> Column:

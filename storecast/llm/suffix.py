@@ -395,7 +395,7 @@ def remove_repeats(
     docs = docs.drop(*own)
     keyed, own_id = _keyed(docs)
     found = (
-        repeats(keyed, own_id, length, gram, block, split_above)
+        stored(repeats(keyed, own_id, length, gram, block, split_above), "repeats")
         .groupBy("id")
         .agg(F.collect_list(F.struct("pos", "n", "level", "first")).alias("_found"))
     )
