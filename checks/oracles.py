@@ -25,11 +25,13 @@ VIEWS = {
         SELECT p_partkey AS product_id,
                CAST(p_size * (10 + p_partkey % 12) AS DECIMAL(12,2)) AS stock_available
         FROM part""",
-    "r_series_stock": """
-        SELECT p_brand AS series,
-               CAST(sum(p_size) * (CAST(substr(p_brand, 7) AS INT) % 5) * 0.05 AS DECIMAL(12,2))
-                   AS stock_available
-        FROM part GROUP BY p_brand""",
+    "shelf": """
+        SELECT p_partkey AS product_id,
+               CAST(CASE WHEN p_partkey % 5 = 0 THEN 0 ELSE p_size * (p_partkey % 7) END
+                    AS DECIMAL(12,2)) AS stock_available
+        FROM part""",
+    "days": """
+        SELECT min(order_date) AS first_day, max(order_date) AS last_day FROM r_orders""",
     "raw_orders": """
         SELECT o_orderkey AS pos, o_orderkey AS order_id,
                CASE WHEN o_orderkey % 33 = 0 THEN NULL ELSE o_custkey END AS customer_id,
@@ -42,8 +44,9 @@ VIEWS = {
                CASE WHEN o_orderkey % 33 = 0 THEN NULL ELSE o_custkey END,
                strftime(o_orderdate, '%Y-%m-%d')
         FROM orders WHERE o_orderkey % 50 = 0""",
-    "raw_items": """
-        SELECT l_orderkey * 10 + l_linenumber AS order_item_id,
+    "line_originals": """
+        SELECT CAST(((l_orderkey * 10 + l_linenumber) * 10000000 + l_partkey) * 100
+                    + CAST(l_quantity AS BIGINT) AS BIGINT) AS order_item_id,
                CASE WHEN l_orderkey % 307 = 0 THEN -l_orderkey ELSE l_orderkey END AS order_id,
                CASE WHEN l_orderkey % 499 = 0 THEN 'Unknown Item'
                     ELSE concat(p_name, '#', CAST(p_partkey AS VARCHAR)) END AS product_name,
@@ -53,6 +56,17 @@ VIEWS = {
                            WHEN (l_orderkey + l_linenumber) % 25 = 0 THEN 1.15
                            ELSE 1.00 END AS DECIMAL(12,2)) AS unit_price_at_order
         FROM lineitem JOIN part ON l_partkey = p_partkey""",
+    "raw_lines": """
+        SELECT order_item_id AS pos, * FROM line_originals
+        UNION ALL
+        SELECT order_item_id + 4000000000000000000, order_item_id, order_id, product_name, NULL,
+               unit_price_at_order
+        FROM line_originals WHERE order_id % 50 = 0
+        UNION ALL
+        SELECT order_item_id - 4000000000000000000, order_item_id, order_id, product_name, quantity,
+               CAST(unit_price_at_order + 1 AS DECIMAL(12,2))
+        FROM line_originals WHERE order_id % 70 = 0""",
+    "raw_items": "SELECT * EXCLUDE (pos) FROM raw_lines",
     "lookup": """
         SELECT concat(p_name, '#', CAST(p_partkey AS VARCHAR)) AS product_name,
                p_partkey AS product_id, CAST(p_retailprice AS DECIMAL(12,2)) AS unit_price
@@ -61,10 +75,10 @@ VIEWS = {
         SELECT pos, order_id, customer_id, order_date FROM raw_orders
         QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY pos) = 1""",
     "first_items": """
-        SELECT * FROM raw_items
+        SELECT * EXCLUDE (pos) FROM raw_lines
         QUALIFY row_number() OVER (
             PARTITION BY order_item_id
-            ORDER BY order_id, product_name, quantity, unit_price_at_order) = 1""",
+            ORDER BY pos, order_id, product_name, quantity NULLS LAST, unit_price_at_order) = 1""",
     "fixed_orders": """
         SELECT pos, order_id, customer_id,
                CASE WHEN regexp_full_match(order_date, '[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}')
@@ -86,6 +100,10 @@ VIEWS = {
                        JOIN part ON product_id = p_partkey
         GROUP BY ALL""",
     "spine": """
+        SELECT CAST(unnest(generate_series(first_day, last_day, INTERVAL 1 DAY)) AS DATE)
+                   AS order_date
+        FROM days""",
+    "design_spine": """
         SELECT CAST(unnest(generate_series(DATE '1997-01-01', DATE '1997-12-31',
                                            INTERVAL 1 DAY)) AS DATE) AS order_date""",
     "grid": """
@@ -109,30 +127,46 @@ VIEWS = {
         FROM lagged
         WHERE quantity_lag_1 IS NOT NULL AND quantity_lag_7 IS NOT NULL
           AND quantity_rolling_7 IS NOT NULL""",
-    "train_rows": "SELECT * FROM complete WHERE order_date < DATE '1997-11-15'",
-    "test_rows": "SELECT * FROM complete WHERE order_date >= DATE '1997-11-15'",
+    "train_rows": "SELECT * FROM complete WHERE order_date < (SELECT last_day - 46 FROM days)",
+    "test_rows": "SELECT * FROM complete WHERE order_date >= (SELECT last_day - 46 FROM days)",
+    "product_daily": """
+        SELECT product_id, order_date, sum(quantity) AS quantity
+        FROM r_items i JOIN r_orders o ON i.order_id = o.order_id
+        GROUP BY ALL""",
+    "product_days": """
+        SELECT p.p_partkey AS product_id, s.order_date, coalesce(d.quantity, 0.00) AS quantity
+        FROM part p CROSS JOIN spine s
+        LEFT JOIN product_daily d ON d.product_id = p.p_partkey AND d.order_date = s.order_date""",
+    "product_lagged": """
+        SELECT product_id, order_date, CAST(quantity AS DOUBLE) AS quantity,
+               CAST(lag(quantity, 1) OVER w AS DOUBLE) AS lag_1,
+               CAST(lag(quantity, 7) OVER w AS DOUBLE) AS lag_7,
+               CAST(sum(quantity) OVER f AS DOUBLE) / 7 AS rolling_7
+        FROM product_days
+        WINDOW w AS (PARTITION BY product_id ORDER BY order_date),
+               f AS (PARTITION BY product_id ORDER BY order_date
+                     ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)""",
     "state": """
-        SELECT series, list(quantity ORDER BY order_date) AS q
-        FROM (SELECT series, order_date, quantity FROM complete
-              QUALIFY row_number() OVER (PARTITION BY series ORDER BY order_date DESC) <= 7)
-        GROUP BY series""",
+        SELECT product_id, list(CAST(quantity AS DOUBLE) ORDER BY order_date) AS q
+        FROM product_days WHERE order_date > (SELECT last_day - 7 FROM days)
+        GROUP BY product_id""",
     "steps": """
-        SELECT series, 0 AS horizon, q, CAST(NULL AS DOUBLE) AS prediction FROM state
+        SELECT product_id, 0 AS horizon, q, CAST(NULL AS DOUBLE) AS prediction FROM state
         UNION ALL
-        SELECT series, horizon + 1, list_append(q[2:7], p), p
-        FROM (SELECT series, horizon, q,
+        SELECT product_id, horizon + 1, list_append(q[2:7], p), p
+        FROM (SELECT product_id, horizon, q,
                      round_even((((((((0.0 + q[1]) + q[2]) + q[3]) + q[4]) + q[5]) + q[6]) + q[7])
                                 / 7 * 1e6, 0) / 1e6 AS p
               FROM steps WHERE horizon < 7)""",
     "next_day": """
-        SELECT series, round_even(prediction * 100, 0) / 100 AS predicted_daily_demand,
+        SELECT product_id, round_even(prediction * 100, 0) / 100 AS predicted_daily_demand,
                round_even(prediction * 7.0 / 5.0, 0) * 5.0 AS reorder_point
         FROM steps WHERE horizon = 1""",
     "triggered": """
-        SELECT n.series, predicted_daily_demand, reorder_point,
+        SELECT n.product_id, predicted_daily_demand, reorder_point,
                CAST(s.stock_available AS DOUBLE) AS stock_available,
                CAST(s.stock_available AS DOUBLE) <= reorder_point AS needs_reorder
-        FROM next_day n JOIN r_series_stock s ON n.series = s.series""",
+        FROM next_day n JOIN shelf s ON n.product_id = s.product_id""",
     "sized": """
         SELECT *, CASE WHEN NOT needs_reorder THEN 0.0
                        WHEN predicted_daily_demand * 30.0 < stock_available THEN 0.0
@@ -140,10 +174,10 @@ VIEWS = {
                             * 5.0 END AS recommended_order_qty
         FROM triggered""",
     "erratic": """
-        SELECT series,
+        SELECT product_id,
                CAST(count(*) FILTER (quantity = 0) AS DOUBLE) / CAST(count(*) AS DOUBLE)
                    AS zero_day_share
-        FROM grid GROUP BY series""",
+        FROM product_days GROUP BY product_id""",
     "params": """
         SELECT p_brand AS series, CAST(sum(p_size) AS DOUBLE) / 100.0 AS base_demand,
                CAST(count(*) % 7 - 3 AS DOUBLE) / 10.0 AS trend,
@@ -159,7 +193,7 @@ VIEWS = {
                         THEN CAST(3.5 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END
                  * ((CAST(0.9 AS DOUBLE) + CAST(1.1 AS DOUBLE)) / CAST(2 AS DOUBLE))
                  * (CAST(1 AS DOUBLE) - zero_order_prob), CAST(0 AS DOUBLE)) AS expected_quantity
-        FROM params CROSS JOIN spine""",
+        FROM params CROSS JOIN design_spine""",
     "alloc_parts": """
         SELECT order_id, product_id, CAST(sum(quantity) AS DECIMAL(12,2)) AS weight
         FROM r_items GROUP BY order_id, product_id""",
@@ -253,7 +287,7 @@ LOW_STOCK = """
           FROM r_items i JOIN r_orders o ON i.order_id = o.order_id
                          JOIN part ON i.product_id = p_partkey
                          JOIN r_stock s ON s.product_id = p_partkey
-          WHERE order_date >= DATE '1997-12-01' AND order_date < DATE '1998-01-01'
+          WHERE order_date > (SELECT last_day - 30 FROM days)
           GROUP BY ALL)"""
 
 LOW_STOCK_5 = f"{LOW_STOCK} ORDER BY days_of_stock_remaining NULLS LAST, product_id LIMIT 5"
@@ -287,10 +321,12 @@ CATEGORY = f"""
     FROM ({PRODUCT_REVENUE}) GROUP BY category"""
 
 
-def _long(body: str, section: str, label: str, metrics: list[str]) -> str:
+def _long(body: str, section: str, label: str, name: str, order: str, metrics: list[str]) -> str:
+    ranked = f"SELECT *, row_number() OVER (ORDER BY {order}) AS rank FROM ({body})"
     return " UNION ALL ".join(
-        f"SELECT '{section}' AS section, CAST({label} AS VARCHAR) AS label, "
-        f"'{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM ({body})"
+        f"SELECT '{section}' AS section, rank, CAST({label} AS VARCHAR) AS label, "
+        f"CAST({name} AS VARCHAR) AS name, '{m}' AS metric, CAST({m} AS DOUBLE) AS value "
+        f"FROM ({ranked})"
         for m in metrics
     )
 
@@ -401,28 +437,62 @@ BODIES = {
     "top_customers": TOP,
     "full_report": " UNION ALL ".join(
         [
-            _long(BEST, "best_sellers", "product_id", ["total_quantity_sold", "total_revenue"]),
+            _long(
+                BEST,
+                "best_sellers",
+                "product_id",
+                "product_name",
+                "total_revenue DESC, product_id",
+                ["total_quantity_sold", "total_revenue"],
+            ),
             _long(
                 CATEGORY,
                 "category_performance",
                 "category_name",
+                "category_name",
+                "total_revenue DESC, category_id",
                 ["total_quantity_sold", "total_revenue"],
             ),
-            _long(MONTHLY, "revenue_trends", "month", ["total_revenue", "total_orders"]),
+            _long(
+                MONTHLY,
+                "revenue_trends",
+                "month",
+                "month",
+                "month",
+                ["total_revenue", "total_orders"],
+            ),
             _long(
                 TREND_OUT,
                 "trend_analysis",
                 "product_id",
+                "product_name",
+                "pct_change DESC NULLS LAST, product_id",
                 ["q1_quantity", "q4_quantity", "pct_change"],
             ),
             _long(
                 LOW_STOCK_5,
                 "low_stock_risk",
                 "product_id",
+                "product_name",
+                "days_of_stock_remaining NULLS LAST, product_id",
                 ["stock_available", "avg_daily_demand_recent", "days_of_stock_remaining"],
             ),
-            _long(REGION, "region_performance", "region", ["total_orders", "total_revenue"]),
-            _long(TOP, "top_customers", "customer_id", ["total_spend"]),
+            _long(
+                REGION,
+                "region_performance",
+                "region",
+                "region",
+                "total_revenue DESC, region",
+                ["total_orders", "total_revenue"],
+            ),
+            _long(
+                TOP,
+                "top_customers",
+                "customer_id",
+                "concat_ws(', ', name, region)",
+                "total_spend DESC, customer_id",
+                ["total_spend"],
+            ),
         ]
     ),
     "revenue_reconciliation": f"""
@@ -519,14 +589,72 @@ BODIES = {
                CAST(quantity AS DOUBLE) AS quantity,
                CAST(unit_price_at_order AS DOUBLE) AS unit_price_at_order
         FROM ({CLEAN_ITEMS})""",
-    "load_retail": """
-        SELECT 'categories' AS table_name, count(DISTINCT p_type) AS row_count FROM part
-        UNION ALL SELECT 'suppliers', count(*) FROM supplier JOIN part ON s_suppkey = p_partkey
-        UNION ALL SELECT 'customers', count(*) FROM r_customers
-        UNION ALL SELECT 'products', count(*) FROM part
-        UNION ALL SELECT 'inventory', count(*) FROM part
-        UNION ALL SELECT 'orders', count(*) FROM cleaned_orders
-        UNION ALL SELECT 'order_items', count(*) FROM first_items""",
+    "scan_text_csv": """
+        SELECT CAST(order_item_id AS VARCHAR) AS order_item_id, CAST(order_id AS VARCHAR) AS order_id,
+               product_name, CAST(quantity AS VARCHAR) AS quantity,
+               CAST(unit_price_at_order AS VARCHAR) AS unit_price_at_order
+        FROM raw_items""",
+    "literal_rows": """
+        SELECT CAST((month(order_date) - 1) // 3 + 1 AS INTEGER) AS quarter, count(*) AS orders
+        FROM r_orders GROUP BY 1""",
+    "append_orders": """
+        SELECT customer_id, count(*) AS orders, CAST(max(order_date) AS VARCHAR) AS last_order
+        FROM r_orders GROUP BY customer_id""",
+    "load_retail": f"""
+        WITH enriched AS (
+            SELECT p_partkey AS product_id, concat(p_name, '#', p_partkey) AS product_name,
+                   category_id, supplier_id, CAST(p_retailprice AS DECIMAL(12,2)) AS unit_price
+            FROM part p
+            JOIN (SELECT p_type AS t, min(p_partkey) AS category_id FROM part GROUP BY 1) c
+              ON c.t = p.p_type
+            LEFT JOIN (SELECT p_type AS t, max(s_suppkey) AS supplier_id
+                       FROM supplier JOIN part ON s_suppkey = p_partkey GROUP BY 1) s
+              ON s.t = p.p_type),
+        judged_products AS (
+            SELECT *, CASE WHEN supplier_id IS NULL THEN 'missing supplier_id' ELSE '' END AS reason
+            FROM enriched),
+        judged_orders AS (
+            SELECT *, CASE WHEN order_date IS NULL THEN 'missing order_date'
+                           WHEN customer_id NOT IN (SELECT customer_id FROM r_customers)
+                           THEN 'unknown customer_id' ELSE '' END AS reason
+            FROM cleaned_orders),
+        judged_items AS (
+            SELECT *, CASE WHEN order_id IS NULL THEN 'missing order_id'
+                           WHEN product_id IS NULL THEN 'missing product_id'
+                           WHEN quantity IS NULL THEN 'missing quantity'
+                           WHEN order_id NOT IN (SELECT order_id FROM judged_orders WHERE reason = '')
+                           THEN 'unknown order_id'
+                           WHEN product_id NOT IN (SELECT product_id FROM judged_products WHERE reason = '')
+                           THEN 'unknown product_id' ELSE '' END AS reason
+            FROM ({CLEAN_ITEMS}))
+        SELECT 'categories' AS table_name, CAST(min(p_partkey) AS VARCHAR) AS row_key,
+               concat_ws('|', min(p_partkey), p_type) AS content, '' AS reject_reason
+        FROM part GROUP BY p_type
+        UNION ALL
+        SELECT 'suppliers', CAST(s_suppkey AS VARCHAR), concat_ws('|', 'none', s_name, s_suppkey), ''
+        FROM supplier JOIN part ON s_suppkey = p_partkey
+        UNION ALL
+        SELECT 'customers', CAST(customer_id AS VARCHAR), concat_ws('|', customer_id, name, region), ''
+        FROM r_customers
+        UNION ALL
+        SELECT 'products', CAST(product_id AS VARCHAR),
+               concat_ws('|', category_id, product_id, product_name,
+                         coalesce(CAST(supplier_id AS VARCHAR), '-'), unit_price), reason
+        FROM judged_products
+        UNION ALL
+        SELECT 'inventory', CAST(s.product_id AS VARCHAR),
+               concat_ws('|', CAST((SELECT last_day FROM days) AS VARCHAR), s.product_id, stock_available),
+               CASE WHEN reason = '' THEN '' ELSE 'unknown product_id' END
+        FROM r_stock s JOIN judged_products p ON s.product_id = p.product_id
+        UNION ALL
+        SELECT 'orders', CAST(order_id AS VARCHAR),
+               concat_ws('|', customer_id, coalesce(CAST(order_date AS VARCHAR), '-'), order_id), reason
+        FROM judged_orders
+        UNION ALL
+        SELECT 'order_items', CAST(order_item_id AS VARCHAR),
+               concat_ws('|', order_id, order_item_id, coalesce(CAST(product_id AS VARCHAR), '-'),
+                         coalesce(CAST(quantity AS VARCHAR), '-'), unit_price_at_order), reason
+        FROM judged_items""",
     "daily_sales": """
         SELECT product_id, CAST(order_date AS VARCHAR) AS order_date,
                CAST(sum(quantity) AS DOUBLE) AS quantity
@@ -557,7 +685,7 @@ BODIES = {
                (SELECT count(*) FROM grid) - (SELECT count(*) FROM complete) AS rows_dropped""",
     "chronological_split": """
         SELECT series, CAST(order_date AS VARCHAR) AS order_date, quantity,
-               CASE WHEN order_date < DATE '1997-11-15' THEN 'train' ELSE 'test' END AS split
+               CASE WHEN order_date < (SELECT last_day - 46 FROM days) THEN 'train' ELSE 'test' END AS split
         FROM complete""",
     "leakage_checks": """
         SELECT 'date_overlap' AS check_name, (SELECT count(*) FROM train_rows) AS rows_checked,
@@ -570,37 +698,74 @@ BODIES = {
           ON a.series = b.series AND a.order_date = b.order_date + 1
         UNION ALL
         SELECT 'target_in_features', count(*), 0 FROM train_rows""",
-    "one_hot_products": "SELECT p_partkey AS product_id, p_brand AS series, "
-    + ", ".join(
-        f"CAST(p_brand = 'Brand#{n}' AS INTEGER) AS product_brand_{n}" for n in range(1, 26)
-    )
-    + " FROM part",
+    "product_features": """
+        SELECT product_id, count(*) AS days, sum(quantity) AS quantity, sum(lag_1) AS lag_1,
+               sum(lag_7) AS lag_7, round(sum(rolling_7), 6) AS rolling_7,
+               CAST(count(*) FILTER (isodow(order_date) >= 6) AS BIGINT) AS weekend_days
+        FROM product_lagged WHERE lag_7 IS NOT NULL GROUP BY product_id""",
+    "one_hot_products": """
+        SELECT p_partkey AS product_id, p_brand AS level, CAST(1 AS INTEGER) AS flag FROM part""",
     "mean_baseline": _metrics("mean_baseline", "(SELECT avg(quantity) FROM train_rows)"),
     "naive_lag_baseline": _metrics("naive_lag_baseline", "quantity_lag_1"),
     "regression_metrics": _metrics("rolling_mean", "quantity_rolling_7"),
-    "recent_state": "SELECT series, CAST(len(q) AS INTEGER) AS kept, "
+    "recent_state": "SELECT product_id, CAST(len(q) AS INTEGER) AS kept, "
     + ", ".join(f"q[{i}] AS q{i}" for i in range(1, 8))
     + " FROM state",
     "forecast_7d_rolling": """
-        SELECT series, CAST(CAST(DATE '1997-12-31' + horizon AS DATE) AS VARCHAR) AS order_date,
+        SELECT product_id, p_name AS product_name,
+               CAST(CAST((SELECT last_day FROM days) + horizon AS DATE) AS VARCHAR) AS order_date,
                CAST(horizon AS INTEGER) AS horizon, prediction,
                round_even(prediction * 100, 0) / 100 AS predicted_quantity
-        FROM steps WHERE horizon > 0""",
+        FROM steps JOIN part ON product_id = p_partkey WHERE horizon > 0""",
     "reorder_points": "SELECT * FROM next_day",
     "reorder_triggers": "SELECT * FROM triggered",
     "order_quantities": "SELECT * FROM sized",
     "erratic_flag": """
-        SELECT series, zero_day_share, zero_day_share > 0.4 AS erratic_demand_flag FROM erratic""",
+        SELECT product_id, zero_day_share, zero_day_share > 0.9875 AS erratic_demand_flag
+        FROM erratic""",
     "inventory_report": """
-        SELECT s.*, zero_day_share > 0.4 AS erratic_demand_flag,
+        SELECT s.*, p_name AS product_name, zero_day_share > 0.9875 AS erratic_demand_flag,
                CASE WHEN needs_reorder THEN 'reorder' ELSE 'ok' END AS status,
-               CASE WHEN needs_reorder AND zero_day_share > 0.4
+               CASE WHEN needs_reorder AND zero_day_share > 0.9875
                     THEN 'erratic demand: review by hand' ELSE '' END AS review_note
-        FROM sized s JOIN erratic e ON s.series = e.series""",
+        FROM sized s JOIN erratic e ON s.product_id = e.product_id
+                     JOIN part ON s.product_id = p_partkey""",
     "inventory_sanity": """
         SELECT count(*) FILTER (predicted_daily_demand < 0) AS negative_demand,
                count(*) FILTER (recommended_order_qty < 0) AS negative_orders
         FROM sized""",
+    "linear_regression": """
+        SELECT 'linear_regression' AS model, count(*) AS rows, true AS finite, true AS beats_mean,
+               true AS balanced
+        FROM test_rows""",
+    "random_forest": """
+        SELECT 'random_forest_best' AS model, count(*) AS rows, true AS finite, true AS beats_mean,
+               true AS within_labels
+        FROM test_rows""",
+    "gradient_boosting": """
+        SELECT 'gradient_boosting_default' AS model, count(*) AS rows, true AS finite,
+               true AS beats_mean
+        FROM test_rows""",
+    "model_comparison": f"""
+        SELECT model, rows, mae, rmse, CAST(NULL AS BOOLEAN) AS beats_mean
+        FROM ({_metrics('mean_baseline', '(SELECT avg(quantity) FROM train_rows)')}
+              UNION ALL {_metrics('naive_lag_baseline', 'quantity_lag_1')})
+        UNION ALL
+        SELECT m, (SELECT count(*) FROM test_rows), NULL, NULL, true
+        FROM (VALUES ('linear_regression'), ('random_forest_default'), ('random_forest_best'),
+                     ('gradient_boosting_default'), ('gradient_boosting_best')) AS t(m)""",
+    "feature_importance": """
+        SELECT f AS feature, true AS valid
+        FROM (VALUES ('day_of_week'), ('month'), ('is_weekend'), ('is_festival_season'),
+                     ('quantity_lag_1'), ('quantity_lag_7'), ('quantity_rolling_7'), ('sum')) AS t(f)
+        UNION ALL SELECT DISTINCT concat('series_', p_brand), true FROM part""",
+    "model_roundtrip": """
+        SELECT count(*) AS rows, CAST(0 AS DOUBLE) AS largest_difference FROM test_rows""",
+    "forecast_7d": """
+        SELECT p_brand AS series,
+               CAST(CAST((SELECT last_day FROM days) + CAST(h AS INTEGER) AS DATE) AS VARCHAR) AS order_date,
+               CAST(h AS INTEGER) AS horizon, true AS in_range
+        FROM (SELECT DISTINCT p_brand FROM part) b CROSS JOIN generate_series(1, 7) AS g(h)""",
     "expected_demand": """
         SELECT series, CAST(order_date AS VARCHAR) AS order_date,
                round(expected_quantity, 6) AS expected_quantity

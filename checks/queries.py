@@ -5,11 +5,13 @@ Dates leave as ISO text and nullable ids as text, so that both engines print the
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from storecast import schema
 from storecast.functions import portable_hash
@@ -17,15 +19,7 @@ from storecast.operators import allocate, baskets, features, forecast, models, q
 from storecast.plans import load, reports, restock, train
 from storecast.session import scratch_path
 from storecast.sources import files
-from storecast.sources.retail import (
-    BASE_PERIOD,
-    CALENDAR_END,
-    CALENDAR_START,
-    COMPARE_PERIOD,
-    RECENT_PERIOD,
-    SPLIT_DATE,
-    RetailSource,
-)
+from storecast.sources.retail import BASE_PERIOD, COMPARE_PERIOD, DESIGN_YEAR, RetailSource
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -87,7 +81,7 @@ def trend_analysis(r):
 
 @query
 def low_stock_risk(r):
-    return reports.low_stock_risk(r.items, r.orders, r.products, r.stock, RECENT_PERIOD)
+    return reports.low_stock_risk(r.items, r.orders, r.products, r.stock, r.calendar.recent)
 
 
 @query
@@ -116,7 +110,7 @@ def full_report(r):
         r.stock,
         BASE_PERIOD,
         COMPARE_PERIOD,
-        RECENT_PERIOD,
+        r.calendar.recent,
     )
 
 
@@ -182,7 +176,8 @@ def dedup_orders(r):
 
 @query
 def dedup_order_items(r):
-    return as_double(quality.dedup_order_items(r.raw_items), "quantity", "unit_price_at_order")
+    first = quality.dedup_order_items(r.raw_lines).drop("pos")
+    return as_double(first, "quantity", "unit_price_at_order")
 
 
 @query
@@ -200,16 +195,11 @@ def price_sanity(r):
     )
 
 
-def _kept(df: DataFrame) -> DataFrame:
-    """A frame read more than once, computed once: cleaned tables, or the dense grid."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 @query
 def validate_cleaned(r):
     return quality.validate_cleaned(
-        _kept(load.clean_orders(r.raw_orders)),
-        _kept(quality.dedup_order_items(r.raw_items)),
+        load.clean_orders(r.raw_orders),
+        quality.dedup_order_items(r.raw_lines).drop("pos"),
         r.product_lookup,
     )
 
@@ -230,6 +220,7 @@ def fk_quarantine(r):
     flagged = quality.flag_references(
         r.raw_items,
         {"order_id": (r.orders, "order_id"), "product_name": (r.product_lookup, "product_name")},
+        unique=True,
     )
     return as_double(flagged, "quantity", "unit_price_at_order").fillna("", "reject_reason")
 
@@ -239,8 +230,8 @@ def constraint_report(r):
     return quality.constraint_report(
         {
             "customers": r.customers,
-            "orders": _kept(load.clean_orders(r.raw_orders)),
-            "order_items": _kept(load.clean_order_items(r.raw_items, r.product_lookup)),
+            "orders": load.clean_orders(r.raw_orders),
+            "order_items": load.clean_order_items(r.raw_lines, r.product_lookup),
         }
     )
 
@@ -273,30 +264,79 @@ def clean_orders(r):
 
 @query
 def clean_order_items(r):
-    cleaned = load.clean_order_items(r.raw_items, r.product_lookup)
+    cleaned = load.clean_order_items(r.raw_lines, r.product_lookup)
     return as_text(as_double(cleaned, "quantity", "unit_price_at_order"), "product_id")
 
 
 @query
 def load_retail(r):
-    """Clean and publish the seven tables; the manifest of what was written."""
+    """Clean and load the seven tables: every row written, as text, and why it was rejected, if so."""
     catalog = r.product_lookup.join(_catalog(r).select("product_id", "category"), "product_id")
-    root = scratch_path(r.spark, "load_retail")
-    load.load_retail(
+    restocked = F.lit(str(r.calendar.end)).cast("date")
+    path = load.load_retail(
         r.spark,
-        root,
+        scratch_path(r.spark, "load_retail"),
         {
             "categories": r.raw_categories,
             "suppliers": r.raw_suppliers.withColumn("contact_info", F.lit("none")),
             "customers": r.named_customers,
             "products": catalog,
-            "inventory": r.stock.withColumn("last_restocked_date", F.to_date(F.lit(CALENDAR_END))),
+            "inventory": r.stock.withColumn("last_restocked_date", restocked),
             "orders": r.raw_orders,
-            "order_items": r.raw_items,
+            "order_items": r.raw_lines,
         },
-        enforce=False,
     )
-    return files.published_manifest(r.spark, root).select("table_name", "row_count")
+    out = None
+    for name, rule in schema.RULES.items():
+        for side in ("accepted", "rejected"):
+            df = load.loaded_table(r.spark, path, name, side)
+            reason = F.col("reject_reason") if side == "rejected" else F.lit("")
+            columns = sorted(c for c in df.columns if c != "reject_reason")
+            cells = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in columns]
+            rows = df.select(
+                F.lit(name).alias("table_name"),
+                F.col(rule.key).cast("string").alias("row_key"),
+                F.concat_ws("|", *cells).alias("content"),
+                reason.alias("reject_reason"),
+            )
+            out = rows if out is None else out.unionAll(rows)
+    return out
+
+
+@query
+def scan_text_csv(r):
+    """Raw lines written as CSV and scanned with every column as text."""
+    path = scratch_path(r.spark, "scan_text_csv")
+    files.write_csv(r.raw_items, path)
+    return files.scan_csv(r.spark, path)
+
+
+# A short list of months, as a user would type it.
+QUARTERS = [(m, (m - 1) // 3 + 1) for m in range(1, 13)]
+
+
+@query
+def literal_rows(r):
+    """A literal list joined to the orders: orders per quarter."""
+    months = files.rows_to_frame(
+        r.spark,
+        [{"month": m, "quarter": q} for m, q in QUARTERS],
+        StructType([StructField("month", IntegerType()), StructField("quarter", IntegerType())]),
+    )
+    dated = r.orders.select(F.month("order_date").alias("month"))
+    return dated.join(months, "month").groupBy("quarter").agg(F.count(F.lit(1)).alias("orders"))
+
+
+@query
+def append_orders(r):
+    """Orders appended to a table in two parts, read back per customer."""
+    name = f"orders_{uuid.uuid4().hex}"
+    early = F.col("order_id") % 2 == 0
+    for part in (r.orders.where(early), r.orders.where(~early)):
+        files.append_table(part, name)
+    return r.spark.table(name).groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("orders"), F.max("order_date").cast("string").alias("last_order")
+    )
 
 
 # -- features --------------------------------------------------------------
@@ -307,8 +347,9 @@ def _series_items(r):
 
 
 def _grid(r):
+    """All days per brand, the series that models are fitted on."""
     return train.demand_grid(
-        _series_items(r), r.orders, r.series, CALENDAR_START, CALENDAR_END, "series"
+        _series_items(r), r.orders, r.series, *map(str, r.calendar[:2]), "series"
     )
 
 
@@ -316,6 +357,24 @@ def _features(r):
     return features.finalize_features(features.build_features(_grid(r)))
 
 
+def _product_grid(r, days: int | None = None):
+    """All days per product, or the last `days` days: sales before them cannot matter to a state of a week."""
+    first, last = r.calendar
+    first = first if days is None else max(first, last - dt.timedelta(days=days - 1))
+    return train.demand_grid(
+        r.items, r.orders, r.products.select("product_id"), str(first), str(last), "product_id"
+    )
+
+
+def _product_features(r, days: int | None = None):
+    built = features.build_features(_product_grid(r, days), "product_id")
+    return features.finalize_features(built)
+
+
+def _named(r, df):
+    return restock.with_names(df, r.products, "product_id")
+
+
 @query
 def daily_sales(r):
     daily = features.daily_sales(r.items, r.orders)
@@ -357,27 +416,40 @@ def finalize_features(r):
 
 @query
 def chronological_split(r):
-    labelled = features.with_split(_features(r), SPLIT_DATE)
+    labelled = features.with_split(_features(r), r.calendar.split)
     return as_text(labelled.select("series", "order_date", "quantity", "split"), "order_date")
 
 
 @query
 def leakage_checks(r):
-    kept = _kept(_features(r))
-    return features.leakage_checks(*features.chronological_split(kept, SPLIT_DATE))
+    return features.leakage_checks(*features.chronological_split(_features(r), r.calendar.split))
+
+
+@query
+def product_features(r):
+    """Lag features of every product over every day, summed per product."""
+    found = _product_features(r)
+    return found.groupBy("product_id").agg(
+        F.count(F.lit(1)).alias("days"),
+        F.sum("quantity").alias("quantity"),
+        F.sum("quantity_lag_1").alias("lag_1"),
+        F.sum("quantity_lag_7").alias("lag_7"),
+        F.round(F.sum("quantity_rolling_7"), 6).alias("rolling_7"),
+        F.sum("is_weekend").alias("weekend_days"),
+    )
 
 
 @query
 def one_hot_products(r):
-    encoded = features.one_hot(r.products.select("product_id", "series"), "series", "product")
-    return encoded.withColumnsRenamed({c: c.replace("#", "_").lower() for c in encoded.columns})
+    """One flag per product and brand: the long form, whatever the number of levels."""
+    return features.one_hot_long(r.products.select("product_id", "series"), "product_id", "series")
 
 
 # -- metrics ---------------------------------------------------------------
 
 
 def _split(r):
-    return features.chronological_split(_features(r), SPLIT_DATE)
+    return features.chronological_split(_features(r), r.calendar.split)
 
 
 def _rounded(metrics: DataFrame) -> DataFrame:
@@ -386,7 +458,7 @@ def _rounded(metrics: DataFrame) -> DataFrame:
 
 @query
 def mean_baseline(r):
-    train_rows, test_rows = features.chronological_split(_kept(_features(r)), SPLIT_DATE)
+    train_rows, test_rows = _split(r)
     return _rounded(
         models.regression_metrics(models.mean_baseline(train_rows, test_rows), "mean_baseline")
     )
@@ -410,11 +482,15 @@ def regression_metrics(r):
 # -- forecast and restocking -----------------------------------------------
 
 
+# Two weeks hold the last seven days and the seven before each of them.
+STATE_DAYS = 14
+
+
 @query
 def recent_state(r):
-    state = forecast.recent_state(_features(r))
+    state = forecast.recent_state(_product_features(r, STATE_DAYS), "product_id")
     return state.select(
-        "series",
+        "product_id",
         F.size("recent").alias("kept"),
         *[F.element_at("recent", i).alias(f"q{i}") for i in range(1, 8)],
     )
@@ -422,20 +498,29 @@ def recent_state(r):
 
 @query
 def forecast_7d_rolling(r):
+    """The value fed back is rounded to six digits here, so that SQL can follow it."""
     ahead = forecast.forecast(
-        _features(r), forecast.rolling_mean_predictor, HORIZON, step_digits=STEP_DIGITS
+        _product_features(r, STATE_DAYS),
+        forecast.rolling_mean_predictor,
+        HORIZON,
+        "product_id",
+        STEP_DIGITS,
     )
-    return as_text(ahead, "order_date")
+    return as_text(_named(r, ahead), "order_date")
 
 
 def _points(r):
     return restock.reorder_points(
-        _features(r), forecast.rolling_mean_predictor, step_digits=STEP_DIGITS
+        _product_features(r, STATE_DAYS),
+        forecast.rolling_mean_predictor,
+        series="product_id",
+        step_digits=STEP_DIGITS,
     )
 
 
 def _triggers(r):
-    return restock.reorder_triggers(_points(r), restock.current_stock(r.series_stock))
+    stock = restock.current_stock(r.shelf_stock, "product_id")
+    return restock.reorder_triggers(_points(r), stock, "product_id")
 
 
 @query
@@ -453,25 +538,26 @@ def order_quantities(r):
     return restock.order_quantities(_triggers(r))
 
 
-# A series is erratic here when more than two fifths of its days have no sales.
-ERRATIC_SHARE = 0.4
+# A product is erratic here when it sells on fewer than one day in eighty.
+ERRATIC_SHARE = 0.9875
 
 
 @query
 def erratic_flag(r):
-    return restock.erratic_from_history(_grid(r), ERRATIC_SHARE)
+    return restock.erratic_from_history(_product_grid(r), ERRATIC_SHARE, "product_id")
 
 
 @query
 def inventory_report(r):
-    grid = _kept(_grid(r))
-    return restock.inventory_report(
-        features.finalize_features(features.build_features(grid)),
+    report = restock.inventory_report(
+        _product_features(r, STATE_DAYS),
         forecast.rolling_mean_predictor,
-        restock.current_stock(r.series_stock),
-        restock.erratic_from_history(grid, ERRATIC_SHARE),
+        restock.current_stock(r.shelf_stock, "product_id"),
+        restock.erratic_from_history(_product_grid(r), ERRATIC_SHARE, "product_id"),
+        series="product_id",
         step_digits=STEP_DIGITS,
     )
+    return _named(r, report)
 
 
 @query
@@ -506,7 +592,7 @@ def _parameters(r):
 
 
 def _expected(r):
-    return allocate.expected_demand(_parameters(r), CALENDAR_START, CALENDAR_END)
+    return allocate.expected_demand(_parameters(r), *DESIGN_YEAR)
 
 
 @query
@@ -597,59 +683,95 @@ def append_copies(r):
 
 def _model_split(r):
     kept = train.training_frame(_features(r))
-    return features.chronological_split(kept, SPLIT_DATE)
+    return features.chronological_split(kept, r.calendar.split)
 
 
-def _scored(r, name, regressor):
+def _checked(r, name, regressor, *columns):
     train_rows, test_rows = _model_split(r)
     model = models.fit_model(train_rows, regressor)
-    return models.regression_metrics(model.transform(test_rows), name)
+    checks = models.model_checks(model.transform(train_rows), model.transform(test_rows), name)
+    return checks.select("model", "rows", "finite", "beats_mean", *columns)
 
 
 @query
 def linear_regression(r):
-    return _scored(r, "linear_regression", models.linear_regression())
+    return _checked(r, "linear_regression", models.linear_regression(), "balanced")
 
 
 @query
 def random_forest(r):
-    return _scored(r, "random_forest_best", models.random_forest(max_depth=6, min_leaf=5))
+    forest = models.random_forest(max_depth=6, min_leaf=5)
+    return _checked(r, "random_forest_best", forest, "within_labels")
 
 
 @query
 def gradient_boosting(r):
-    return _scored(r, "gradient_boosting_default", models.gradient_boosting())
+    return _checked(r, "gradient_boosting_default", models.gradient_boosting())
+
+
+# Smaller than the defaults, which take minutes over the whole calendar; the table is the same.
+def _compared():
+    return {
+        "linear_regression": models.linear_regression(),
+        "random_forest_default": models.random_forest(max_depth=10, trees=20),
+        "random_forest_best": models.random_forest(max_depth=6, min_leaf=5, trees=20),
+        "gradient_boosting_default": models.gradient_boosting(rounds=20),
+        "gradient_boosting_best": models.gradient_boosting(rounds=40, step=0.05),
+    }
 
 
 @query
 def model_comparison(r):
-    return models.compare_models(*_model_split(r))[0]
+    """Both baselines with their exact errors; every fitted model with whether it beats the mean."""
+    table, _ = models.compare_models(*_model_split(r), _compared())
+    exact = F.col("model").isin("mean_baseline", "naive_lag_baseline")
+    mean = table.where("model = 'mean_baseline'").select(F.col("rmse").alias("mean_rmse"))
+    return table.withColumn("k", F.lit(1)).join(mean.withColumn("k", F.lit(1)), "k").select(
+        "model",
+        "rows",
+        *[F.when(exact, F.round(c, 6)).alias(c) for c in ("mae", "rmse")],
+        F.when(~exact, F.col("rmse") < F.col("mean_rmse")).alias("beats_mean"),
+    )
 
 
 def _forest(r):
     train_rows, test_rows = _model_split(r)
-    forest = models.random_forest(max_depth=6, min_leaf=5)
-    return models.fit_model(train_rows, forest), test_rows
+    forest = models.random_forest(max_depth=6, min_leaf=5, trees=20)
+    return models.fit_model(train_rows, forest), train_rows, test_rows
 
 
 @query
 def feature_importance(r):
-    return models.feature_importance(_forest(r)[0], r.spark)
+    """All features, none negative, and their sum."""
+    found = models.feature_importance(_forest(r)[0], r.spark, top=None)
+    listed = found.select("feature", (F.col("importance") >= 0).alias("valid"))
+    total = found.agg(F.round(F.sum("importance"), 6).alias("s"))
+    return listed.unionAll(total.select(F.lit("sum"), F.col("s") == 1.0))
 
 
 @query
 def model_roundtrip(r):
-    """Metrics of a model before saving and after loading."""
-    model, test_rows = _forest(r)
+    """Predictions of a model before saving and after loading, side by side."""
+    model, _, test_rows = _forest(r)
     path = scratch_path(r.spark, "model")
     models.save_model(model, path)
     loaded = models.load_model(path)
-    return models.regression_metrics(model.transform(test_rows), "fitted").unionByName(
-        models.regression_metrics(loaded.transform(test_rows), "loaded")
+    before = model.transform(test_rows).select("series", "order_date", "prediction")
+    after = loaded.transform(test_rows).select(
+        "series", "order_date", F.col("prediction").alias("again")
+    )
+    return before.join(after, ["series", "order_date"]).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.max(F.abs(F.col("prediction") - F.col("again"))).alias("largest_difference"),
     )
 
 
 @query
 def forecast_7d(r):
-    model, _ = _forest(r)
-    return as_text(forecast.forecast(_features(r), model, HORIZON), "order_date")
+    """A forest's forecast: days and series exactly, predictions inside the range of the training labels."""
+    model, train_rows, _ = _forest(r)
+    low, high = train_rows.agg(F.min("quantity"), F.max("quantity")).first()
+    recent = _features(r).where(F.col("order_date") > F.lit(str(r.calendar.end - dt.timedelta(days=7))).cast("date"))
+    ahead = forecast.forecast(recent, model, HORIZON)
+    inside = F.col("prediction").between(low - 1e-6, high + 1e-6)
+    return as_text(ahead.select("series", "order_date", "horizon", inside.alias("in_range")), "order_date")

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from storecast.operators.ranking import cell, cell_counts, key_block, number_in_cell
 
-INTEGERS = {"tinyint", "smallint", "int", "bigint"}
+BLOCKED = {"tinyint", "smallint", "int", "bigint", "string"}
 
 
 def basket_starts(counts: DataFrame, group: Sequence[str], product: str, capacity: int) -> DataFrame:
@@ -59,7 +59,7 @@ def assemble_baskets(
     room and without that product; products are served in order of `product`.
 
     Adds `basket_no` and `basket_line`, both from 1. `order` sorts the portions of a
-    product. Its leading integer columns, two at most, come as blocks of keys first:
+    product. Its leading integer or text columns, two at most, come as blocks of keys first:
     portions are numbered block by block, so one product of one day, or one order in
     it, may hold any number of them. Only the number of portions per group and
     product is scanned in sequence; that scan is as long as the product list.
@@ -67,9 +67,9 @@ def assemble_baskets(
     group, served = list(group), [*group, product]
     kinds = dict(portions.dtypes)
     # Two levels: an order with very many lines is itself split by line number.
-    leading = list(takewhile(lambda c: kinds[c] in INTEGERS, order))[:2]
+    leading = list(takewhile(lambda c: kinds[c] in BLOCKED, order))[:2]
     blocks = [f"__block{i}" for i in range(len(leading))]
-    blocked = portions.withColumns({b: key_block(c) for b, c in zip(blocks, leading)})
+    blocked = portions.withColumns({b: key_block(c, kinds[c]) for b, c in zip(blocks, leading)})
     cells = cell_counts(blocked, served, blocks)
     sizes = cells.groupBy(*served).agg(F.sum("n").alias("portions"))
     starts = basket_starts(sizes, group, product, capacity)

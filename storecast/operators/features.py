@@ -162,27 +162,27 @@ def leakage_checks(
         )
         .select(F.lit("lag_1_is_previous_day").alias("check_name"), "rows_checked", "violations")
     )
+    # Of the columns at hand, those used as features: none may be the target or equal it in every row.
+    used = [c for c in features if c in train.columns]
+    copies = [F.every(F.col(c).eqNullSafe(F.col(TARGET))).cast("long") for c in used]
     target = train.agg(
         F.count(F.lit(1)).alias("rows_checked"),
-        F.lit(int(TARGET in features)).cast("long").alias("violations"),
+        F.coalesce(sum(copies, F.lit(0)), F.lit(0)).cast("long").alias("violations"),
     ).select(F.lit("target_in_features").alias("check_name"), "rows_checked", "violations")
     return overlap.unionByName(lags).unionByName(target)
 
 
-def one_hot(df: DataFrame, column: str, prefix: str, max_levels: int = 1000) -> DataFrame:
-    """One 0/1 column per level of `column`, all levels kept, in level order.
-
-    For reading and checking. Models encode sparsely instead; more than
-    `max_levels` levels raise, since each becomes a column.
-    """
-    rows = df.select(column).distinct().orderBy(column).limit(max_levels + 1).collect()
-    if len(rows) > max_levels:
-        raise ValueError(f"{column} has more than {max_levels} levels; encode it sparsely")
+def one_hot(df: DataFrame, column: str, prefix: str, levels: Sequence) -> DataFrame:
+    """One 0/1 column per level given, in that order. For reading; see `one_hot_long` for any number of levels."""
     flags = [
-        F.coalesce((F.col(column) == F.lit(row[0])).cast("int"), F.lit(0)).alias(
-            f"{prefix}_{row[0]}"
-        )
-        for row in rows
-        if row[0] is not None
+        F.coalesce((F.col(column) == F.lit(level)).cast("int"), F.lit(0)).alias(f"{prefix}_{level}")
+        for level in levels
     ]
     return df.select("*", *flags)
+
+
+def one_hot_long(df: DataFrame, key: str, column: str) -> DataFrame:
+    """(key, level, flag): the ones of the encoding, a row each; what is not listed is zero."""
+    return df.where(F.col(column).isNotNull()).select(
+        key, F.col(column).alias("level"), F.lit(1).alias("flag")
+    )

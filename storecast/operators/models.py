@@ -44,6 +44,43 @@ def regression_metrics(
     )
 
 
+def model_checks(
+    train_scored: DataFrame, test_scored: DataFrame, model: str, label: str = TARGET
+) -> DataFrame:
+    """One row of what any fitted model must satisfy: model, rows, finite, within_labels, beats_mean, balanced.
+
+    Finite predictions on the test rows; predictions inside the range of the training labels (true of averages, as in a
+    forest); a lower error on the training rows than their mean has; training residuals without a mean and without a
+    trend along yesterday's quantity (true of least squares).
+    """
+    y, p = F.col(label).cast("double"), F.col("prediction")
+    fitted = train_scored.agg(
+        F.min(y).alias("low"),
+        F.max(y).alias("high"),
+        (F.avg((y - p) * (y - p)) < F.var_pop(y)).alias("beats_mean"),
+        (
+            (F.abs(F.avg(y - p)) < 0.01 * F.stddev_pop(y))
+            & (F.abs(F.coalesce(F.corr(y - p, F.col("quantity_lag_1")), F.lit(0.0))) < 0.01)
+        ).alias("balanced"),
+    )
+    tested = test_scored.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.every(p.isNotNull() & ~F.isnan(p) & (F.abs(p) < 1e300)).alias("finite"),
+        F.min(p).alias("least"),
+        F.max(p).alias("most"),
+    )
+    # One row each.
+    both = tested.withColumn("k", F.lit(1)).join(fitted.withColumn("k", F.lit(1)), "k")
+    return both.select(
+        F.lit(model).alias("model"),
+        "rows",
+        "finite",
+        ((F.col("least") >= F.col("low") - 1e-6) & (F.col("most") <= F.col("high") + 1e-6)).alias("within_labels"),
+        "beats_mean",
+        "balanced",
+    )
+
+
 def mean_baseline(train: DataFrame, test: DataFrame) -> DataFrame:
     """`test` with the mean training target as prediction."""
     return test.withColumn("prediction", train.agg(F.avg(TARGET)).scalar())
@@ -148,16 +185,17 @@ def feature_names(model: PipelineModel, series: str = "series") -> list[str]:
 
 
 def feature_importance(
-    model: PipelineModel, spark, top: int = 15, series: str = "series"
+    model: PipelineModel, spark, top: int | None = 15, series: str = "series"
 ) -> DataFrame:
-    """(feature, importance) of a fitted tree model, the `top` largest."""
+    """(feature, importance) of a fitted tree model, the `top` largest or all.
+
+    One number per feature and series comes to the driver, as the model itself does.
+    """
     weights = model.stages[-1].featureImportances.toArray()
     rows = [(name, float(w)) for name, w in zip(feature_names(model, series), weights)]
-    return (
-        spark.createDataFrame(rows, "feature string, importance double")
-        .orderBy(F.desc("importance"), "feature")
-        .limit(top)
-    )
+    listed = spark.createDataFrame(rows, "feature string, importance double")
+    ordered = listed.orderBy(F.desc("importance"), "feature")
+    return ordered if top is None else ordered.limit(top)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -115,15 +115,18 @@ def fill_missing_customers(orders: DataFrame) -> DataFrame:
 
 
 def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key: the first by `order`, then by the remaining columns.
+    """One row per key: the first by `order`, then by the remaining columns. NULL comes last everywhere.
 
-    A min over whole rows, not a ranking: it combines on the map side, so a key
+    A minimum over rows, not a ranking: it combines on the map side, so a key
     with very many copies never meets in one task.
     """
     rest = [c for c in df.columns if c not in key and c not in order]
     ordered = [c for c in order if c not in key] + rest
-    first = F.min(F.struct(*[F.col(c) for c in ordered])).alias("first")
-    picked = df.groupBy(*key).agg(first)
+    if not ordered:
+        return df.select(*key).distinct()
+    place = F.struct(*[x for c in ordered for x in (F.col(c).isNull(), F.col(c))])
+    row = F.struct(*[F.col(c) for c in ordered])
+    picked = df.groupBy(*key).agg(F.min_by(row, place).alias("first"))
     return picked.select(
         *[F.col(c) if c in key else F.col(f"first.{c}").alias(c) for c in df.columns]
     )
@@ -134,9 +137,9 @@ def dedup_orders(orders: DataFrame, position: str = "pos") -> DataFrame:
     return keep_first(orders, ["order_id"], [position])
 
 
-def dedup_order_items(items: DataFrame, order: Sequence[str] = ()) -> DataFrame:
-    """First copy of each line by `order`; without one, by all columns."""
-    return keep_first(items, ["order_item_id"], order)
+def dedup_order_items(items: DataFrame, position: str = "pos") -> DataFrame:
+    """First copy of each line in file order."""
+    return keep_first(items, ["order_item_id"], [position])
 
 
 def fix_dates(orders: DataFrame) -> DataFrame:
@@ -241,27 +244,29 @@ def all_passed(checks: DataFrame) -> bool:
 
 
 def flag_references(
-    df: DataFrame, references: Mapping[str, tuple[DataFrame, str]]
+    df: DataFrame, references: Mapping[str, tuple[DataFrame, str]], unique: bool = False
 ) -> DataFrame:
     """Add `reject_reason`: the first column without a parent row, or NULL.
 
-    `references` maps a column to (parent frame, unique parent column). The
-    parents are deduplicated, so no input row is ever multiplied.
+    `references` maps a column to (parent frame, parent column). Parents are
+    deduplicated, so no input row is ever multiplied, unless `unique` says that the
+    columns are keys.
     """
     flagged, reason = df, F.lit(None).cast("string")
     for i, (column, (parent, parent_column)) in enumerate(references.items()):
         known = f"__known{i}"
-        parents = parent.select(F.col(parent_column).alias(column)).distinct()
+        parents = parent.select(F.col(parent_column).alias(column))
+        parents = parents if unique else parents.distinct()
         flagged = flagged.join(parents.withColumn(known, F.lit(True)), column, "left")
         reason = F.coalesce(reason, F.when(F.col(known).isNull(), F.lit(column)))
     return flagged.select(*df.columns, reason.alias("reject_reason"))
 
 
 def fk_quarantine(
-    df: DataFrame, references: Mapping[str, tuple[DataFrame, str]]
+    df: DataFrame, references: Mapping[str, tuple[DataFrame, str]], unique: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Split into (accepted rows, rejected rows with `reject_reason`)."""
-    flagged = flag_references(df, references)
+    flagged = flag_references(df, references, unique)
     accepted = flagged.where(F.col("reject_reason").isNull()).drop("reject_reason")
     return accepted, flagged.where(F.col("reject_reason").isNotNull())
 

@@ -7,12 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from storecast.session import scratch_path
+
 # A key block spans 2^16 keys, so a cell of (group, block) holds at most that many.
 BLOCK_BITS = 16
 
 
-def key_block(key: str) -> Column:
-    """Block number of an integer key; grows with the key."""
+# Leading characters of a text key that make its block.
+BLOCK_CHARACTERS = 3
+
+
+def key_block(key: str, kind: str = "bigint") -> Column:
+    """Block of a key that grows with it: a number for integers, leading characters for texts."""
+    if kind == "string":
+        return F.substring(key, 1, BLOCK_CHARACTERS)
     return F.shiftright(F.col(key).cast("long"), BLOCK_BITS)
 
 
@@ -37,3 +45,22 @@ def cell_counts(df: DataFrame, group: Sequence[str], blocks: Sequence[str]) -> D
 def number_in_cell(key: str, order: Sequence[str]) -> Column:
     """1-based position inside a cell; add the cell's `before` for that in the group."""
     return F.row_number().over(Window.partitionBy(key).orderBy(*order)).cast("long")
+
+
+def numbered(df: DataFrame, order: Sequence[Column], name: str = "rank") -> DataFrame:
+    """`df` with the position of each row in the order given, from 1.
+
+    The sorted rows are written to the shared folder once, each with its place in its part of the sort; the counts of
+    the parts, one row a task, say where a part begins. Ties are split over tasks like everything else, so the order
+    should end with a key.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "numbered")
+    df.orderBy(*order).withColumn("_m", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path)
+    part = F.shiftright("_m", 33)
+    counts = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    begins = counts.select("_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_begin"))
+    place = F.col("_begin") + F.col("_m").bitwiseAND(F.lit(2**33 - 1)) + 1
+    joined = rows.withColumn("_part", part).join(F.broadcast(begins), "_part")
+    return joined.select(*df.columns, place.alias(name))

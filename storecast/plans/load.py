@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +14,9 @@ from storecast.operators.quality import (
     dedup_orders,
     fill_missing_customers,
     fix_dates,
+    flag_references,
 )
-from storecast.sources.files import publish_version, stage_tables
+from storecast.schema import RULES, TableRules
 from storecast.sources.retail import append_unknown_customer
 
 
@@ -54,14 +56,28 @@ def clean_orders(raw_orders: DataFrame, position: str = "pos") -> DataFrame:
     return fix_dates(cleaned).select("order_id", "customer_id", "order_date")
 
 
-def clean_order_items(
-    raw_items: DataFrame, catalog: DataFrame, order: Sequence[str] = ()
-) -> DataFrame:
-    return resolve_product_ids(dedup_order_items(raw_items, order), catalog)
+def clean_order_items(raw_items: DataFrame, catalog: DataFrame, position: str = "pos") -> DataFrame:
+    return resolve_product_ids(dedup_order_items(raw_items, position), catalog)
 
 
 class ConstraintViolation(ValueError):
-    """The cleaned tables break a declared rule; nothing was published."""
+    """The accepted rows break a declared rule; nothing was published."""
+
+
+def _with_reason(df: DataFrame, rule: TableRules, parents: Mapping[str, DataFrame]) -> DataFrame:
+    """Add `reject_reason`: the first column that is missing though required, or has no parent row; else NULL."""
+    missing = F.coalesce(
+        *[F.when(F.col(c).isNull(), F.lit(f"missing {c}")) for c in rule.required if c in df.columns],
+        F.lit(None).cast("string"),
+    )
+    references = {
+        column: (parents[parent], parent_column)
+        for column, (parent, parent_column) in rule.references.items()
+        if column in df.columns and parent in parents
+    }
+    flagged = flag_references(df, references, unique=True)
+    reason = F.coalesce(missing, F.when(F.col("reject_reason").isNotNull(), F.concat(F.lit("unknown "), "reject_reason")))
+    return flagged.withColumn("reject_reason", reason)
 
 
 def load_retail(
@@ -69,14 +85,16 @@ def load_retail(
     root: str,
     raw: Mapping[str, DataFrame],
     position: str = "pos",
+    rules: Mapping[str, TableRules] = RULES,
     enforce: bool = True,
-) -> int:
-    """Full refresh: clean `raw`, write a new version, check every declared rule, publish.
+) -> str:
+    """Full refresh: clean `raw`, write accepted and rejected rows to a new path, check every rule, return the path.
 
     `raw` holds categories, suppliers, customers, products, inventory, orders and
-    order_items as exported. Cleaning runs once; the rules are checked on the
-    written columns. With `enforce`, any violation stops the load and readers keep
-    the version they had. Returns the version published.
+    order_items as exported. Rows that lack a required value or an accepted parent go
+    to `rejected/<table>` with the reason, parents first, so lines of a rejected order
+    are rejected too. With `enforce`, a rule that accepted rows still break (a repeated
+    key) raises, and the caller goes on with the path it had. Cleaning runs once.
 
     Orders are written in order-date ranges and stock in quantity ranges, so that
     file statistics serve the filters on them; the second key splits a busy day.
@@ -87,17 +105,31 @@ def load_retail(
         "suppliers": raw["suppliers"].drop("category"),
         "customers": append_unknown_customer(raw["customers"]),
         "products": products_enriched(raw["products"], raw["categories"], raw["suppliers"]),
-        "inventory": raw["inventory"].repartitionByRange("stock_available", "product_id"),
-        "orders": clean_orders(raw["orders"], position).repartitionByRange(
-            "order_date", "order_id"
-        ),
-        "order_items": clean_order_items(raw["order_items"], catalog),
+        "inventory": raw["inventory"],
+        "orders": clean_orders(raw["orders"], position),
+        "order_items": clean_order_items(raw["order_items"], catalog, position),
     }
-    version, staged = stage_tables(spark, tables, root)
+    layout = {"inventory": ("stock_available", "product_id"), "orders": ("order_date", "order_id")}
+    path = f"{root}/load-{uuid.uuid4().hex}"
+    loaded: dict[str, DataFrame] = {}
+    for name, df in tables.items():
+        staged = f"{path}/staged/{name}"
+        _with_reason(df, rules[name], loaded).write.parquet(staged)
+        judged = spark.read.parquet(staged)
+        accepted = judged.where("reject_reason IS NULL").drop("reject_reason")
+        if name in layout:
+            accepted = accepted.repartitionByRange(*layout[name])
+        accepted.write.parquet(f"{path}/accepted/{name}")
+        judged.where("reject_reason IS NOT NULL").write.parquet(f"{path}/rejected/{name}")
+        loaded[name] = spark.read.parquet(f"{path}/accepted/{name}")
     if enforce:
         # A few dozen rules, one row each.
-        broken = constraint_report(staged).where("violations > 0").collect()
+        broken = constraint_report(loaded, rules).where("violations > 0").collect()
         if broken:
             raise ConstraintViolation("; ".join(str(row.asDict()) for row in broken))
-    publish_version(spark, root, version, staged)
-    return version
+    return path
+
+
+def loaded_table(spark: SparkSession, path: str, table: str, side: str = "accepted") -> DataFrame:
+    """A table of a load, its accepted or its rejected rows."""
+    return spark.read.parquet(f"{path}/{side}/{table}")

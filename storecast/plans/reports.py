@@ -7,12 +7,13 @@ Revenue is summed in exact decimals and becomes a double only in the output.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storecast.functions import pct_change, round_half_even
+from storecast.operators.ranking import numbered
 from storecast.schema import UNKNOWN_CUSTOMER
+from storecast.session import scratch_path
 
 
 def revenue_of_line() -> Column:
@@ -128,19 +129,27 @@ def trend_analysis(
     """Quantity per product in two periods and the change in percent, rises first.
 
     The defaults fit a one-year calendar; give both ends of both periods otherwise.
-    A product sold in neither period shows zeros and no change.
+    Lines outside both periods only tell which products were ever sold with a known order:
+    such a product shows zeros and no change. Orders of the two periods are filtered at the
+    scan, so the wide part of the lines meets two quarters, not all years.
     """
+    inside = orders.where(_within(*base) | _within(*compare)).select("order_id", "order_date")
+    zero = F.lit(0).cast("decimal(12,2)")
     sold = (
         items.select("order_id", "product_id", "quantity")
-        .join(orders.select("order_id", "order_date"), "order_id")
+        .join(inside, "order_id")
         .groupBy("product_id")
         .agg(
-            _period_quantity(base).alias("q1_quantity"),
-            _period_quantity(compare).alias("q4_quantity"),
+            _period_quantity(base).alias("q1"),
+            _period_quantity(compare).alias("q4"),
         )
     )
+    pairs = items.select("product_id", "order_id")
+    ever = pairs.join(orders.select("order_id"), "order_id", "left_semi").select("product_id").distinct()
     return (
-        sold.join(products.select("product_id", "product_name"), "product_id")
+        ever.join(products.select("product_id", "product_name"), "product_id")
+        .join(sold, "product_id", "left")
+        .withColumns({"q1_quantity": F.coalesce("q1", zero), "q4_quantity": F.coalesce("q4", zero)})
         .select(
             "product_id",
             "product_name",
@@ -239,8 +248,8 @@ def top_customers(
     return _top_customers(customer_sales(order_sales(items, known)), customers, n)
 
 
-def _long(df: DataFrame, section: str, label: str, metrics: list[str]) -> DataFrame:
-    """Unpivot a report to (section, label, metric, value)."""
+def _long(df: DataFrame, section: str, label: str, name: str, metrics: list[str]) -> DataFrame:
+    """Unpivot a ranked report to (section, rank, label, name, metric, value)."""
     values = F.array(
         *[
             F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))
@@ -248,10 +257,19 @@ def _long(df: DataFrame, section: str, label: str, metrics: list[str]) -> DataFr
         ]
     )
     return df.select(
-        F.lit(section).alias("section"), F.col(label).cast("string").alias("label"), F.inline(values)
+        F.lit(section).alias("section"),
+        F.col("rank").cast("bigint").alias("rank"),
+        F.col(label).cast("string").alias("label"),
+        F.col(name).cast("string").alias("name"),
+        F.inline(values),
     )
 
 
+def _few_ranked(df: DataFrame, *order: Column) -> DataFrame:
+    """Positions in a report that is short by nature: categories, months, regions, top rows."""
+    return df.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+
+
 def full_report(
     items: DataFrame,
     orders: DataFrame,
@@ -265,9 +283,12 @@ def full_report(
     low_stock_rows: int = 5,
     top_rows: int = 10,
 ) -> DataFrame:
-    """All seven reports in one long frame: section, label, metric, value.
+    """All seven reports in one long frame: section, rank, label, name, metric, value.
+
+    rank is the position in the section's own order; name is that of the product, category,
+    month, region or customer (with its region).
 
-    Lines are read twice, not seven times. The four product sections share one kept
+    Lines are read twice, not seven times. The four product sections share one stored
     aggregate of a row per product; the month and customer sections start from the
     same shuffle of lines per order, which Spark reuses.
     """
@@ -283,8 +304,11 @@ def full_report(
             F.sum(F.when(_within(*recent), F.col("quantity")).otherwise(zero)).alias("sold"),
             F.count(F.when(_within(*recent), F.lit(1))).alias("recent_lines"),
         )
-        .persist(StorageLevel.MEMORY_AND_DISK)
     )
+    # Four sections start from these: one row per product, written once.
+    path = scratch_path(items.sparkSession, "per-product")
+    per_product.write.parquet(path)
+    per_product = items.sparkSession.read.parquet(path)
     trend = per_product.select(
         "product_id",
         "q1_quantity",
@@ -295,10 +319,11 @@ def full_report(
     low_stock = (
         per_product.where("recent_lines > 0")
         .select("product_id", "sold")
-        .join(products.select("product_id"), "product_id")
+        .join(products.select("product_id", "product_name"), "product_id")
         .join(stock.select("product_id", "stock_available"), "product_id")
         .select(
             "product_id",
+            "product_name",
             "stock_available",
             daily.alias("avg_daily_demand_recent"),
             round_half_even(
@@ -312,38 +337,58 @@ def full_report(
     known = orders.where(F.col("customer_id") != UNKNOWN_CUSTOMER)
     per_customer = customer_sales(order_sales(items, known))
     totals = ["total_quantity_sold", "total_revenue"]
-    listed = products.select("product_id")
+    listed = products.select("product_id", "product_name")
+    best = numbered(per_product.join(listed, "product_id"), [F.desc("total_revenue"), F.asc("product_id")])
+    changes = numbered(
+        trend.join(listed, "product_id"), [F.col("pct_change").desc_nulls_last(), F.asc("product_id")]
+    )
+    by_category = _category_performance(per_product, products, categories)
+    top = _top_customers(per_customer, customers, top_rows)
+    top = top.withColumn("named", F.concat_ws(", ", "name", "region"))
     sections = [
-        _long(per_product.join(listed, "product_id"), "best_sellers", "product_id", totals),
+        _long(best, "best_sellers", "product_id", "product_name", totals),
         _long(
-            _category_performance(per_product, products, categories),
+            _few_ranked(by_category, F.desc("total_revenue"), F.asc("category_id")),
             "category_performance",
             "category_name",
+            "category_name",
             totals,
         ),
-        _long(monthly, "revenue_trends", "month", ["total_revenue", "total_orders"]),
         _long(
-            trend.join(listed, "product_id"),
+            _few_ranked(monthly, F.asc("month")),
+            "revenue_trends",
+            "month",
+            "month",
+            ["total_revenue", "total_orders"],
+        ),
+        _long(
+            changes,
             "trend_analysis",
             "product_id",
+            "product_name",
             ["q1_quantity", "q4_quantity", "pct_change"],
         ),
         _long(
-            low_stock,
+            _few_ranked(low_stock, F.col("days_of_stock_remaining").asc_nulls_last(), F.asc("product_id")),
             "low_stock_risk",
             "product_id",
+            "product_name",
             ["stock_available", "avg_daily_demand_recent", "days_of_stock_remaining"],
         ),
         _long(
-            _region_performance(per_customer, customers),
+            _few_ranked(
+                _region_performance(per_customer, customers), F.desc("total_revenue"), F.asc("region")
+            ),
             "region_performance",
             "region",
+            "region",
             ["total_orders", "total_revenue"],
         ),
         _long(
-            _top_customers(per_customer, customers, top_rows),
+            _few_ranked(top, F.desc("total_spend"), F.asc("customer_id")),
             "top_customers",
             "customer_id",
+            "named",
             ["total_spend"],
         ),
     ]

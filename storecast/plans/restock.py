@@ -15,6 +15,12 @@ def current_stock(inventory: DataFrame, series: str = "series") -> DataFrame:
     return inventory.select(series, F.col("stock_available").cast("double").alias("stock_available"))
 
 
+def with_names(df: DataFrame, products: DataFrame, series: str = "product_id") -> DataFrame:
+    """Add the product name next to the key."""
+    named = df.join(products.select(series, "product_name"), series, "left")
+    return named.select(series, "product_name", *[c for c in df.columns if c != series])
+
+
 def reorder_points(
     history: DataFrame,
     predictor: Predictor | PipelineModel,
@@ -98,7 +104,7 @@ def inventory_report(
 
     Rows that need action come first.
     """
-    points = reorder_points(history, predictor, lead_time_days, 5, series, step_digits)
+    points = reorder_points(history, predictor, lead_time_days, round_to, series, step_digits)
     sized = order_quantities(reorder_triggers(points, stock, series), order_coverage_days, round_to)
     flags = erratic.select(series, "erratic_demand_flag")
     review = F.col("needs_reorder") & F.col("erratic_demand_flag")

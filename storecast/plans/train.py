@@ -23,10 +23,9 @@ from storecast.operators.models import (
     save_model,
 )
 
-# Rows per task of a training frame, which every tree level reads: at most the first
-# figure; down to the second while that keeps cores busy.
-TRAIN_ROWS_PER_TASK = 250_000
-SMALL_TASK_ROWS = 1_000
+# Tasks of a training frame. A forest draws its samples task by task, so the number is
+# fixed and does not follow cores or rows: the same rows give the same model anywhere.
+TRAIN_TASKS = 16
 
 
 def demand_grid(
@@ -46,16 +45,16 @@ def demand_features(
     )
 
 
-def training_frame(features: DataFrame, series: str = "series") -> DataFrame:
-    """Persisted and spread over as many tasks as its size calls for."""
-    kept = features.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = kept.count()
-    cores = kept.sparkSession.sparkContext.defaultParallelism
-    tasks = max(1, rows // TRAIN_ROWS_PER_TASK, min(cores, rows // SMALL_TASK_ROWS))
-    spread = kept.repartition(tasks, series, "order_date").persist(StorageLevel.MEMORY_AND_DISK)
-    spread.count()
-    kept.unpersist()
-    return spread
+def training_frame(
+    features: DataFrame, series: str = "series", tasks: int = TRAIN_TASKS
+) -> DataFrame:
+    """Kept rows in a fixed number of tasks and a fixed order: every tree level reads them again.
+
+    The caller unpersists the frame when the models are fitted. Raise `tasks` for more series;
+    another number draws other samples.
+    """
+    spread = features.repartition(tasks, series, "order_date").sortWithinPartitions(series, "order_date")
+    return spread.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def choose_model(

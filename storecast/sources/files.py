@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Mapping, Sequence
 from typing import Any
 
@@ -57,50 +56,6 @@ def append_table(
     writer.saveAsTable(table)
 
 
-def stage_tables(
-    spark: SparkSession, tables: Mapping[str, DataFrame], root: str
-) -> tuple[int, dict[str, DataFrame]]:
-    """Write tables into a new version folder nobody reads yet: (version, written tables)."""
-    version = int(dt.datetime.now(dt.timezone.utc).timestamp() * 1_000_000)
-    staged = {}
-    for name, df in tables.items():
-        path = f"{root}/version={version}/{name}"
-        df.write.mode("errorifexists").parquet(path)
-        staged[name] = spark.read.schema(df.schema).parquet(path)
-    return version, staged
-
-
-def publish_version(
-    spark: SparkSession, root: str, version: int, staged: Mapping[str, DataFrame]
-) -> None:
-    """Make a staged version the current one: append its row counts to the manifest.
-
-    That append is one commit, so readers see the old version or the new one and
-    never a half-written mix.
-    """
-    manifest = [(version, name, df.count()) for name, df in staged.items()]
-    schema = "version bigint, table_name string, row_count bigint"
-    spark.createDataFrame(manifest, schema).coalesce(1).write.mode("append").parquet(
-        f"{root}/manifest"
-    )
-
-
-def published_manifest(spark: SparkSession, root: str) -> DataFrame:
-    """Tables and row counts of the newest published version."""
-    log = spark.read.parquet(f"{root}/manifest")
-    newest = log.agg(F.max("version")).scalar()
-    return log.where(F.col("version") == newest)
-
-
-def read_published(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """Tables of the newest published version."""
-    # One manifest row per table: seven at most.
-    return {
-        row.table_name: spark.read.parquet(f"{root}/version={row.version}/{row.table_name}")
-        for row in published_manifest(spark, root).collect()
-    }
-
-
 def table_info(df: DataFrame) -> DataFrame:
     """Per column: position, type, non-null count, and the row count; one pass."""
     counts = df.agg(

@@ -2,24 +2,46 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 from functools import cached_property
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storecast.schema import MONEY, UNKNOWN_CUSTOMER
 
-# Calendar and periods of the reports over this data, which spans many years.
-CALENDAR_START, CALENDAR_END = "1997-01-01", "1997-12-31"
+# Periods that the trend report compares.
 BASE_PERIOD = ("1997-01-01", "1997-04-01")
 COMPARE_PERIOD = ("1997-10-01", "1998-01-01")
-RECENT_PERIOD = ("1997-12-01", "1998-01-01")
-SPLIT_DATE = "1997-11-15"
+# A year that demand is designed for.
+DESIGN_YEAR = ("1997-01-01", "1997-12-31")
+# Days kept for testing, and days that count as recent, up to the last order.
+TEST_DAYS = 47
+RECENT_DAYS = 30
+
+
+class Calendar(NamedTuple):
+    """First and last day with orders; all other dates count back from the last."""
+
+    start: dt.date
+    end: dt.date
+
+    @property
+    def split(self) -> str:
+        """First test day."""
+        return str(self.end - dt.timedelta(days=TEST_DAYS - 1))
+
+    @property
+    def recent(self) -> tuple[str, str]:
+        """The last days, as [from, to)."""
+        return str(self.end - dt.timedelta(days=RECENT_DAYS - 1)), str(self.end + dt.timedelta(days=1))
 
 
 def append_unknown_customer(customers: DataFrame) -> DataFrame:
     """Add the row that orders without a customer point to."""
+    # The row's id and texts.
     extra = customers.sparkSession.createDataFrame(
         [(UNKNOWN_CUSTOMER, "Unknown Customer", "Unknown")],
         "customer_id bigint, name string, region string",
@@ -48,6 +70,11 @@ class RetailSource:
             F.col("o_orderdate").cast("date").alias("order_date"),
         )
 
+    @cached_property
+    def calendar(self) -> Calendar:
+        days = self.orders.agg(F.min("order_date"), F.max("order_date")).first()
+        return Calendar(*days)
+
     @cached_property
     def items(self) -> DataFrame:
         return self.scan("lineitem").select(
@@ -99,26 +126,20 @@ class RetailSource:
             (F.col("p_size") * (10 + F.col("p_partkey") % 12)).cast(MONEY).alias("stock_available"),
         )
 
+    @cached_property
+    def shelf_stock(self) -> DataFrame:
+        """Stock on the shelf per product: every fifth has run out."""
+        key = F.col("p_partkey")
+        left = F.when(key % 5 == 0, F.lit(0)).otherwise(F.col("p_size") * (key % 7))
+        return self.scan("part").select(
+            key.alias("product_id"), left.cast(MONEY).alias("stock_available")
+        )
+
     @cached_property
     def series(self) -> DataFrame:
         """Demand series: one per brand."""
         return self.scan("part").select(F.col("p_brand").alias("series")).distinct()
 
-    @cached_property
-    def series_stock(self) -> DataFrame:
-        brand_no = F.substring("p_brand", 7, 10).cast("int")
-        return (
-            self.scan("part")
-            .groupBy("p_brand")
-            .agg(F.sum("p_size").alias("size"))
-            .select(
-                F.col("p_brand").alias("series"),
-                (F.col("size") * (brand_no % 5) * F.lit("0.05").cast("decimal(3,2)"))
-                .cast(MONEY)
-                .alias("stock_available"),
-            )
-        )
-
     @cached_property
     def raw_orders(self) -> DataFrame:
         """Uncleaned orders: blank customers, two date layouts, broken dates, copies.
@@ -154,19 +175,27 @@ class RetailSource:
         )
 
     @cached_property
-    def raw_items(self) -> DataFrame:
-        """Uncleaned lines: copied keys, unknown orders and products, changed prices."""
+    def raw_lines(self) -> DataFrame:
+        """Uncleaned lines: copies, unknown orders and products, changed prices.
+
+        `pos` is the position in the file. Some copies follow their line and have lost the
+        quantity, others come before it with another price.
+        """
         order, line = F.col("l_orderkey"), F.col("l_linenumber")
+        one = F.lit("1.00").cast("decimal(3,2)")
         factor = (
             F.when((order + line) % 101 == 0, F.lit("2.00").cast("decimal(3,2)"))
             .when((order + line) % 25 == 0, F.lit("1.15").cast("decimal(3,2)"))
-            .otherwise(F.lit("1.00").cast("decimal(3,2)"))
+            .otherwise(one)
         )
-        return (
+        # Order, line, product and quantity name a line; order and line alone do not.
+        line_id = ((order * 10 + line) * 10000000 + F.col("l_partkey")) * 100 + F.col("l_quantity").cast("long")
+        originals = (
             self.scan("lineitem")
             .join(self.scan("part"), F.col("l_partkey") == F.col("p_partkey"))
             .select(
-                (order * 10 + line).alias("order_item_id"),
+                line_id.alias("pos"),
+                line_id.alias("order_item_id"),
                 F.when(order % 307 == 0, -order).otherwise(order).alias("order_id"),
                 F.when(order % 499 == 0, "Unknown Item")
                 .otherwise(F.concat("p_name", F.lit("#"), F.col("p_partkey").cast("string")))
@@ -177,6 +206,23 @@ class RetailSource:
                 .alias("unit_price_at_order"),
             )
         )
+        later = originals.where(F.col("order_id") % 50 == 0).withColumns(
+            {
+                "pos": F.col("pos") + F.lit(4000000000000000000),
+                "quantity": F.lit(None).cast(MONEY),
+            }
+        )
+        earlier = originals.where(F.col("order_id") % 70 == 0).withColumns(
+            {
+                "pos": F.col("pos") - F.lit(4000000000000000000),
+                "unit_price_at_order": (F.col("unit_price_at_order") + 1).cast(MONEY),
+            }
+        )
+        return originals.unionAll(later).unionAll(earlier)
+
+    @cached_property
+    def raw_items(self) -> DataFrame:
+        return self.raw_lines.drop("pos")
 
     @cached_property
     def raw_categories(self) -> DataFrame:

@@ -78,7 +78,21 @@ def test_checks_find_leaks(built):
 
 def test_one_hot_keeps_all_levels(spark):
     df = spark.createDataFrame([("a",), ("b",), (None,)], "s string")
-    got = sorted(tuple(r)[1:] for r in features.one_hot(df, "s", "product").collect())
+    got = sorted(tuple(r)[1:] for r in features.one_hot(df, "s", "product", ["a", "b"]).collect())
     assert got == [(0, 0), (0, 1), (1, 0)]
-    with pytest.raises(ValueError):
-        features.one_hot(df, "s", "product", max_levels=1)
+
+
+def test_one_hot_takes_any_number_of_levels(spark):
+    df = spark.range(5000).selectExpr("id", "concat('p', id) AS s").unionByName(
+        spark.createDataFrame([(-1, None)], "id bigint, s string")
+    )
+    got = features.one_hot_long(df, "id", "s")
+    assert got.columns == ["id", "level", "flag"]
+    assert got.where("level = concat('p', id) AND flag = 1").count() == got.count() == 5000
+
+
+def test_target_among_the_features_is_found_in_the_frame(built):
+    train, test = features.chronological_split(features.finalize_features(built), "2025-01-10")
+    hidden = train.withColumn("month", train["quantity"])
+    checks = {r.check_name: r.violations for r in features.leakage_checks(hidden, test).collect()}
+    assert checks["target_in_features"] == 1

@@ -152,3 +152,15 @@ def test_default_configurations():
 def test_training_frame_is_kept(split):
     assert split[0].storageLevel == StorageLevel.NONE
     assert "InMemoryTableScan" in split[0]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_forest_does_not_depend_on_the_input_tasks(spark, split):
+    """As read by 2 or by 7 cores: the same rows in the same tasks, so the same trees."""
+    forest = models.random_forest(max_depth=4, min_leaf=5, trees=5)
+    made = []
+    for tasks in (2, 7):
+        frame = training.training_frame(split[0].repartition(tasks))
+        model = models.fit_model(frame, forest)
+        made.append(model.stages[-1].toDebugString.split("\n", 1)[1])
+        frame.unpersist()
+    assert made[0] == made[1]

@@ -44,5 +44,5 @@ def test_query_equals_sql_without_broadcasts(spark, duck, shuffled, name):
 def test_entry(spark):
     import __spark_entry__ as contract
 
-    assert contract.entry(spark).columns == ["section", "label", "metric", "value"]
+    assert contract.entry(spark).columns == ["section", "rank", "label", "name", "metric", "value"]
     assert set(contract.oracle_sql()) <= set(contract.queries())

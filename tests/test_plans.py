@@ -24,7 +24,11 @@ EAGER = {
     "load_retail",
     "scan_csv",
     "csv_roundtrip",
+    "scan_text_csv",
+    "append_orders",
 }
+# Ranks reports that are short by nature, and counts per task: windows over a few rows.
+SHORT_WINDOWS = {"full_report"}
 
 
 def plan_of(df) -> str:
@@ -38,15 +42,17 @@ def test_no_single_task_steps(spark, name):
     assert "BroadcastNestedLoopJoin" not in plan
     if name not in WITH_PYTHON:
         assert not re.search(r"Python|MapInArrow|MapInPandas|FlatMapGroups", plan)
-    # One partition only for results of a few rows.
-    singles = re.findall(r"Exchange SinglePartition", plan)
-    aggregates = re.findall(r"HashAggregate\(keys=\[\]|TakeOrderedAndProject|CollectLimit|Limit", plan)
-    assert not singles or aggregates
+    # One partition only for results of a few rows: each such exchange must bring partial aggregates or limited rows.
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line and name not in SHORT_WINDOWS:
+            below = " ".join(lines[i + 1 : i + 3])
+            assert re.search(r"partial_|keys=\[\]|Limit", below), below
 
 
 def test_windows_are_partitioned(spark):
     """An unpartitioned window would sort its whole input in one task."""
-    for name in sorted(set(REGISTRY) - EAGER):
+    for name in sorted(set(REGISTRY) - EAGER - SHORT_WINDOWS):
         logical = REGISTRY[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
         for line in logical.splitlines():
             if re.match(r"^[\s:+-]*Window \[", line):
@@ -168,7 +174,7 @@ def test_lines_per_order_are_shuffled_once(retail, shuffled):
 
 
 def test_full_report_reads_lines_twice(retail, shuffled):
-    from storecast.sources.retail import BASE_PERIOD, COMPARE_PERIOD, RECENT_PERIOD
+    from storecast.sources.retail import BASE_PERIOD, COMPARE_PERIOD
 
     report = reports.full_report(
         retail.items,
@@ -179,12 +185,12 @@ def test_full_report_reads_lines_twice(retail, shuffled):
         retail.stock,
         BASE_PERIOD,
         COMPARE_PERIOD,
-        RECENT_PERIOD,
+        retail.calendar.recent,
     )
     report.collect()
     final = plan_of(report).split("\n+- == Initial Plan ==")[0]
     # Three sections start from lines per order: one shuffles them, two reuse that.
     assert len(re.findall(r"ReusedExchange \[order_id#\d+L, sum", final)) == 2
     assert len(re.findall(r"FileScan parquet \[l_orderkey#\d+L,l_quantity", final)) == 1
-    # The four product sections read the kept aggregate.
-    assert "InMemoryTableScan" in final
+    # The four product sections read a stored aggregate; nothing stays on the executors.
+    assert "InMemoryTableScan" not in final

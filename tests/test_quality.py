@@ -33,6 +33,15 @@ def test_first_copy_by_position(spark):
     assert kept.columns == df.columns
 
 
+def test_an_emptier_later_copy_loses(spark):
+    df = spark.createDataFrame(
+        [(1, 1, "Milk", 2.0), (1, 2, None, None), (2, None, "Tea", 1.0), (2, 9, "Rum", None)],
+        "id int, pos int, name string, q double",
+    )
+    assert rows(quality.keep_first(df, ["id"], ["pos"])) == [(1, 1, "Milk", 2.0), (2, 9, "Rum", None)]
+    assert rows(quality.keep_first(df.drop("pos").where("id = 1"), ["id"], [])) == [(1, "Milk", 2.0)]
+
+
 def test_null_keys_are_one_key(spark):
     df = spark.createDataFrame([(None, 2, "b"), (None, 1, "a")], "id int, pos int, v string")
     assert rows(quality.keep_first(df, ["id"], ["pos"])) == [(None, 1, "a")]

@@ -71,6 +71,12 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
     assert "SortMergeJoin" in plan and "Exchange" not in plan
 
 
+RAW_LINES = (
+    "pos bigint, order_item_id bigint, order_id bigint, product_name string,"
+    " quantity decimal(12,2), unit_price_at_order decimal(12,2)"
+)
+
+
 def raw_tables(spark):
     make = spark.createDataFrame
     return {
@@ -90,17 +96,20 @@ def raw_tables(spark):
             "pos bigint, order_id bigint, customer_id bigint, order_date string",
         ),
         "order_items": make(
-            [(1, 1, "rice", D(1), D(10)), (1, 1, "rice", D(1), D(10)), (2, 2, "salt", D(2), D(4))],
-            schema.RAW_ORDER_ITEMS,
+            [(1, 1, 1, "rice", D(1), D(10)), (2, 1, 1, "rice", D(1), D(10)), (3, 2, 2, "salt", D(2), D(4))],
+            RAW_LINES,
         ),
     }
 
 
-def test_load_publishes_clean_tables(spark):
+def loaded(spark, path, side="accepted"):
+    return {name: load.loaded_table(spark, path, name, side) for name in schema.RULES}
+
+
+def test_load_writes_clean_tables(spark):
     root = scratch_path(spark, "store")
     first = load.load_retail(spark, root, raw_tables(spark))
-    tables = files.read_published(spark, root)
-    assert set(tables) == set(schema.RULES)
+    tables = loaded(spark, first)
     orders = sorted((r.order_id, r.customer_id, str(r.order_date)) for r in tables["orders"].collect())
     assert orders == [(1, -1, "2025-01-05"), (2, 1, "2025-01-07")]
     products = sorted((r.product_id, r.category_id, r.supplier_id) for r in tables["products"].collect())
@@ -108,24 +117,48 @@ def test_load_publishes_clean_tables(spark):
     assert "category" not in tables["suppliers"].columns
     assert tables["order_items"].count() == 2
     assert tables["customers"].where("customer_id = -1").count() == 1
+    assert all(df.count() == 0 for df in loaded(spark, first, "rejected").values())
 
     second = load.load_retail(spark, root, raw_tables(spark))
-    manifest = files.published_manifest(spark, root)
-    assert second > first
-    assert {r.version for r in manifest.collect()} == {second}
-    assert {r.table_name: r.row_count for r in manifest.collect()}["orders"] == 2
+    assert second != first
+    assert load.loaded_table(spark, second, "orders").count() == 2
 
 
-def test_broken_load_leaves_the_old_version(spark):
-    root = scratch_path(spark, "store")
-    load.load_retail(spark, root, raw_tables(spark))
-    broken = raw_tables(spark)
-    broken["order_items"] = spark.createDataFrame(
-        [(1, 1, "what", D(1), D(10)), (2, 77, "salt", D(2), D(4))], schema.RAW_ORDER_ITEMS
+def test_broken_rows_are_set_aside_with_a_reason(spark):
+    raw = raw_tables(spark)
+    raw["orders"] = raw["orders"].unionByName(
+        spark.createDataFrame([(9, 5, 1, "bad"), (10, 6, 44, "2025-01-09")], raw["orders"].schema)
     )
-    with pytest.raises(load.ConstraintViolation, match="product_id"):
-        load.load_retail(spark, root, broken)
-    assert files.read_published(spark, root)["order_items"].count() == 2
+    raw["order_items"] = spark.createDataFrame(
+        [
+            (1, 1, 1, "what", D(1), D(10)),
+            (2, 2, 77, "salt", D(2), D(4)),
+            (3, 3, 5, "salt", D(2), D(4)),
+            (4, 4, 2, "salt", None, D(4)),
+            (5, 5, 2, "salt", D(2), D(4)),
+        ],
+        RAW_LINES,
+    )
+    path = load.load_retail(spark, scratch_path(spark, "store"), raw)
+    rejected = loaded(spark, path, "rejected")
+    assert {(r.order_id, r.reject_reason) for r in rejected["orders"].collect()} == {
+        (5, "missing order_date"),
+        (6, "unknown customer_id"),
+    }
+    assert {(r.order_item_id, r.reject_reason) for r in rejected["order_items"].collect()} == {
+        (1, "missing product_id"),
+        (2, "unknown order_id"),
+        (3, "unknown order_id"),  # its order was rejected
+        (4, "missing quantity"),
+    }
+    assert [r.order_item_id for r in loaded(spark, path)["order_items"].collect()] == [5]
+
+
+def test_a_repeated_key_stops_the_load(spark):
+    raw = raw_tables(spark)
+    raw["inventory"] = raw["inventory"].unionByName(raw["inventory"])
+    with pytest.raises(load.ConstraintViolation, match="primary_key"):
+        load.load_retail(spark, scratch_path(spark, "store"), raw)
 
 
 def test_unknown_customer_row(spark):
