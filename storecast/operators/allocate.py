@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storecast.functions import calendar_days, clip_low, pct_change
-from storecast.operators.ranking import cell, key_block, number_in_cell
+from storecast.operators.ranking import block_bits, cell, key_block, number_in_cell
 
 CENTS = "decimal(14,0)"
 DAYS_PER_YEAR = 365.0
@@ -100,25 +100,20 @@ def proportional_allocation(
     Returns (allocated, rejected). Totals that are not positive, without parts, or
     whose weights are negative or add up to zero are rejected with a `reason`.
 
-    Parts of a group with the same weight get the same share, so all arithmetic
-    runs on (group, weight, key block) cells and rows only look up their cell. Group
-    figures are combined on the map side and joined back; keys that are structs make
-    the steps after a join on the group shuffle anew, which leaves Spark free to
-    split that join where one group is very large.
+    Group figures are combined on the map side and joined back. Keys that are structs make
+    the steps after a join on the group shuffle anew, which leaves Spark free to split that
+    join where one group is very large. Mode "last" needs nothing else. To rank remainders,
+    parts of a group with the same weight get the same share, so the ranking runs on
+    (group, weight, key block) cells and rows only look up their cell.
     """
     if mode not in ("last", "largest_remainder"):
         raise ValueError(f"unknown mode: {mode}")
     group = list(group)
-    blocked = parts.select(*group, key, "weight", key_block(key).alias("block"))
-    cells = (
-        blocked.groupBy(*group, "weight", "block")
-        .agg(F.count(F.lit(1)).alias("n"), F.max(key).alias("last_key"))
-        .withColumn("w", (F.col("weight") * 100).cast(CENTS))
-    )
-    sums = cells.groupBy(*group).agg(
-        F.sum(F.col("w") * F.col("n")).cast("decimal(38,0)").alias("w_sum"),
+    weighed = parts.select(*group, key, "weight").withColumn("w", (F.col("weight") * 100).cast(CENTS))
+    sums = weighed.groupBy(*group).agg(
+        F.sum("w").cast("decimal(38,0)").alias("w_sum"),
         F.min(F.coalesce("w", F.lit(-1).cast(CENTS))).alias("w_min"),
-        F.max("last_key").alias("group_last"),
+        F.max(key).alias("group_last"),
     )
     priced = totals.select(*group, (F.col("total") * 100).cast(CENTS).alias("t"))
     reason = (
@@ -133,22 +128,43 @@ def proportional_allocation(
         *group, (F.col("t") / 100).cast("decimal(12,2)").alias("total"), "reason"
     )
     valid = judged.where(F.col("reason").isNull()).select(*group, "t", "w_sum", "group_last")
-    shared = cells.join(valid, group)
-    plan = _last_takes_rest if mode == "last" else _spare_cents
-    lookup = plan(shared, group)
-    rows = blocked.select(*group, key, "weight", _cell_of(group).alias("cell"))
     if mode == "last":
-        added = F.when(F.col(key) == F.col("group_last"), F.col("rest"))
+        found = _last_takes_rest(weighed.join(valid, group), group, key)
     else:
-        rows = rows.withColumn("position", number_in_cell("cell", [key]))
-        added = F.when(F.col("position") <= F.col("extra"), F.lit(1))
-    cents = F.col("cents") + F.coalesce(added, F.lit(0))
-    allocated = rows.join(lookup, "cell").select(
-        *group, key, "weight", (cents.cast(CENTS) / 100).cast("decimal(12,2)").alias("allocated")
+        found = _largest_remainders(weighed, valid, group, key)
+    allocated = found.select(
+        *group, key, "weight", (F.col("cents").cast(CENTS) / 100).cast("decimal(12,2)").alias("allocated")
     )
     return allocated.withColumn("non_positive", F.col("allocated") <= 0), rejected
 
 
+def _last_takes_rest(shared: DataFrame, group: list[str], key: str) -> DataFrame:
+    """Rounded shares; the part with the last key also has what they leave of the total."""
+    rounded = shared.withColumn("cents", F.expr("(2 * t * w + w_sum) div (2 * w_sum)"))
+    rests = rounded.groupBy(cell(group).alias("g")).agg(
+        (F.max("t") - F.sum("cents")).cast("long").alias("rest"), F.max("group_last").alias("last")
+    )
+    lasts = rests.select("g.*", F.col("last").alias(key), "rest").select(
+        cell([*group, key]).alias("part"), "rest"
+    )
+    rows = rounded.select(*group, key, "weight", "cents", cell([*group, key]).alias("part"))
+    return rows.join(lasts, "part", "left").withColumn(
+        "cents", F.col("cents") + F.coalesce("rest", F.lit(0))
+    )
+
+
+def _largest_remainders(weighed: DataFrame, valid: DataFrame, group: list[str], key: str) -> DataFrame:
+    """Shares cut to the cent; the first parts of a cell take one cent more, as many as `_spare_cents` says."""
+    block = key_block(key, bits=block_bits(weighed, key))
+    blocked = weighed.withColumn("block", block)
+    cells = blocked.groupBy(*group, "weight", "w", "block").agg(F.count(F.lit(1)).alias("n"))
+    lookup = _spare_cents(cells.join(valid, group), group)
+    rows = blocked.select(*group, key, "weight", _cell_of(group).alias("cell"))
+    rows = rows.withColumn("position", number_in_cell("cell", [key]))
+    added = F.when(F.col("position") <= F.col("extra"), F.lit(1)).otherwise(F.lit(0))
+    return rows.join(lookup, "cell").withColumn("cents", F.col("cents") + added)
+
+
 def _cell_of(group: list[str]) -> Column:
     return cell([*group, "weight", "block"])
 
@@ -158,22 +174,6 @@ def _undivided() -> Column:
     return (F.max("t") - F.sum(F.col("cents") * F.col("n"))).cast("long")
 
 
-def _last_takes_rest(shared: DataFrame, group: list[str]) -> DataFrame:
-    """(cell, cents, rest, group_last): rounded shares; the cell of the last key has the rest."""
-    rounded = shared.withColumn("cents", F.expr("(2 * t * w + w_sum) div (2 * w_sum)"))
-    is_last = F.col("last_key") == F.col("group_last")
-    rests = rounded.groupBy(cell(group).alias("g")).agg(
-        _undivided().alias("rest"),
-        F.max("group_last").alias("group_last"),
-        F.max(F.when(is_last, F.col("weight"))).alias("weight"),
-        F.max(F.when(is_last, F.col("block"))).alias("block"),
-    )
-    last_cells = rests.select("g.*", "weight", "block", "rest", "group_last").select(
-        _cell_of(group).alias("cell"), "rest", "group_last"
-    )
-    return rounded.select(_cell_of(group).alias("cell"), "cents").join(last_cells, "cell", "left")
-
-
 def _spare_cents(shared: DataFrame, group: list[str]) -> DataFrame:
     """(cell, cents, extra): shares cut to the cent, and how many parts of the cell, lowest
     keys first, take one cent more.

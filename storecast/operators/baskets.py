@@ -10,7 +10,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from storecast.operators.ranking import cell, cell_counts, key_block, number_in_cell
+from storecast.operators.ranking import (
+    BLOCK_BITS,
+    block_bits,
+    cell,
+    cell_counts,
+    key_block,
+    number_in_cell,
+)
 
 BLOCKED = {"tinyint", "smallint", "int", "bigint", "string"}
 
@@ -69,7 +76,8 @@ def assemble_baskets(
     # Two levels: an order with very many lines is itself split by line number.
     leading = list(takewhile(lambda c: kinds[c] in BLOCKED, order))[:2]
     blocks = [f"__block{i}" for i in range(len(leading))]
-    blocked = portions.withColumns({b: key_block(c, kinds[c]) for b, c in zip(blocks, leading)})
+    # One small aggregate per integer column tells how far its keys lie apart.
+    blocked = portions.withColumns({b: key_block(c, kinds[c], BLOCK_BITS if kinds[c] == "string" else block_bits(portions, c)) for b, c in zip(blocks, leading)})
     cells = cell_counts(blocked, served, blocks)
     sizes = cells.groupBy(*served).agg(F.sum("n").alias("portions"))
     starts = basket_starts(sizes, group, product, capacity)

@@ -17,11 +17,23 @@ BLOCK_BITS = 16
 BLOCK_CHARACTERS = 3
 
 
-def key_block(key: str, kind: str = "bigint") -> Column:
+def block_bits(df: DataFrame, key: str) -> int:
+    """Width of the blocks of an integer key, in bits: about 2^BLOCK_BITS keys to a block, dense or sparse.
+
+    One aggregate over the keys. Keys that crowd in a part of their range make larger blocks there.
+    """
+    row = df.agg(F.min(key).alias("low"), F.max(key).alias("high"), F.count(key).alias("n")).first()
+    if not row.n:
+        return BLOCK_BITS
+    blocks = max(1, row.n >> BLOCK_BITS)
+    return max(0, ((row.high - row.low) // blocks).bit_length())
+
+
+def key_block(key: str, kind: str = "bigint", bits: int = BLOCK_BITS) -> Column:
     """Block of a key that grows with it: a number for integers, leading characters for texts."""
     if kind == "string":
         return F.substring(key, 1, BLOCK_CHARACTERS)
-    return F.shiftright(F.col(key).cast("long"), BLOCK_BITS)
+    return F.shiftright(F.col(key).cast("long"), bits)
 
 
 def cell(columns: Sequence[str]) -> Column:

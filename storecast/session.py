@@ -20,8 +20,20 @@ SQL_SETTINGS = {
 }
 
 
-def build_session(app: str = "storecast", master: str | None = None, **extra: str) -> SparkSession:
-    """Session with the package settings; `extra` uses underscores for dots."""
+# Shuffle partitions to a GB of input: 128 MB each. Adaptive execution merges what is too many.
+PARTITIONS_PER_GB = 8
+
+
+def build_session(
+    app: str = "storecast", master: str | None = None, input_gb: float | None = None, **extra: str
+) -> SparkSession:
+    """Session with the package settings; `extra` uses two underscores for a dot.
+
+    Give `input_gb` for large inputs: Spark's default of 200 shuffle partitions would hold GBs each.
+    """
+    if input_gb is not None:
+        partitions = max(200, round(input_gb * PARTITIONS_PER_GB))
+        extra = {"spark__sql__shuffle__partitions": str(partitions), **extra}
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
     if master:
         builder = builder.master(master)
