@@ -34,6 +34,9 @@ HEADLINE = [
     "proportional_allocation",
     "assemble_baskets",
     "exact_sample",
+    "load_retail",
+    "linear_regression",
+    "random_forest",
 ]
 RUNS = 3
 

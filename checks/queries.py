@@ -542,9 +542,17 @@ def order_quantities(r):
 ERRATIC_SHARE = 0.9875
 
 
+def _erratic(r):
+    first, last = r.calendar
+    daily = features.daily_sales(r.items, r.orders)
+    return restock.erratic_from_daily(
+        daily, r.products, (last - first).days + 1, ERRATIC_SHARE, "product_id"
+    )
+
+
 @query
 def erratic_flag(r):
-    return restock.erratic_from_history(_product_grid(r), ERRATIC_SHARE, "product_id")
+    return _erratic(r)
 
 
 @query
@@ -553,7 +561,7 @@ def inventory_report(r):
         _product_features(r, STATE_DAYS),
         forecast.rolling_mean_predictor,
         restock.current_stock(r.shelf_stock, "product_id"),
-        restock.erratic_from_history(_product_grid(r), ERRATIC_SHARE, "product_id"),
+        _erratic(r),
         series="product_id",
         step_digits=STEP_DIGITS,
     )

@@ -77,7 +77,10 @@ def assemble_baskets(
     leading = list(takewhile(lambda c: kinds[c] in BLOCKED, order))[:2]
     blocks = [f"__block{i}" for i in range(len(leading))]
     # One small aggregate per integer column tells how far its keys lie apart.
-    blocked = portions.withColumns({b: key_block(c, kinds[c], BLOCK_BITS if kinds[c] == "string" else block_bits(portions, c)) for b, c in zip(blocks, leading)})
+    width = {c: BLOCK_BITS if kinds[c] == "string" else block_bits(portions, c) for c in leading}
+    blocked = portions.withColumns(
+        {b: key_block(c, kinds[c], width[c]) for b, c in zip(blocks, leading)}
+    )
     cells = cell_counts(blocked, served, blocks)
     sizes = cells.groupBy(*served).agg(F.sum("n").alias("portions"))
     starts = basket_starts(sizes, group, product, capacity)

@@ -81,6 +81,16 @@ def erratic_from_history(
     )
 
 
+def erratic_from_daily(
+    daily: DataFrame, members: DataFrame, days: int, threshold: float = 0.0, series: str = "series"
+) -> DataFrame:
+    """The same from daily sales, without the dense grid: days that sell are counted, the rest of `days` are zero."""
+    active = daily.where(F.col("quantity") != 0).groupBy(series).agg(F.count(F.lit(1)).alias("active"))
+    share = (F.lit(days) - F.coalesce("active", F.lit(0))).cast("double") / F.lit(float(days))
+    shares = members.select(series).join(active, series, "left").select(series, share.alias("zero_day_share"))
+    return shares.withColumn("erratic_demand_flag", F.col("zero_day_share") > F.lit(threshold))
+
+
 def inventory_sanity(recommendations: DataFrame) -> DataFrame:
     """Counts of negative predicted demand and negative order quantities."""
     return recommendations.agg(

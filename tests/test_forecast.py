@@ -136,3 +136,16 @@ def test_report_puts_action_first(spark):
         (1, "ok", False),
     ]
     assert rows[0].recommended_order_qty == 280.0
+
+
+def test_days_without_sales_need_no_grid(spark):
+    days = [("a", "2025-01-01", 1), ("a", "2025-01-03", 2), ("b", "2025-01-02", 0)]
+    daily = spark.createDataFrame(days, "series string, d string, q int").select(
+        "series", F.col("d").cast("date").alias("order_date"), F.col("q").cast("decimal(12,2)").alias("quantity")
+    )
+    members = spark.createDataFrame([("a",), ("b",), ("c",)], "series string")
+    grid = features.complete_grid(daily, members, "2025-01-01", "2025-01-04")
+    want = restock.erratic_from_history(grid, 0.6)
+    got = restock.erratic_from_daily(daily, members, 4, 0.6)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert sorted(map(tuple, got.collect())) == [("a", 0.5, False), ("b", 1.0, True), ("c", 1.0, True)]
