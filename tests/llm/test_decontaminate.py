@@ -82,3 +82,11 @@ def test_no_python_in_the_plan(spark, make_docs):
     plan = decontaminate.report(spark.range(3).selectExpr("id doc_id", "string(id) text"), b.limit(1))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in text and "BroadcastHashJoin" in text
+
+
+def test_a_very_long_text(spark, make_docs):
+    words = [f"w{i % 9999}" for i in range(120_000)]
+    items = [(1, " ".join(words[500:530])), (2, "never seen at all")]
+    docs = [(1, " ".join(words)), (2, " ".join(words[:400]))]
+    got = decontaminate.report(make_docs(docs), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in got) == sorted(brute(docs, items, 10))

@@ -72,3 +72,8 @@ def test_empty_table_and_clashing_columns(spark, make_docs, maps):
     df = make_docs([(1, "a"), (1, "a")]).withColumns({"size": F.lit("own"), "shard": F.lit(9), "slot_id": F.lit(1)})
     other = shards.SlotMaps(maps.spark, scratch_path(spark, "maps"))
     assert sorted(r.slot for r in shards.sharded(df, other, slots=16, shards=2).collect()) == [0, 1]
+
+
+def test_a_very_long_text_is_one_record(make_docs, maps):
+    got = shards.sharded(make_docs([(1, "é" * 400_000), (2, "a")]), maps, slots=64, shards=4).collect()
+    assert sorted((r.doc_id, r.size) for r in got) == [(1, 800_001), (2, 2)]

@@ -124,3 +124,11 @@ def test_text_output_keeps_characters_whole(spark, make_docs):
 def test_gram_must_fit(make_docs):
     with pytest.raises(ValueError):
         suffix.remove_repeats(make_docs([(1, "a")]), gram=12)
+
+
+def test_texts_longer_than_a_piece(make_docs):
+    rng = random.Random(11)
+    long = "".join(rng.choice("abcdé \n") for _ in range(150_000))
+    rows = [(1, long), (2, "x" + long[70_000:90_000] + "y"), (3, long[5:130] * 2), (4, long)]
+    got = suffix.remove_repeats(make_docs(rows))
+    assert spark_result(got) == brute(rows, 100)
