@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +13,9 @@ from storecast.session import scratch_path
 
 #: Stands for a missing id where ids are compared; sorts before all others.
 NO_ID = -(2**63)
+#: Rows of an Arrow batch. Texts of 100 KB make 100 MB of it at most.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 _FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -39,6 +44,17 @@ def release(df: DataFrame) -> None:
         folder.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 
 
+def mapped(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """`df.mapInArrow(run, schema)` in batches that stay small when texts are long.
+
+    Batches are counted in rows, so the session's setting is lowered if it is above BATCH_ROWS.
+    """
+    spark = df.sparkSession
+    if not 0 < int(spark.conf.get(_BATCH)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH, BATCH_ROWS)
+    return df.mapInArrow(run, schema)
+
+
 def id_or_none(name: str) -> Column:
     return F.coalesce(F.col(name).cast("bigint"), F.lit(NO_ID))
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storecast.llm.frames import id_or_none
+from storecast.llm.frames import id_or_none, mapped
 
 #: One word in 2**PIECE_BITS ends a piece, one paragraph in 2**SECTION_BITS a section.
 PIECE_BITS = 2
@@ -170,7 +170,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             yield pa.record_batch([batch.column(0), pa.array(prints, pa.string())], names=["doc_id", "fingerprint"])
 
     rows = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")))
-    return rows.mapInArrow(run, "doc_id bigint, fingerprint string")
+    return mapped(rows, run, "doc_id bigint, fingerprint string")
 
 
 # -- a document, its edited text and the next document -------------------------
@@ -269,4 +269,4 @@ def compared_with_next(docs: DataFrame) -> DataFrame:
         if out:
             yield batch_of(out)
 
-    return dealt.mapInArrow(run, _RESULT)
+    return mapped(dealt, run, _RESULT)

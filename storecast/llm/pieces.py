@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from storecast.llm.frames import mapped
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Text bytes encoded at once.
@@ -200,7 +202,7 @@ def encoded(docs: DataFrame, model, keep: list[str] | None = None) -> DataFrame:
 
     own = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     schema = ", ".join([*(f"`{c}` {own[c]}" for c in keep), "tokens array<int>, n_tokens bigint"])
-    return docs.select(*keep, F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, schema)
+    return mapped(docs.select(*keep, F.coalesce("text", F.lit("")).alias("text")), run, schema)
 
 
 def decoded(rows: DataFrame, model) -> DataFrame:
@@ -215,7 +217,7 @@ def decoded(rows: DataFrame, model) -> DataFrame:
             yield pa.record_batch([*batch.columns, pa.array(texts, pa.string())], names=[*keep, "text"])
 
     own = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    return rows.select(*keep).mapInArrow(run, ", ".join([*(f"`{c}` {own[c]}" for c in keep), "text string"]))
+    return mapped(rows.select(*keep), run, ", ".join([*(f"`{c}` {own[c]}" for c in keep), "text string"]))
 
 
 def round_trip(docs: DataFrame, model) -> DataFrame:
@@ -238,4 +240,4 @@ def round_trip(docs: DataFrame, model) -> DataFrame:
                 at += len(texts)
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, n_tokens bigint, tokens array<int>, text string, lossless boolean")
+    return mapped(rows, run, "doc_id bigint, n_tokens bigint, tokens array<int>, text string, lossless boolean")

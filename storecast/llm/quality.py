@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storecast.llm.frames import stored
+from storecast.llm.frames import mapped, stored
 
 #: At most so many labelled rows are fitted, those with the smallest hashes of their ids.
 MAX_LABELLED = 50_000
@@ -151,7 +151,7 @@ def _labelled(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
             flat = pa.FixedSizeListArray.from_arrays(pa.array(v.ravel()), STATISTICS).cast(pa.list_(pa.float64()))
             yield pa.record_batch([*batch.columns[:2], flat], names=["id", "y", "v"])
 
-    return rows.mapInArrow(run, "id bigint, y double, v array<double>")
+    return mapped(rows, run, "id bigint, y double, v array<double>")
 
 
 def _sums(rows: DataFrame, parts: list[str]) -> dict[int, list[np.ndarray]]:
@@ -189,7 +189,7 @@ def fit(
             yield pa.record_batch([pa.array([task]), pa.array([0], pa.int32()), pa.array([total.tobytes()])], names=["task", "fold", "m"])
 
     spread = dealt.select("id", "v", F.spark_partition_id().cast("bigint").alias("task"))
-    got = _sums(spread.mapInArrow(moments, "task bigint, fold int, m binary"), ["m"])
+    got = _sums(mapped(spread, moments, "task bigint, fold int, m binary"), ["m"])
     if not got:
         none = np.zeros(0)
         return Model(none, none, none, none, np.array([0.5]))
@@ -219,7 +219,7 @@ def fit(
             )
 
     spread = dealt.select("y", "v", fold_of, F.spark_partition_id().cast("bigint").alias("task"))
-    by_fold = _sums(spread.mapInArrow(equations, "task bigint, fold int, xx binary, xy binary"), ["xx", "xy"])
+    by_fold = _sums(mapped(spread, equations, "task bigint, fold int, xx binary, xy binary"), ["xx", "xy"])
     size = FEATURES + 1
     ridge = RIDGE * np.eye(size)
     ridge[-1, -1] = 0  # the constant is free
@@ -241,7 +241,7 @@ def fit(
                 score[fold == f] = x[fold == f] @ others[f]
             yield pa.record_batch([batch.column(0), pa.array(score)], names=["y", "s"])
 
-    pairs = dealt.select("y", "v", fold_of).mapInArrow(scored, "y double, s double")
+    pairs = mapped(dealt.select("y", "v", fold_of), scored, "y double, s double")
     level = F.round(F.col("s") * LEVELS / 2).cast("bigint")
     points = (
         pairs.groupBy(F.greatest(F.least(level, F.lit(LEVELS)), F.lit(-LEVELS)).alias("level"))
@@ -272,7 +272,7 @@ def scored(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataF
     rows = docs.select(*names, held_out(F.col("doc_id")).alias("held_out"))
     out = [*rows.columns, "score", "predicted"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return rows.mapInArrow(run, f"{schema}, score double, predicted int")
+    return mapped(rows, run, f"{schema}, score double, predicted int")
 
 
 def good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:

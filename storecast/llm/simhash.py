@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storecast.llm.components import components
-from storecast.llm.frames import flat_bytes, stored, text_or_empty
+from storecast.llm.frames import flat_bytes, mapped, stored, text_or_empty
 
 BITS = 64
 SHINGLE_WORDS = 4
@@ -73,7 +73,7 @@ def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFra
 
     text = text_or_empty("text")
     rows = docs.select(F.col("doc_id").cast("bigint"), text, F.xxhash64(text))
-    return rows.mapInArrow(run, "doc_id bigint, fp bigint, mark bigint")
+    return mapped(rows, run, "doc_id bigint, fp bigint, mark bigint")
 
 
 def segments(bits: list[int], parts: int) -> list[list[int]]:
@@ -129,7 +129,7 @@ def split_rows(hot: DataFrame, parts: int) -> DataFrame:
                         entry = _mixed(mask[at], value[at], fp[at] & kept)
                         yield pa.record_batch([kept, entry, fp[at]], names=["mask", "value", "fp"])
 
-    return hot.select("mask", "value", "fp").mapInArrow(run, "mask bigint, value bigint, fp bigint")
+    return mapped(hot.select("mask", "value", "fp"), run, "mask bigint, value bigint, fp bigint")
 
 
 def _search(fps: np.ndarray, most: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -211,7 +211,7 @@ def entry_links(rows: DataFrame, most: int, limit: int | None) -> DataFrame:
             yield from done(*[np.concatenate(x) for x in zip(*held)])
 
     sorted_rows = rows.repartition("mask", "value").sortWithinPartitions("mask", "value", "fp")
-    return sorted_rows.mapInArrow(run, "a bigint, b bigint, mask bigint, value bigint")
+    return mapped(sorted_rows, run, "a bigint, b bigint, mask bigint, value bigint")
 
 
 def links(nodes: DataFrame, max_bits: int = MAX_BITS, split_above: int = SPLIT_ABOVE) -> DataFrame:

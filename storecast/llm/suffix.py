@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storecast.llm.frames import flat_bytes, id_or_none, release, stored
+from storecast.llm.frames import flat_bytes, id_or_none, mapped, release, stored
 
 LENGTH = 100
 GRAM = 24
@@ -139,7 +139,7 @@ def segments(rows: DataFrame, length: int, gram: int) -> DataFrame:
                 names=["key", "content", "id", "pos", "n", "again"],
             )
 
-    return rows.mapInArrow(run, _SEGMENT)
+    return mapped(rows, run, _SEGMENT)
 
 
 # -- the transform -----------------------------------------------------------
@@ -280,7 +280,7 @@ def judged(rows: DataFrame, length: int, block: int) -> DataFrame:
 
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # work follows bytes many times over
     dealt = rows.select("key", "id", "pos", "n", "bytes").repartition(tasks, "key").sortWithinPartitions("key")
-    return dealt.mapInArrow(run, "id bigint, pos bigint, n int")
+    return mapped(dealt, run, "id bigint, pos bigint, n int")
 
 
 # -- the whole ---------------------------------------------------------------
@@ -436,7 +436,7 @@ def remove_repeats(
                 names=[*names, *own],
             )
 
-    return rows.mapInArrow(run, f"{schema}{', ' if schema else ''}{_RESULT}")
+    return mapped(rows, run, f"{schema}{', ' if schema else ''}{_RESULT}")
 
 
 def without_repeats(docs: DataFrame, **options) -> DataFrame:
@@ -468,7 +468,7 @@ def without_repeats(docs: DataFrame, **options) -> DataFrame:
             )
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    left = judged_rows.select(*columns, "spans").mapInArrow(run, schema)
+    left = mapped(judged_rows.select(*columns, "spans"), run, schema)
     if "n_chars" in columns:
         left = left.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return left

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storecast.llm.frames import flat_bytes
+from storecast.llm.frames import flat_bytes, mapped
 
 DEFAULT_VERDICT = "allow"
 #: URL rows that advance together.
@@ -136,4 +136,4 @@ def judged(pages: DataFrame, rules: tuple[Rule, ...] = RULES, default: str = DEF
     url = F.col("url")
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
     rows = rows.withColumn("canonical", F.concat(F.lit("."), "host", "path"))
-    return rows.mapInArrow(run, "page_id bigint, host string, path string, rule string, verdict string")
+    return mapped(rows, run, "page_id bigint, host string, path string, rule string, verdict string")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storecast.llm.frames import scratch_path, stored
+from storecast.llm.frames import mapped, scratch_path, stored
 
 #: Uncompressed bytes after which a frame is closed, and compressed bytes after which a bundle is.
 FRAME_BYTES = 1 << 18
@@ -236,7 +236,7 @@ def write(pages: DataFrame, folder: str, tasks: int | None = None) -> DataFrame:
         if bundle:
             yield from indexed(bundle.close())
 
-    return stored(full.repartition(tasks, "page_id", "payload_digest").mapInArrow(run, INDEX), "warc-index")
+    return stored(mapped(full.repartition(tasks, "page_id", "payload_digest"), run, INDEX), "warc-index")
 
 
 _READ = (
@@ -297,7 +297,7 @@ def read(index: DataFrame, folder: str) -> DataFrame:
                     )
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
-    return frames.mapInArrow(run, _READ)
+    return mapped(frames, run, _READ)
 
 
 def lookup(index: DataFrame, folder: str, page_ids: DataFrame) -> DataFrame:
