@@ -23,7 +23,7 @@ FEATURES = 256
 WIDTH = 0.15
 RIDGE = 1.0
 FOLDS = 4
-#: Tasks that form sums, and levels of scores that isotonic regression sees. Neither follows the data or the machine.
+#: Tasks that form sums (at most), and levels of scores that isotonic regression sees. Neither follows the data.
 TASKS = 16
 LEVELS = 512
 SEED = 20
@@ -155,9 +155,9 @@ def _labelled(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
 
 
 def _sums(rows: DataFrame, parts: list[str]) -> dict[int, list[np.ndarray]]:
-    """Sums of the binary columns `parts` (doubles) by fold: each task has added up its rows, and few tasks are left."""
+    """Sums of the binary columns `parts` (doubles) by fold. Each of the TASKS tasks has added up its rows already."""
     out: dict[int, list[np.ndarray]] = {}
-    for r in rows.orderBy("task").toLocalIterator():
+    for r in rows.collect():
         own = [np.frombuffer(r[p]) for p in parts]
         out[r.fold] = [a + b for a, b in zip(out[r.fold], own)] if r.fold in out else own
     return out
@@ -174,22 +174,19 @@ def fit(
     text scores 0.5.
     """
     rows = stored(_labelled(docs, labels, max_labelled), "labelled")
-    dealt = rows.repartition(TASKS, "id").sortWithinPartitions("id", "y", "v")
+    dealt = rows.coalesce(TASKS)
     fold_of = F.pmod(F.xxhash64(F.lit("fold"), "id"), F.lit(FOLDS)).cast("int").alias("fold")
 
     def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 + 2 * STATISTICS)
-        task = None
         for batch in batches:
             if batch.num_rows:
-                task = batch.column(2)[0].as_py()
-                v = batch.column(1).flatten().to_numpy().reshape(-1, STATISTICS)
+                v = batch.column(0).flatten().to_numpy().reshape(-1, STATISTICS)
                 total += np.concatenate(([len(v)], v.sum(axis=0), (v * v).sum(axis=0)))
-        if task is not None:
-            yield pa.record_batch([pa.array([task]), pa.array([0], pa.int32()), pa.array([total.tobytes()])], names=["task", "fold", "m"])
+        if total[0]:
+            yield pa.record_batch([pa.array([0], pa.int32()), pa.array([total.tobytes()])], names=["fold", "m"])
 
-    spread = dealt.select("id", "v", F.spark_partition_id().cast("bigint").alias("task"))
-    got = _sums(mapped(spread, moments, "task bigint, fold int, m binary"), ["m"])
+    got = _sums(mapped(dealt.select("v"), moments, "fold int, m binary"), ["m"])
     if not got:
         none = np.zeros(0)
         return Model(none, none, none, none, np.array([0.5]))
@@ -200,11 +197,7 @@ def fit(
 
     def equations(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, list[np.ndarray]] = {}
-        task = None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            task = batch.column(3)[0].as_py()
             v = batch.column(1).flatten().to_numpy().reshape(-1, STATISTICS)
             y, fold = batch.column(0).to_numpy(), batch.column(2).to_numpy()
             x = fourier((v - mean) / scale)
@@ -213,13 +206,11 @@ def fit(
                 new = [own.T @ own, own.T @ y[fold == f]]
                 sums[f] = [a + b for a, b in zip(sums[f], new)] if f in sums else new
         for f, (xx, xy) in sums.items():
-            yield pa.record_batch(
-                [pa.array([task]), pa.array([f], pa.int32()), pa.array([xx.tobytes()]), pa.array([xy.tobytes()])],
-                names=["task", "fold", "xx", "xy"],
-            )
+            row = [pa.array([f], pa.int32()), pa.array([xx.tobytes()]), pa.array([xy.tobytes()])]
+            yield pa.record_batch(row, names=["fold", "xx", "xy"])
 
-    spread = dealt.select("y", "v", fold_of, F.spark_partition_id().cast("bigint").alias("task"))
-    by_fold = _sums(mapped(spread, equations, "task bigint, fold int, xx binary, xy binary"), ["xx", "xy"])
+    folded = dealt.select("y", "v", fold_of)
+    by_fold = _sums(mapped(folded, equations, "fold int, xx binary, xy binary"), ["xx", "xy"])
     size = FEATURES + 1
     ridge = RIDGE * np.eye(size)
     ridge[-1, -1] = 0  # the constant is free
@@ -241,7 +232,7 @@ def fit(
                 score[fold == f] = x[fold == f] @ others[f]
             yield pa.record_batch([batch.column(0), pa.array(score)], names=["y", "s"])
 
-    pairs = mapped(dealt.select("y", "v", fold_of), scored, "y double, s double")
+    pairs = mapped(folded, scored, "y double, s double")
     level = F.round(F.col("s") * LEVELS / 2).cast("bigint")
     points = (
         pairs.groupBy(F.greatest(F.least(level, F.lit(LEVELS)), F.lit(-LEVELS)).alias("level"))
