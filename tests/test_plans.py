@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.queries import REGISTRY
-from storecast.operators import allocate, features, forecast
+from storecast.operators import allocate, features, forecast, ranking
 from storecast.plans import reports
 from tests.conftest import SMALL
 
@@ -145,23 +145,32 @@ def test_hot_order_reaches_the_join_as_one_row(spark, shuffled):
     assert "skew=true" not in plan_of(per_order)
 
 
-def test_hot_group_allocation_adds_up(spark, shuffled):
-    parts = hot_items(spark).select(
-        F.when(F.col("order_id") == 1, 1).otherwise(2).alias("g"),
-        (F.monotonically_increasing_id() * 64).alias("k"),
+@pytest.mark.parametrize("mode", ["last", "largest_remainder"])
+@pytest.mark.parametrize("spread", [1, 65536])
+def test_hot_group_allocation_adds_up(spark, shuffled, mode, spread):
+    """Dense keys and sparse ones, all of equal weight, so that all remainders are equal."""
+    parts = spark.range(0, 60_000, 1, 12).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(2).alias("g"),
+        (F.col("id") * spread).alias("k"),
         F.lit("1.00").cast("decimal(12,2)").alias("weight"),
     )
     totals = spark.createDataFrame([(1, 1000), (2, 1000)], "g int, total int").select(
         "g", F.col("total").cast("decimal(12,2)").alias("total")
     )
-    allocated, _ = allocate.proportional_allocation(totals, parts, ["g"], "k")
+    allocated, _ = allocate.proportional_allocation(totals, parts, ["g"], "k", mode)
     assert allocated.count() == 60_000
-    # Rows move only once, by (group, weight, block); on the group alone only cells do.
-    assert re.search(r"hashpartitioning\(g#\d+, .*block#\d+L, 8\)", plan_of(allocated))
     sums = {r.g: float(r[1]) for r in allocated.groupBy("g").agg(F.sum("allocated")).collect()}
     assert sums == {1: 1000.0, 2: 1000.0}
 
 
+@pytest.mark.parametrize("step", [1, 64, 65536])
+def test_blocks_hold_many_keys_and_are_many(spark, step):
+    keys = spark.range(300_000).select((F.col("id") * step).alias("k"))
+    bits = ranking.block_bits(keys, "k")
+    blocks = keys.groupBy(ranking.key_block("k", bits=bits).alias("b")).count().collect()
+    assert 2 <= len(blocks) <= 8 and max(r["count"] for r in blocks) <= 2 * 65536
+
+
 def test_lines_per_order_are_shuffled_once(retail, shuffled):
     """Aggregate, join and distinct count share one partitioning of the lines."""
     plan = plan_of(reports.revenue_trends(retail.items, retail.orders))
