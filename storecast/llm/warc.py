@@ -198,9 +198,10 @@ def write(pages: DataFrame, folder: str, tasks: int | None = None) -> DataFrame:
     Null html counts as an empty payload. Of equal payloads that with the largest page_id is a response, the others are
     revisits; rows that repeat that page_id are each a response. Rows without a page_id have records too. Other columns
     are ignored. An empty table writes nothing and has an empty index. `folder` must be shared by all executors.
+
+    Payloads travel once, to the join with what is known of them; each of its partitions writes bundles of its own.
+    `tasks` deals the records out anew, to so many writers.
     """
-    spark = pages.sparkSession
-    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     raw = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
     own = pages.select(F.col("page_id").cast("bigint").alias("id"), "url", raw.alias("payload"))
     own = own.withColumn("digest", base32_sha1(F.col("payload")))
@@ -236,7 +237,8 @@ def write(pages: DataFrame, folder: str, tasks: int | None = None) -> DataFrame:
         if bundle:
             yield from indexed(bundle.close())
 
-    return stored(mapped(full.repartition(tasks, "page_id", "payload_digest"), run, INDEX), "warc-index")
+    full = full.repartition(tasks, "page_id", "payload_digest") if tasks else full
+    return stored(mapped(full, run, INDEX), "warc-index")
 
 
 _READ = (
