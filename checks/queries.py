@@ -717,21 +717,10 @@ def gradient_boosting(r):
     return _checked(r, "gradient_boosting_default", models.gradient_boosting())
 
 
-# Smaller than the defaults, which take minutes over the whole calendar; the table is the same.
-def _compared():
-    return {
-        "linear_regression": models.linear_regression(),
-        "random_forest_default": models.random_forest(max_depth=10, trees=20),
-        "random_forest_best": models.random_forest(max_depth=6, min_leaf=5, trees=20),
-        "gradient_boosting_default": models.gradient_boosting(rounds=20),
-        "gradient_boosting_best": models.gradient_boosting(rounds=40, step=0.05),
-    }
-
-
 @query
 def model_comparison(r):
     """Both baselines with their exact errors; every fitted model with whether it beats the mean."""
-    table, _ = models.compare_models(*_model_split(r), _compared())
+    table, _ = models.compare_models(*_model_split(r), models.default_regressors())
     exact = F.col("model").isin("mean_baseline", "naive_lag_baseline")
     mean = table.where("model = 'mean_baseline'").select(F.col("rmse").alias("mean_rmse"))
     return table.withColumn("k", F.lit(1)).join(mean.withColumn("k", F.lit(1)), "k").select(
@@ -744,7 +733,7 @@ def model_comparison(r):
 
 def _forest(r):
     train_rows, test_rows = _model_split(r)
-    forest = models.random_forest(max_depth=6, min_leaf=5, trees=20)
+    forest = models.default_regressors()["random_forest_best"]
     return models.fit_model(train_rows, forest), train_rows, test_rows
 
 

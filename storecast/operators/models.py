@@ -116,10 +116,10 @@ def random_forest(
         minInstancesPerNode=min_leaf,
         featureSubsetStrategy="all",
         maxBins=256,
-        # Deep trees: keep each row's node instead of walking from the root at every
-        # level, and grow more nodes per pass over the data.
+        # Deep trees: keep each row's node instead of walking from the root at every level.
         cacheNodeIds=max_depth is None,
-        maxMemoryInMB=1024 if max_depth is None else 256,
+        # Of each task at once; the trees are the same, a larger buffer takes fewer passes.
+        maxMemoryInMB=256,
         seed=seed,
     )
 

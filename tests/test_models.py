@@ -164,3 +164,13 @@ def test_the_forest_does_not_depend_on_the_input_tasks(spark, split):
         made.append(model.stages[-1].toDebugString.split("\n", 1)[1])
         frame.unpersist()
     assert made[0] == made[1]
+
+
+def test_the_buffer_of_a_forest_fits_any_heap_and_does_not_change_it(split):
+    """Every running task fills one: 1 GB each ran out of memory over the whole calendar."""
+    assert all(models.random_forest(depth).getMaxMemoryInMB() <= 256 for depth in (None, 6))
+    made = []
+    for mb in (1, 1024):
+        forest = models.random_forest(max_depth=8, trees=5).setMaxMemoryInMB(mb)
+        made.append(models.fit_model(split[0], forest).stages[-1].toDebugString.split("\n", 1)[1])
+    assert made[0] == made[1]
