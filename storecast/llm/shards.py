@@ -139,3 +139,17 @@ def sharded(docs: DataFrame, maps: SlotMaps, slots: int = SLOTS, shards: int = S
         "slot_id",
         F.lit(1).alias("map_version"),
     )
+
+
+def rebalanced(docs: DataFrame, maps: SlotMaps, version: int, shards: int = SHARDS) -> DataFrame:
+    """slot_id, bytes, from_shard, to_shard: the slots that move when `docs` go to `shards` shards.
+
+    Reads `version` of the map, sums bytes per slot anew and writes the edited map as the version after it. Rows keep
+    their slots: place them by the new version with `placed`.
+    """
+    old = maps.read(version)
+    totals = totals_of(records(docs, len(old)))
+    new = edited_map(old, totals, shards)
+    maps.write(version + 1, new)
+    moved = [(slot, totals.get(slot, 0), old[slot], new[slot]) for slot in sorted(old) if new[slot] != old[slot]]
+    return maps.spark.createDataFrame(moved, "slot_id int, bytes bigint, from_shard int, to_shard int")

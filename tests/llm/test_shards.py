@@ -59,6 +59,29 @@ def test_an_edited_map_moves_little_and_evens_out(change):
     assert moved <= 1.3 * needed
 
 
+@pytest.mark.parametrize("count", [5, 3, 4])
+def test_rebalancing_writes_the_next_version_and_lists_what_moved(spark, make_docs, maps, count):
+    rng = random.Random(4)
+    rows = [(i, "é" * rng.randint(0, 80)) for i in range(1500)] + [(None, "x"), (None, None)]
+    first = shards.sharded(make_docs(rows), maps, slots=128, shards=4).collect()
+    if count == 4:  # the same shards, other sizes: one shard's rows come three times
+        texts = dict(rows[:1500])
+        rows = rows + [(r.doc_id, texts[r.doc_id]) for r in first if r.shard == 2 and r.doc_id is not None] * 2
+    docs = make_docs(rows)
+    moved = shards.rebalanced(docs, maps, 1, shards=count)
+    old, new = maps.read(1), maps.read(2)
+    totals = shards.totals_of(shards.records(docs, 128))
+    assert sorted(tuple(r) for r in moved.collect()) == [
+        (s, totals.get(s, 0), old[s], new[s]) for s in sorted(old) if old[s] != new[s]
+    ]
+    assert moved.count() and set(new) == set(old) and set(new.values()) == set(range(count))
+    assert {r.slot_id: r.shard for r in first} == {s: old[s] for s in {r.slot_id for r in first}}
+    placed = shards.placed(shards.records(docs, 128), maps.frame(2)).collect()
+    assert len(placed) == len(rows) and all(new[r.slot_id] == r.shard for r in placed)
+    load = [sum(r.size for r in placed if r.shard == k) for k in range(count)]
+    assert max(load) - min(load) <= 2 * max(totals.values())
+
+
 def test_versions_are_separate(maps):
     maps.write(1, {0: 0, 1: 1})
     maps.write(2, {0: 0, 1: 0})
