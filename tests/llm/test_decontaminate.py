@@ -67,6 +67,18 @@ def test_removal_of_documents_and_of_spans(spark, make_docs):
     assert got == {1: "-- then z", 2: "clean", 3: None, 4: "Été x", 5: "a b "}
 
 
+@pytest.mark.parametrize("joined", ["broadcast", "shuffled"])
+def test_clean_rows_stay_beside_contaminated_ones_of_their_id(spark, make_docs, request, joined):
+    if joined == "shuffled":
+        request.getfixturevalue("shuffled")
+    b = spark.createDataFrame([(1, "a b c")], "item_id bigint, text string")
+    clean = [(None, None), (None, ""), (None, "clean"), (7, None), (7, "other"), (7, "other"), (8, "fine")]
+    docs = make_docs(clean + [(None, "a b c"), (7, "z A, b c"), (7, "z A, b c"), (9, "a b c")])
+    kept = decontaminate.without_contaminated(docs, b, window=3)
+    assert kept.dtypes == docs.dtypes
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(clean, key=str)
+
+
 def test_empty_tables_and_clashing_columns(spark, make_docs):
     docs = make_docs([(1, "a b c")]).withColumns({"items": F.lit(1), "w": F.lit("own"), "_row": F.lit(2), "size": F.lit(3)})
     empty = spark.createDataFrame([], "item_id bigint, text string")
