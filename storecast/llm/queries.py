@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storecast.llm import chat, decontaminate, merkle, pieces, quality, shards, simhash, suffix, urlrules, warc
+from storecast.llm import (
+    bpe,
+    centroids,
+    chat,
+    decontaminate,
+    merkle,
+    negatives,
+    pieces,
+    quality,
+    shards,
+    simhash,
+    suffix,
+    urlrules,
+    warc,
+)
 from storecast.llm.frames import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -175,3 +189,73 @@ SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
   CAST(sum(text_chars + CASE WHEN before = role THEN 8 ELSE 16 + role_chars + CASE WHEN before IS NULL THEN 0 ELSE 7 END END) + 7 AS BIGINT) AS formatted_chars
 FROM s GROUP BY conv_id
 """
+
+
+@query
+def op11_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.with_totals(centroids.clustered(table(spark, folder, "embeddings"), k=8, rounds=10, dims=64, scale=1024, salt="3:"))
+
+
+def _clustering_sql(k: int = 8, rounds: int = 10) -> str:
+    """One pair of table expressions for each round."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} AS MATERIALIZED (
+  SELECT row_nr, vec_id, x, arg_min(j, d * {k} + j) AS j, min(d) AS d FROM (
+    SELECT v.*, c.j, CAST(list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d
+    FROM v, c{r} c) GROUP BY row_nr, vec_id, x)""")
+        if r < rounds:
+            steps.append(f"""
+c{r + 1} AS MATERIALIZED (
+  SELECT c.j, coalesce(m.x, c.x) AS x FROM c{r} c LEFT JOIN (
+    SELECT j, list((s - ((s % n) + n) % n) // n ORDER BY i) AS x FROM (
+      SELECT j, i, sum(x[i]) AS s, count(*) AS n FROM a{r}, (SELECT unnest(range(1, 65)) AS i) GROUP BY j, i) GROUP BY j) m USING (j))""")
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS row_nr, vec_id, list_transform(embedding, lambda e: CAST(floor(1024 * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, x) - 1 AS j, list_transform(x, lambda e: CAST(e AS HUGEINT)) AS x
+  FROM (SELECT sha256('3:' || CAST(vec_id AS VARCHAR)) AS h, x FROM v ORDER BY h, x LIMIT {k})),{",".join(steps)}
+SELECT vec_id, CAST(j AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY j) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} c USING (j)
+"""
+
+
+ORACLES["op11_centroid_clustering"] = _clustering_sql()
+
+
+@query
+def op12_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    back = bpe.round_trip(table(spark, folder, "documents"), bpe.load(spark, bpe.MODEL))
+    return back.select(
+        "doc_id", "n_tokens", F.sha2("packed", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256")
+    )
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = negatives.whole_vectors(table(spark, folder, "embeddings"), scale=256)
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op13_hard_negatives"] = r"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS nr, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda e: CAST(floor(256 * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+s AS MATERIALIZED (
+  SELECT a.nr, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+    CAST(list_sum(list_transform(list_zip(a.x, b.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a, v b WHERE a.vec_id % 50 = 0 AND a.nr <> b.nr),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY nr ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+  CAST(row_number() OVER (PARTITION BY p.nr, p.vec_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+  n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.nr = p.nr AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.nr, p.vec_id ORDER BY n.score DESC, n.vec_id) <= 3
+"""

@@ -9,7 +9,7 @@ import pytest
 from storecast.llm.queries import ORACLES, QUERIES
 from tests.conftest import SMALL
 
-TABLES = "documents benchmark pages labels conversations".split()
+TABLES = "documents embeddings benchmark pages labels conversations".split()
 
 
 def rows_of(columns, rows):
