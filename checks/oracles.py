@@ -146,6 +146,22 @@ VIEWS = {
         WINDOW w AS (PARTITION BY product_id ORDER BY order_date),
                f AS (PARTITION BY product_id ORDER BY order_date
                      ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)""",
+    "reached": """
+        SELECT g.product_id, g.order_date, g.quantity,
+               CAST(lag(g.quantity, 1) OVER w AS DOUBLE) AS quantity_lag_1,
+               CAST(lag(g.quantity, 7) OVER w AS DOUBLE) AS quantity_lag_7,
+               CASE WHEN count(*) OVER f = 7
+                    THEN CAST(sum(g.quantity) OVER f AS DOUBLE) / 7 END AS quantity_rolling_7,
+               count(d.quantity) OVER (PARTITION BY g.product_id ORDER BY g.order_date
+                     ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS sales
+        FROM product_days g
+        LEFT JOIN product_daily d ON d.product_id = g.product_id AND d.order_date = g.order_date
+        WINDOW w AS (PARTITION BY g.product_id ORDER BY g.order_date),
+               f AS (PARTITION BY g.product_id ORDER BY g.order_date
+                     ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)""",
+    "near_sales": "SELECT * EXCLUDE (sales) FROM reached WHERE sales > 0",
+    "near_complete": "SELECT * FROM near_sales WHERE quantity_lag_7 IS NOT NULL",
+    "near_train": "SELECT * FROM near_complete WHERE order_date < (SELECT last_day - 46 FROM days)",
     "state": """
         SELECT product_id, list(CAST(quantity AS DOUBLE) ORDER BY order_date) AS q
         FROM product_days WHERE order_date > (SELECT last_day - 7 FROM days)
@@ -667,37 +683,44 @@ BODIES = {
     "calendar_features": f"""
         SELECT order_id, CAST(order_date AS VARCHAR) AS order_date, {CALENDAR} FROM r_orders""",
     "lag_features": """
-        SELECT series, CAST(order_date AS VARCHAR) AS order_date,
+        SELECT product_id, CAST(order_date AS VARCHAR) AS order_date,
                CAST(quantity AS DOUBLE) AS quantity, quantity_lag_1, quantity_lag_7
-        FROM lagged""",
+        FROM near_sales""",
     "rolling_features": """
-        SELECT series, CAST(order_date AS VARCHAR) AS order_date,
+        SELECT product_id, CAST(order_date AS VARCHAR) AS order_date,
                CAST(quantity AS DOUBLE) AS quantity, quantity_rolling_7
-        FROM lagged""",
+        FROM near_sales""",
     "build_features": f"""
+        SELECT product_id, CAST(order_date AS VARCHAR) AS order_date,
+               CAST(quantity AS DOUBLE) AS quantity, quantity_lag_1, quantity_lag_7,
+               quantity_rolling_7, {CALENDAR}
+        FROM near_sales""",
+    "dense_features": f"""
         SELECT series, CAST(order_date AS VARCHAR) AS order_date,
                CAST(quantity AS DOUBLE) AS quantity, quantity_lag_1, quantity_lag_7,
                quantity_rolling_7, {CALENDAR}
         FROM lagged""",
     "finalize_features": """
-        SELECT (SELECT count(*) FROM grid) AS rows_before,
-               (SELECT count(*) FROM complete) AS rows_after,
-               (SELECT count(*) FROM grid) - (SELECT count(*) FROM complete) AS rows_dropped""",
+        SELECT (SELECT count(*) FROM near_sales) AS rows_before,
+               (SELECT count(*) FROM near_complete) AS rows_after,
+               (SELECT count(*) FROM near_sales) - (SELECT count(*) FROM near_complete) AS rows_dropped""",
     "chronological_split": """
-        SELECT series, CAST(order_date AS VARCHAR) AS order_date, quantity,
+        SELECT product_id, CAST(order_date AS VARCHAR) AS order_date, CAST(quantity AS DOUBLE) AS quantity,
                CASE WHEN order_date < (SELECT last_day - 46 FROM days) THEN 'train' ELSE 'test' END AS split
-        FROM complete""",
+        FROM near_complete""",
     "leakage_checks": """
-        SELECT 'date_overlap' AS check_name, (SELECT count(*) FROM train_rows) AS rows_checked,
-               CAST((SELECT max(order_date) FROM train_rows)
-                    >= (SELECT min(order_date) FROM test_rows) AS BIGINT) AS violations
+        SELECT 'date_overlap' AS check_name, (SELECT count(*) FROM near_train) AS rows_checked,
+               CAST((SELECT max(order_date) FROM near_train)
+                    >= (SELECT min(order_date) FROM near_complete WHERE order_date >= (SELECT last_day - 46 FROM days))
+                    AS BIGINT) AS violations
         UNION ALL
         SELECT 'lag_1_is_previous_day', count(*),
                count(*) FILTER (abs(a.quantity_lag_1 - b.quantity) > 0.001)
-        FROM train_rows a JOIN train_rows b
-          ON a.series = b.series AND a.order_date = b.order_date + 1
+        FROM near_train a JOIN product_days b
+          ON a.product_id = b.product_id AND a.order_date = b.order_date + 1
+        WHERE a.order_date > (SELECT min(order_date) FROM near_train)
         UNION ALL
-        SELECT 'target_in_features', count(*), 0 FROM train_rows""",
+        SELECT 'target_in_features', count(*), 0 FROM near_train""",
     "product_features": """
         SELECT product_id, count(*) AS days, sum(quantity) AS quantity, sum(lag_1) AS lag_1,
                sum(lag_7) AS lag_7, round(sum(rolling_7), 6) AS rolling_7,

@@ -371,6 +371,18 @@ def _product_features(r, days: int | None = None):
     return features.finalize_features(built)
 
 
+def _daily(r):
+    return features.daily_sales(r.items, r.orders)
+
+
+def _sparse_lags(r):
+    return features.sparse_lag_features(_daily(r), *map(str, r.calendar[:2]), "product_id")
+
+
+def _sparse_features(r):
+    return features.sparse_features(_daily(r), *map(str, r.calendar[:2]), "product_id")
+
+
 def _named(r, df):
     return restock.with_names(df, r.products, "product_id")
 
@@ -394,35 +406,45 @@ def calendar_features(r):
 
 @query
 def lag_features(r):
-    lagged = features.lag_features(_grid(r)).drop("quantity_rolling_7")
+    """Of every product, on the days that a sale can matter to."""
+    lagged = _sparse_lags(r).drop("quantity_rolling_7")
     return as_text(as_double(lagged, "quantity"), "order_date")
 
 
 @query
 def rolling_features(r):
-    rolled = features.lag_features(_grid(r)).drop("quantity_lag_1", "quantity_lag_7")
+    rolled = _sparse_lags(r).drop("quantity_lag_1", "quantity_lag_7")
     return as_text(as_double(rolled, "quantity"), "order_date")
 
 
 @query
 def build_features(r):
+    return as_text(_sparse_features(r), "order_date")
+
+
+@query
+def dense_features(r):
+    """Features of every brand on every day."""
     return as_text(features.build_features(_grid(r)), "order_date")
 
 
 @query
 def finalize_features(r):
-    return features.dropped_history(features.build_features(_grid(r)))
+    return features.dropped_history(_sparse_features(r))
 
 
 @query
 def chronological_split(r):
-    labelled = features.with_split(_features(r), r.calendar.split)
-    return as_text(labelled.select("series", "order_date", "quantity", "split"), "order_date")
+    ready = features.finalize_features(_sparse_features(r))
+    labelled = features.with_split(ready, r.calendar.split)
+    return as_text(labelled.select("product_id", "order_date", "quantity", "split"), "order_date")
 
 
 @query
 def leakage_checks(r):
-    return features.leakage_checks(*features.chronological_split(_features(r), r.calendar.split))
+    ready = features.finalize_features(_sparse_features(r))
+    parts = features.chronological_split(ready, r.calendar.split)
+    return features.leakage_checks(*parts, "product_id", sparse=True)
 
 
 @query

@@ -25,6 +25,9 @@ FEATURES = [
 TARGET = "quantity"
 HISTORY = ["quantity_lag_1", "quantity_lag_7", "quantity_rolling_7"]
 
+# Days after a sale on which lags and rolling mean still see it.
+REACH = 7
+
 # Monday is 0, so 5 and 6 are the weekend; October and November.
 WEEKEND_DAYS = (5, 6)
 FESTIVAL_MONTHS = (10, 11)
@@ -101,6 +104,81 @@ def build_features(grid: DataFrame, series: str = "series") -> DataFrame:
     )
 
 
+def days_in_reach(
+    daily: DataFrame, start: str, end: str, series: str = "series", reach: int = REACH
+) -> DataFrame:
+    """Of the dense grid, only the days that a sale can matter to: it and the `reach` days after, up to `end`.
+
+    Every row of `daily` (one per series and day) fills the days up to the next one with zeros, `reach` at most. On all
+    other days of the calendar quantity, lags and means are zero. So the rows grow with the sales, not with series times
+    days. Rows outside the calendar are left out.
+    """
+    first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
+    by_day = Window.partitionBy(series).orderBy("order_date")
+    inside = daily.where(F.col("order_date").between(first, last))
+    until = F.least(
+        F.date_add("order_date", reach),
+        F.date_sub(F.coalesce(F.lead("order_date").over(by_day), F.date_add(last, 1)), 1),
+        last,
+    )
+    listed = inside.select(series, "order_date", "quantity", F.datediff(until, "order_date").alias("left"))
+    after = F.posexplode(F.sequence(F.lit(0), F.col("left"))).alias("ahead", "same")
+    return listed.select(series, "order_date", "quantity", after).select(
+        series,
+        F.date_add("order_date", F.col("ahead")).alias("order_date"),
+        F.when(F.col("ahead") == 0, F.col("quantity"))
+        .otherwise(F.lit(0).cast("decimal(12,2)"))
+        .alias("quantity"),
+    )
+
+
+def sparse_lag_features(
+    daily: DataFrame, start: str, end: str, series: str = "series"
+) -> DataFrame:
+    """`lag_features` of the dense grid, for its days in reach of a sale and without the grid.
+
+    Frames are ranges of day numbers, so days that are not listed count as zero. As in the dense grid, lags that would
+    lie before the first day of the calendar are NULL. One shuffle by series, which `daily` may bring along.
+    """
+    number = F.datediff("order_date", F.lit(start).cast("date"))
+    rows = days_in_reach(daily, start, end, series).withColumn("__day", number)
+    by_day = Window.partitionBy(series).orderBy("__day")
+
+    def between(first: int, last: int):
+        total = F.sum("quantity").over(by_day.rangeBetween(-first, -last))
+        return F.when(F.col("__day") >= first, F.coalesce(total.cast("double"), F.lit(0.0)))
+
+    return rows.select(
+        series,
+        "order_date",
+        "quantity",
+        between(1, 1).alias("quantity_lag_1"),
+        between(7, 7).alias("quantity_lag_7"),
+        (between(7, 1) / F.lit(7.0)).alias("quantity_rolling_7"),
+    )
+
+
+def sparse_features(daily: DataFrame, start: str, end: str, series: str = "series") -> DataFrame:
+    """`build_features` for the days in reach of a sale; the quantity leaves as double."""
+    lagged = sparse_lag_features(daily, start, end, series)
+    return calendar_features(lagged).withColumn("quantity", F.col("quantity").cast("double"))
+
+
+def densified(
+    sparse: DataFrame, members: DataFrame, start: str, end: str, series: str = "series"
+) -> DataFrame:
+    """The rows that `build_features` has for every member on the days from `start` to `end`.
+
+    `sparse` holds those in reach, complete ones; what is missing is zero. For a few days, such as test days, or for few
+    series: the result is members times days.
+    """
+    spine = members.select(series, F.explode(calendar_days(start, end)).alias("order_date"))
+    kept = sparse.select(series, "order_date", TARGET, *HISTORY)
+    filled = [F.coalesce(c, F.lit(0.0)).alias(c) for c in (TARGET, *HISTORY)]
+    joined = spine.join(kept, [series, "order_date"], "left").select(series, "order_date", *filled)
+    return calendar_features(joined)
+
+
 def finalize_features(features: DataFrame) -> DataFrame:
     """Only rows with a complete history."""
     return features.dropna(subset=HISTORY)
@@ -133,11 +211,14 @@ def leakage_checks(
     series: str = "series",
     features: Sequence[str] = FEATURES,
     tolerance: float = 0.001,
+    sparse: bool = False,
 ) -> DataFrame:
     """(check_name, rows_checked, violations) for three ways the future can leak in.
 
     Date ranges that touch; a lag that is not the quantity of the day before (all
-    series, by a join independent of the lag window); the target as a feature.
+    series, by a join independent of the lag window); the target as a feature. In
+    `sparse` frames a day that is not listed, but lies in the training days, has
+    quantity zero.
     """
     first_test_day = test.agg(F.min("order_date")).scalar()
     overlap = train.agg(
@@ -152,10 +233,13 @@ def leakage_checks(
     day_before = train.select(
         series, F.date_add("order_date", 1).alias("order_date"), F.col(TARGET).alias("actual")
     )
-    wrong = F.abs(F.col("quantity_lag_1") - F.col("actual")) > F.lit(tolerance)
+    actual, rows = F.col("actual"), train.select(series, "order_date", "quantity_lag_1")
+    if sparse:
+        actual = F.coalesce(actual, F.lit(0.0))
+        rows = rows.where(F.col("order_date") > train.agg(F.min("order_date")).scalar())
+    wrong = F.abs(F.col("quantity_lag_1") - actual) > F.lit(tolerance)
     lags = (
-        train.select(series, "order_date", "quantity_lag_1")
-        .join(day_before, [series, "order_date"])
+        rows.join(day_before, [series, "order_date"], "left" if sparse else "inner")
         .agg(
             F.count(F.lit(1)).alias("rows_checked"),
             F.count(F.when(wrong, 1)).alias("violations"),

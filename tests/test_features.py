@@ -96,3 +96,62 @@ def test_target_among_the_features_is_found_in_the_frame(built):
     hidden = train.withColumn("month", train["quantity"])
     checks = {r.check_name: r.violations for r in features.leakage_checks(hidden, test).collect()}
     assert checks["target_in_features"] == 1
+
+
+def sparse_and_dense(spark, data, members, days):
+    sales = daily(spark, data)
+    end = str(START + dt.timedelta(days=days - 1))
+    listed = spark.createDataFrame([(m,) for m in members], "series int")
+    dense = features.build_features(features.complete_grid(sales, listed, str(START), end))
+    return features.sparse_features(sales, str(START), end), dense, listed, end
+
+
+def by_place(df):
+    columns = ["quantity", *features.FEATURES]
+    return {(r.series, r.order_date): tuple(r[c] for c in columns) for r in df.collect()}
+
+
+def test_sparse_features_equal_the_dense_grid(spark):
+    """Sales at the ends of the calendar, gaps shorter and longer than a week, a return, days that add up to zero."""
+    data = {
+        1: [3, None, None, 4] + [None] * 12 + [5] + [None] * 7 + [6] + [None] * 6 + [1],
+        2: [None] * 25 + [2, None, -2],
+        3: [0, None, 1],
+        4: list(range(40)),
+    }
+    sparse, dense, listed, end = sparse_and_dense(spark, data, [1, 2, 3, 4, 5], 40)
+    near, whole = by_place(sparse), by_place(dense)
+    assert near == {k: whole[k] for k in near}
+    sales = {(s, START + dt.timedelta(days=i)) for s, v in data.items() for i, q in enumerate(v) if q is not None}
+    reach = {(s, d + dt.timedelta(days=i)) for s, d in sales for i in range(8)}
+    assert set(near) == reach & set(whole)
+    history = [i for i, c in enumerate(["quantity", *features.FEATURES]) if "quantity" in c]
+    assert all(not whole[k][i] for k in set(whole) - set(near) for i in history)
+
+
+def test_densified_rows_equal_the_dense_grid(spark):
+    data = {1: [3, None, None, 4] + [None] * 12 + [5], 2: [None] * 14 + [9]}
+    sparse, dense, listed, end = sparse_and_dense(spark, data, [1, 2, 3], 20)
+    first = str(START + dt.timedelta(days=12))
+    got = features.densified(features.finalize_features(sparse), listed, first, end)
+    want = {k: v for k, v in by_place(dense).items() if str(k[1]) >= first}
+    assert by_place(got) == want and len(want) == 3 * 8
+
+
+def test_sparse_features_take_one_shuffle_after_the_daily_sums(spark):
+    sparse, *_ = sparse_and_dense(spark, {1: [1, None, 2]}, [1], 30)
+    plan = sparse._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+def test_leaks_are_found_in_sparse_rows(spark):
+    data = {1: [1] * 9 + [None] * 9 + [5] * 20}
+    sparse, *_ = sparse_and_dense(spark, data, [1], 38)
+    final = features.finalize_features(sparse)
+    train, test = features.chronological_split(final, "2025-02-05")
+    checks = lambda df: {r.check_name: (r.rows_checked, r.violations) for r in features.leakage_checks(df, test, sparse=True).collect()}
+    rows = train.count()
+    assert checks(train) == {"date_overlap": (rows, 0), "lag_1_is_previous_day": (rows - 1, 0), "target_in_features": (rows, 0)}
+    # The sale after the gap is one whose day before is not listed.
+    leaky = train.withColumn("quantity_lag_1", train["quantity"])
+    assert checks(leaky)["lag_1_is_previous_day"][1] >= 2
