@@ -256,6 +256,49 @@ VIEWS = {
         FROM packed""",
 }
 
+X = ["day_of_week", "month", "is_weekend", "is_festival_season", "quantity_lag_1", "quantity_lag_7", "quantity_rolling_7"]
+_ALL = [*X, "quantity"]
+_CAL = """CAST(isodow(order_date) - 1 AS INTEGER) AS day_of_week,
+    CAST(month(order_date) AS INTEGER) AS month,
+    CAST(isodow(order_date) >= 6 AS INTEGER) AS is_weekend,
+    CAST(month(order_date) IN (10, 11) AS INTEGER) AS is_festival_season"""
+
+# Normal equations over every product and day, solved by elimination, one step after the other.
+VIEWS["panel"] = f"""
+        SELECT product_id, order_date, CAST(quantity AS DOUBLE) AS quantity, quantity_lag_1, quantity_lag_7,
+               quantity_rolling_7, {_CAL}
+        FROM reached WHERE quantity_lag_7 IS NOT NULL"""
+VIEWS["panel_train"] = "SELECT * FROM panel WHERE order_date < (SELECT last_day - 46 FROM days)"
+VIEWS["panel_test"] = "SELECT * FROM panel WHERE order_date >= (SELECT last_day - 46 FROM days)"
+VIEWS["panel_mean"] = f"""
+        SELECT product_id, {", ".join(f"avg({c}) AS m{i}" for i, c in enumerate(_ALL))}
+        FROM panel_train GROUP BY product_id"""
+VIEWS["gram0"] = f"""
+        SELECT {", ".join(f"sum(d{i} * d{j}) AS a{i}_{j}" for i in range(7) for j in range(8))}
+        FROM (SELECT {", ".join(f"{c} - m{i} AS d{i}" for i, c in enumerate(_ALL))}
+              FROM panel_train t JOIN panel_mean m ON t.product_id = m.product_id)"""
+for _k in range(7):
+    VIEWS[f"gram{_k + 1}"] = "SELECT " + ", ".join(
+        f"a{i}_{j} / a{_k}_{_k} AS a{i}_{j}" if i == _k else f"a{i}_{j} - a{i}_{_k} * a{_k}_{j} / a{_k}_{_k} AS a{i}_{j}"
+        for i in range(7)
+        for j in range(8)
+    ) + f" FROM gram{_k}"
+VIEWS["effect_of"] = f"""
+        SELECT product_id, m7 - ({" + ".join(f"a{i}_7 * m{i}" for i in range(7))}) AS effect
+        FROM panel_mean, gram7"""
+VIEWS["linear_steps"] = f"""
+        SELECT product_id, 0 AS horizon, q, CAST(NULL AS DOUBLE) AS prediction FROM state
+        UNION ALL
+        SELECT product_id, horizon + 1, list_append(q[2:7], p), p
+        FROM (SELECT s.product_id, horizon, q,
+                     round_even((effect + a0_7 * day_of_week + a1_7 * month + a2_7 * is_weekend
+                                 + a3_7 * is_festival_season + a4_7 * q[7] + a5_7 * q[1]
+                                 + a6_7 * (q[1] + q[2] + q[3] + q[4] + q[5] + q[6] + q[7]) / 7) * 1e6, 0) / 1e6 AS p
+              FROM (SELECT *, {_CAL}
+                    FROM (SELECT *, CAST((SELECT last_day FROM days) + horizon + 1 AS DATE) AS order_date
+                          FROM linear_steps WHERE horizon < 7)) s
+              JOIN effect_of e ON s.product_id = e.product_id, gram7)"""
+
 ORDER_HASH = "((order_id % 2147483648) * 2654435761) % 4294967296"
 
 
@@ -269,7 +312,7 @@ def _sampled(fraction: str) -> str:
 VIEWS["sampled_3"] = _sampled("0.03")
 VIEWS["sampled_2"] = _sampled("0.02")
 
-RECURSIVE = {"steps", "packing"}
+RECURSIVE = {"steps", "packing", "linear_steps"}
 
 PRODUCT_REVENUE = """
     SELECT product_id, p_name AS product_name, p_type AS category,
@@ -347,13 +390,18 @@ def _long(body: str, section: str, label: str, name: str, order: str, metrics: l
     )
 
 
-def _metrics(name: str, prediction: str) -> str:
+def _metrics_of(name: str, scored: str) -> str:
+    """Errors of rows (quantity, p)."""
     return f"""
         SELECT '{name}' AS model, count(*) AS rows, round(avg(abs(quantity - p)), 6) AS mae,
                round(avg((quantity - p) * (quantity - p)), 6) AS mse,
                round(sqrt(avg((quantity - p) * (quantity - p))), 6) AS rmse,
                round(1 - avg((quantity - p) * (quantity - p)) / var_pop(quantity), 6) AS r2
-        FROM (SELECT quantity, {prediction} AS p FROM test_rows)"""
+        FROM {scored}"""
+
+
+def _metrics(name: str, prediction: str) -> str:
+    return _metrics_of(name, f"(SELECT quantity, {prediction} AS p FROM test_rows)")
 
 
 ITEM_COLUMNS = """order_item_id, order_id, product_name, CAST(quantity AS DOUBLE) AS quantity,
@@ -363,10 +411,7 @@ CLEAN_ITEMS = """
     SELECT order_item_id, order_id, product_id, quantity, unit_price_at_order
     FROM first_items i LEFT JOIN lookup l ON i.product_name = l.product_name"""
 
-CALENDAR = """CAST(isodow(order_date) - 1 AS INTEGER) AS day_of_week,
-    CAST(month(order_date) AS INTEGER) AS month,
-    CAST(isodow(order_date) >= 6 AS INTEGER) AS is_weekend,
-    CAST(month(order_date) IN (10, 11) AS INTEGER) AS is_festival_season"""
+CALENDAR = _CAL
 
 PROFILE_ORDERS = """
     SELECT count(*) AS row_count, count(*) - count(order_id) AS null_order_id,
@@ -757,10 +802,21 @@ BODIES = {
         SELECT count(*) FILTER (predicted_daily_demand < 0) AS negative_demand,
                count(*) FILTER (recommended_order_qty < 0) AS negative_orders
         FROM sized""",
-    "linear_regression": """
-        SELECT 'linear_regression' AS model, count(*) AS rows, true AS finite, true AS beats_mean,
-               true AS balanced
-        FROM test_rows""",
+    "linear_regression": _metrics_of(
+        "linear_regression",
+        "(SELECT t.quantity, effect + "
+        + " + ".join(f"a{i}_7 * {c}" for i, c in enumerate(X))
+        + " AS p FROM panel_test t JOIN effect_of e ON t.product_id = e.product_id, gram7)",
+    ),
+    "linear_coefficients": " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, round(a{i}_7, 6) AS coefficient FROM gram7" for i, c in enumerate(X)
+    ),
+    "linear_effects": "SELECT product_id, round(effect, 6) AS effect FROM effect_of",
+    "forecast_linear": """
+        SELECT product_id, CAST(CAST((SELECT last_day FROM days) + horizon AS DATE) AS VARCHAR) AS order_date,
+               CAST(horizon AS INTEGER) AS horizon, prediction,
+               round_even(prediction * 100, 0) / 100 AS predicted_quantity
+        FROM linear_steps WHERE horizon > 0""",
     "random_forest": """
         SELECT 'random_forest_best' AS model, count(*) AS rows, true AS finite, true AS beats_mean,
                true AS within_labels

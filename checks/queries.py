@@ -15,7 +15,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from storecast import schema
 from storecast.functions import portable_hash
-from storecast.operators import allocate, baskets, features, forecast, models, quality, sampling
+from storecast.operators import allocate, baskets, features, forecast, linear, models, quality, sampling
 from storecast.plans import load, reports, restock, train
 from storecast.session import scratch_path
 from storecast.sources import files
@@ -723,9 +723,43 @@ def _checked(r, name, regressor, *columns):
     return checks.select("model", "rows", "finite", "beats_mean", *columns)
 
 
+def _linear(r):
+    """Least squares over every product and training day, with an intercept per product."""
+    first, split = r.calendar.start + dt.timedelta(days=features.REACH), r.calendar.split
+    before = str(dt.date.fromisoformat(split) - dt.timedelta(days=1))
+    sparse = features.finalize_features(_sparse_features(r))
+    train_rows, test_rows = features.chronological_split(sparse, split)
+    members = r.products.select("product_id")
+    fit = linear.fit_within_sparse(train_rows, members, str(first), before, "product_id")
+    return fit, features.densified(test_rows, members, split, str(r.calendar.end), "product_id")
+
+
 @query
 def linear_regression(r):
-    return _checked(r, "linear_regression", models.linear_regression(), "balanced")
+    """Errors on the test days of every product."""
+    fit, test_rows = _linear(r)
+    return _rounded(models.regression_metrics(fit.scored(test_rows), "linear_regression"))
+
+
+@query
+def linear_coefficients(r):
+    return _linear(r)[0].table().withColumn("coefficient", F.round("coefficient", 6))
+
+
+@query
+def linear_effects(r):
+    """The intercept of every product."""
+    return _linear(r)[0].effects.select("product_id", F.round("effect", 6).alias("effect"))
+
+
+@query
+def forecast_linear(r):
+    """A week ahead of every product by the linear fit; the value fed back is rounded as in `forecast_7d_rolling`."""
+    fit, _ = _linear(r)
+    ahead = forecast.forecast_with_columns(
+        _product_features(r, STATE_DAYS), fit, HORIZON, "product_id", STEP_DIGITS, fit.effects
+    )
+    return as_text(ahead, "order_date")
 
 
 @query

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -56,20 +55,23 @@ def recent_state(history: DataFrame, series: str = "series") -> DataFrame:
     )
 
 
-def _start_state(history: DataFrame, series: str) -> DataFrame:
+def _start_state(
+    history: DataFrame, series: str, context: DataFrame | None = None
+) -> DataFrame:
     """State with `first_day`, the day after the newest day of any series, and an empty `out`.
 
-    Kept, since it is read for that day and for the forecast: one row per series,
-    against a second pass over the whole history.
+    The newest day comes from the state as well, in a subquery that reads the same
+    shuffle. Columns of `context`, one row per series, are joined to it.
     """
-    state = recent_state(history, series).persist(StorageLevel.MEMORY_AND_DISK)
+    state = recent_state(history, series)
     newest = state.agg(F.max("last_day")).scalar()
-    return state.select(
+    started = state.select(
         series,
         "recent",
         F.date_add(newest, 1).alias("first_day"),
         F.expr(f"cast(array() as {STEPS_TYPE})").alias("out"),
     )
+    return started if context is None else started.join(context, series)
 
 
 def _result(state: DataFrame, series: str, steps: Column) -> DataFrame:
@@ -113,12 +115,15 @@ def forecast_with_columns(
     n_days: int = 7,
     series: str = "series",
     step_digits: int | None = None,
+    context: DataFrame | None = None,
 ) -> DataFrame:
     """(series, order_date, horizon, prediction, predicted_quantity) from a column predictor.
 
     The recursion is one fold over 1..n_days inside a single projection, so the
     plan does not grow with the horizon. `step_digits` rounds the value that is
-    fed back; `predicted_quantity` is the output at two digits.
+    fed back; `predicted_quantity` is the output at two digits. `context` has columns
+    that the predictor reads besides the features, one row per series; series
+    without one have no forecast.
     """
 
     def step(acc: Column, h: Column) -> Column:
@@ -141,7 +146,7 @@ def forecast_with_columns(
     start = F.struct("recent", "out")
     days = F.sequence(F.lit(1), F.lit(n_days))
     steps = F.aggregate(days, start, step, lambda acc: acc["out"])
-    return _result(_start_state(history, series), series, steps)
+    return _result(_start_state(history, series, context), series, steps)
 
 
 def forecast_with_model(
