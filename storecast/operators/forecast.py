@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storecast.functions import round_half_even
+from storecast.operators.compiled import ColumnModel
 from storecast.operators.features import FESTIVAL_MONTHS, WEEKEND_DAYS
 from storecast.session import shared_root
 
@@ -71,7 +72,7 @@ def _start_state(
         F.date_add(newest, 1).alias("first_day"),
         F.expr(f"cast(array() as {STEPS_TYPE})").alias("out"),
     )
-    return started if context is None else started.join(context, series)
+    return started if context is None else started.join(context, series, "left")
 
 
 def _result(state: DataFrame, series: str, steps: Column) -> DataFrame:
@@ -122,8 +123,8 @@ def forecast_with_columns(
     The recursion is one fold over 1..n_days inside a single projection, so the
     plan does not grow with the horizon. `step_digits` rounds the value that is
     fed back; `predicted_quantity` is the output at two digits. `context` has columns
-    that the predictor reads besides the features, one row per series; series
-    without one have no forecast.
+    that the predictor reads besides the features, one row per series, and NULL where
+    a series has none.
     """
 
     def step(acc: Column, h: Column) -> Column:
@@ -180,7 +181,15 @@ def forecast(
     series: str = "series",
     step_digits: int | None = None,
 ) -> DataFrame:
-    """Forecast with either kind of predictor."""
+    """Forecast with either kind of predictor.
+
+    Linear and tree pipelines are walked as columns, in one projection; others, and forests too large for a plan, by one
+    transform per day.
+    """
     if isinstance(predictor, PipelineModel):
-        return forecast_with_model(history, predictor, n_days, series)
+        if not ColumnModel.fits(predictor):
+            return forecast_with_model(history, predictor, n_days, series)
+        walked = ColumnModel(predictor, series)
+        context = walked.context(history.sparkSession)
+        return forecast_with_columns(history, walked, n_days, series, step_digits, context)
     return forecast_with_columns(history, predictor, n_days, series, step_digits)
