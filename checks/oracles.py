@@ -225,33 +225,31 @@ VIEWS = {
         FROM alloc_parts p JOIN alloc_totals t ON p.order_id = t.order_id
         WHERE t.total > 0""",
     "portions": """
-        SELECT order_date, p_brand AS series, i.order_id, line_no, product_id, quantity,
-               unit_price_at_order,
+        SELECT order_date, i.order_id, line_no, product_id, quantity, unit_price_at_order,
                row_number() OVER (
-                   PARTITION BY order_date, p_brand
-                   ORDER BY i.order_id, line_no, product_id, quantity, unit_price_at_order) AS j
-        FROM r_items i JOIN r_orders o ON i.order_id = o.order_id
-                       JOIN part ON product_id = p_partkey""",
+                   PARTITION BY order_date, product_id
+                   ORDER BY i.order_id, line_no, quantity, unit_price_at_order) AS j
+        FROM r_items i JOIN r_orders o ON i.order_id = o.order_id""",
     "day_products": """
-        SELECT order_date, series, count(*) AS k,
-               row_number() OVER (PARTITION BY order_date ORDER BY series) AS rank
-        FROM portions GROUP BY order_date, series""",
+        SELECT order_date, product_id, count(*) AS k,
+               row_number() OVER (PARTITION BY order_date ORDER BY product_id) AS rank
+        FROM portions GROUP BY order_date, product_id""",
     "packing": """
-        SELECT order_date, series, rank, CAST(0 AS BIGINT) AS first_basket, k AS a1,
+        SELECT order_date, product_id, rank, CAST(0 AS BIGINT) AS first_basket, k AS a1,
                CAST(0 AS BIGINT) AS a2, CAST(0 AS BIGINT) AS a3, CAST(0 AS BIGINT) AS a4
         FROM day_products WHERE rank = 1
         UNION ALL
-        SELECT d.order_date, d.series, d.rank, a4, greatest(a1, a4 + k),
+        SELECT d.order_date, d.product_id, d.rank, a4, greatest(a1, a4 + k),
                greatest(a2, least(a1, a4 + k)), greatest(a3, least(a2, a4 + k)),
                greatest(a4, least(a3, a4 + k))
         FROM packing p JOIN day_products d
           ON d.order_date = p.order_date AND d.rank = p.rank + 1""",
     "packed": """
-        SELECT p.order_date, p.series, p.order_id, p.line_no, p.product_id, p.quantity,
+        SELECT p.order_date, p.product_id, p.order_id, p.line_no, p.quantity,
                p.unit_price_at_order, first_basket + j AS basket_no
-        FROM portions p JOIN packing b ON p.order_date = b.order_date AND p.series = b.series""",
+        FROM portions p JOIN packing b ON p.order_date = b.order_date AND p.product_id = b.product_id""",
     "numbered": """
-        SELECT *, row_number() OVER (PARTITION BY order_date, basket_no ORDER BY series)
+        SELECT *, row_number() OVER (PARTITION BY order_date, basket_no ORDER BY product_id)
                   AS basket_line
         FROM packed""",
 }
@@ -886,14 +884,14 @@ BODIES = {
         WHERE total <= 0
            OR NOT EXISTS (SELECT 1 FROM alloc_parts p WHERE p.order_id = t.order_id)""",
     "assemble_baskets": """
-        SELECT CAST(order_date AS VARCHAR) AS order_date, series, order_id, line_no, product_id,
+        SELECT CAST(order_date AS VARCHAR) AS order_date, product_id, order_id, line_no,
                CAST(quantity AS DOUBLE) AS quantity,
                CAST(unit_price_at_order AS DOUBLE) AS unit_price_at_order, basket_no,
                CAST(basket_line AS INTEGER) AS basket_line
         FROM numbered""",
     "flatten_orders": """
         SELECT concat(CAST(order_date AS VARCHAR), '/', basket_no) AS order_id,
-               CAST(basket_line AS INTEGER) AS basket_line, series,
+               CAST(basket_line AS INTEGER) AS basket_line, product_id,
                CAST(quantity AS DOUBLE) AS quantity,
                concat(CAST(order_date AS VARCHAR), '/', basket_no, '/', basket_line)
                    AS order_item_id

@@ -668,25 +668,26 @@ def allocation_rejects(r):
     return as_double(_allocation(r, "last")[1], "total")
 
 
-PORTION_ORDER = ["order_id", "line_no", "product_id", "quantity", "unit_price_at_order"]
+PORTION_ORDER = ["order_id", "line_no", "quantity", "unit_price_at_order"]
 
 
 def _baskets(r):
-    portions = _series_items(r).join(r.orders.select("order_id", "order_date"), "order_id")
-    return baskets.assemble_baskets(portions, ["order_date"], "series", PORTION_ORDER)
+    """Baskets of products, per day."""
+    portions = r.items.join(r.orders.select("order_id", "order_date"), "order_id")
+    return baskets.assemble_baskets(portions, ["order_date"], "product_id", PORTION_ORDER)
 
 
 @query
 def assemble_baskets(r):
     packed = _baskets(r).select(
-        "order_date", "series", *PORTION_ORDER, "basket_no", "basket_line"
+        "order_date", "product_id", *PORTION_ORDER, "basket_no", "basket_line"
     )
     return as_text(as_double(packed, "quantity", "unit_price_at_order"), "order_date")
 
 
 @query
 def flatten_orders(r):
-    nested = baskets.nest_orders(_baskets(r), ["order_date"], ["series", "quantity"])
+    nested = baskets.nest_orders(_baskets(r), ["order_date"], ["product_id", "quantity"])
     _, lines = baskets.flatten_orders(nested, ["order_date"])
     return as_double(lines, "quantity")
 

@@ -5,54 +5,110 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import takewhile
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from storecast.operators.ranking import (
     BLOCK_BITS,
-    block_bits,
+    block_widths,
     cell,
     cell_counts,
     key_block,
     number_in_cell,
 )
+from storecast.session import stored
 
+# Products of a group that are folded in one array, and of these in one run.
+CHUNK, RUN = 65_536, 512
 BLOCKED = {"tinyint", "smallint", "int", "bigint", "string"}
 
 
-def basket_starts(counts: DataFrame, group: Sequence[str], product: str, capacity: int) -> DataFrame:
+def _served(state: Column, portions: Column, capacity: int) -> Column:
+    """The state of a group after a product: how many baskets hold at least 1, 2, ... lines.
+
+    Its portions fill the baskets right after the full ones, one each.
+    """
+    held = [F.get(state, i) for i in range(capacity)]
+    reach = held[-1] + portions
+    levels = [F.greatest(held[0], reach)]
+    levels += [F.greatest(held[i], F.least(held[i - 1], reach)) for i in range(1, capacity)]
+    return F.array(*levels)
+
+
+def _folded(counts: Column, state: Column, capacity: int) -> Column:
+    """(state, starts) after the products of `counts`, served in order; starts[i] baskets were full before the i-th.
+
+    Appending copies what is there, so the starts are gathered in runs of RUN products first and then run by run.
+    """
+
+    def fold(items: Column, begin: Column, gather) -> Column:
+        start = F.struct(begin.alias("state"), F.expr("cast(array() as array<bigint>)").alias("starts"))
+        return F.aggregate(items, start, gather)
+
+    def product(acc: Column, n: Column) -> Column:
+        before = F.get(acc["state"], capacity - 1)
+        return F.struct(
+            _served(acc["state"], n, capacity).alias("state"),
+            F.concat(acc["starts"], F.array(before)).alias("starts"),
+        )
+
+    def run(acc: Column, first: Column) -> Column:
+        # A one-element array binds the run's result once for its two uses.
+        own = F.array(fold(F.slice(counts, first, RUN), acc["state"], product))
+        joined = lambda r: F.struct(
+            r["state"].alias("state"), F.concat(acc["starts"], r["starts"]).alias("starts")
+        )
+        return F.transform(own, joined)[0]
+
+    return fold(F.sequence(F.lit(1), F.size(counts), F.lit(RUN)), state, run)
+
+
+def basket_starts(
+    counts: DataFrame, group: Sequence[str], product: str, capacity: int, chunk: int = CHUNK
+) -> DataFrame:
     """Add `first_basket`: how many baskets of the group are full before each product.
 
-    `counts` has one row per group and product with `portions`. A product's portions
-    fill the baskets right after the full ones, one each, so the whole state of a
-    group is `capacity` numbers: how many baskets hold at least 1, 2, ... lines.
-    Groups stream through sorted partitions; nothing but that state is kept.
+    `counts` has one row per group and product with `portions`. Serving products one after the other is a fold whose
+    whole state is `capacity` numbers a group. A group of up to `chunk` products is one array; longer ones go chunk by
+    chunk, all groups side by side, and only that state is carried on.
     """
     columns = list(group)
+    place = F.row_number().over(Window.partitionBy(*columns).orderBy(product)) - 1
+    row = F.struct(F.col("__place").alias("place"), F.col(product).alias("product"), "portions")
+    chunks = (
+        counts.select(*columns, product, "portions")
+        .withColumn("__place", place)
+        .groupBy(*columns, F.floor(F.col("__place") / chunk).cast("int").alias("__chunk"))
+        .agg(F.sort_array(F.collect_list(row)).alias("__rows"))
+    )
+    empty = F.array(*[F.lit(0).cast("bigint")] * capacity)
+
+    def walked(rows: DataFrame, state: Column) -> DataFrame:
+        portions = F.transform("__rows", lambda r: r["portions"].cast("bigint"))
+        return rows.withColumn("__walk", _folded(portions, state, capacity))
+
+    def listed(rows: DataFrame) -> DataFrame:
+        pairs = F.arrays_zip(F.col("__rows").alias("r"), F.col("__walk.starts").alias("first_basket"))
+        return rows.select(*columns, F.explode(pairs).alias("p")).select(
+            *columns, F.col("p.r.product").alias(product), F.col("p.r.portions").alias("portions"), "p.first_basket"
+        )
 
-    def scan(batches):
-        current, holding = None, []
-        for batch in batches:
-            keys = list(zip(*[batch.column(c).to_pylist() for c in columns]))
-            starts = []
-            for key, portions in zip(keys, batch.column("portions").to_pylist()):
-                if key != current:
-                    current, holding = key, [0] * capacity
-                full = holding[-1]
-                starts.append(full)
-                reach = full + portions
-                for level in range(capacity - 1, 0, -1):
-                    grown = min(holding[level - 1], reach)
-                    holding[level] = max(holding[level], grown)
-                holding[0] = max(holding[0], reach)
-            arrays = [*batch.columns, pa.array(starts, pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, "first_basket"])
-
-    schema = T.StructType([*counts.schema.fields, T.StructField("first_basket", T.LongType())])
-    ordered = counts.repartition(*columns).sortWithinPartitions(*columns, product)
-    return ordered.mapInArrow(scan, schema)
+    if counts.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > chunk).isEmpty():
+        return listed(walked(chunks, empty))
+    chunks, out, number = stored(chunks, "basket-chunks"), None, 0
+    state = None
+    while True:
+        now = chunks.where(F.col("__chunk") == number).withColumn("__group", cell(columns))
+        if now.isEmpty():
+            return out
+        if state is None:
+            done = walked(now, empty)
+        else:
+            done = walked(now.join(state, "__group"), F.col("__state"))
+        done = stored(done.select(*columns, "__group", "__rows", "__walk"), "basket-walk")
+        state = done.select("__group", F.col("__walk.state").alias("__state"))
+        out = listed(done) if out is None else out.unionByName(listed(done))
+        number += 1
 
 
 def assemble_baskets(
@@ -69,15 +125,15 @@ def assemble_baskets(
     product. Its leading integer or text columns, two at most, come as blocks of keys first:
     portions are numbered block by block, so one product of one day, or one order in
     it, may hold any number of them. Only the number of portions per group and
-    product is scanned in sequence; that scan is as long as the product list.
+    product is folded in sequence; that fold is as long as the group's product list.
     """
     group, served = list(group), [*group, product]
     kinds = dict(portions.dtypes)
     # Two levels: an order with very many lines is itself split by line number.
     leading = list(takewhile(lambda c: kinds[c] in BLOCKED, order))[:2]
     blocks = [f"__block{i}" for i in range(len(leading))]
-    # One small aggregate per integer column tells how far its keys lie apart.
-    width = {c: BLOCK_BITS if kinds[c] == "string" else block_bits(portions, c) for c in leading}
+    # One aggregate tells how far the keys of all integer columns lie apart.
+    width = dict.fromkeys(leading, BLOCK_BITS) | block_widths(portions, [c for c in leading if kinds[c] != "string"])
     blocked = portions.withColumns(
         {b: key_block(c, kinds[c], width[c]) for b, c in zip(blocks, leading)}
     )

@@ -17,16 +17,25 @@ BLOCK_BITS = 16
 BLOCK_CHARACTERS = 3
 
 
-def block_bits(df: DataFrame, key: str) -> int:
-    """Width of the blocks of an integer key, in bits: about 2^BLOCK_BITS keys to a block, dense or sparse.
+def block_widths(df: DataFrame, keys: Sequence[str]) -> dict[str, int]:
+    """Width of the blocks of integer keys, in bits: about 2^BLOCK_BITS keys to a block, dense or sparse.
 
-    One aggregate over the keys. Keys that crowd in a part of their range make larger blocks there.
+    One aggregate over all keys. Keys that crowd in a part of their range make larger blocks there.
     """
-    row = df.agg(F.min(key).alias("low"), F.max(key).alias("high"), F.count(key).alias("n")).first()
-    if not row.n:
-        return BLOCK_BITS
-    blocks = max(1, row.n >> BLOCK_BITS)
-    return max(0, ((row.high - row.low) // blocks).bit_length())
+    if not keys:
+        return {}
+    found = df.agg(*[f(k).alias(f"{f.__name__}_{k}") for k in keys for f in (F.min, F.max, F.count)]).first()
+    out = {}
+    for k in keys:
+        low, high, n = (found[f"{f}_{k}"] for f in ("min", "max", "count"))
+        blocks = max(1, n >> BLOCK_BITS)
+        out[k] = max(0, ((high - low) // blocks).bit_length()) if n else BLOCK_BITS
+    return out
+
+
+def block_bits(df: DataFrame, key: str) -> int:
+    """`block_widths` of one key."""
+    return block_widths(df, [key])[key]
 
 
 def key_block(key: str, kind: str = "bigint", bits: int = BLOCK_BITS) -> Column:
