@@ -22,7 +22,7 @@ BITS = 64
 SHINGLE_WORDS = 4
 MAX_BITS = 4
 HASH_SEED = 42
-#: Entries with more fingerprints are split by the same rule on the bits the entry doesn't hold.
+#: Entries with more fingerprints are linked in runs of so many, and dealt out again where that leaves them apart.
 SPLIT_ABOVE = 4096
 #: Up to this size all neighbours in an entry are compared at once, beyond it by a search.
 SMALL_ENTRY = 8
@@ -95,9 +95,9 @@ def _variants(fp: Column, bits: list[int], parts: int) -> Column:
 
 
 def variant_rows(nodes: DataFrame, parts: int) -> DataFrame:
-    """(mask, value, fp): one row for each of the 64 entries of each fingerprint."""
+    """(held, entry, fp): one row for each of the 64 entries of each fingerprint. held are the bits an entry agrees on."""
     return nodes.select("fp", F.explode(_variants(F.col("fp"), list(range(BITS)), parts)).alias("v")).select(
-        "v.mask", "v.value", "fp"
+        F.col("v.mask").alias("held"), F.col("v.value").alias("entry"), "fp"
     )
 
 
@@ -113,23 +113,26 @@ def _mixed(*columns: np.ndarray) -> np.ndarray:
 def split_rows(hot: DataFrame, parts: int) -> DataFrame:
     """Entries of the bits that the row's own entry does not hold, for entries that are too large.
 
-    Two fingerprints of one entry agree on its mask, so all their differing bits are among the rest, and the same
+    Two fingerprints of one entry agree on the bits it holds, so all their differing bits are among the rest, and the same
     argument finds them again there. Numbers that mix to the same entry by chance are told apart when compared.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            mask, value, fp = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            for own in np.unique(mask):
-                at = mask == own
+            held, entry, fp = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            out = []
+            for own in np.unique(held):
+                at = held == own
                 rest = [b for b in range(BITS) if not int(own) >> b & 1]
                 for part in segments(rest, parts):
                     for bit in part:
                         kept = np.full(at.sum(), _mask([b for b in part if b != bit]))
-                        entry = _mixed(mask[at], value[at], fp[at] & kept)
-                        yield pa.record_batch([kept, entry, fp[at]], names=["mask", "value", "fp"])
+                        out.append((held[at] | kept, _mixed(entry[at], kept, fp[at] & kept), fp[at]))
+            columns = [np.concatenate(c) for c in zip(*out)]
+            if out:
+                yield pa.record_batch([pa.array(c) for c in columns], names=["held", "entry", "fp"])
 
-    return mapped(hot.select("mask", "value", "fp"), run, "mask bigint, value bigint, fp bigint")
+    return mapped(hot.select("held", "entry", "fp"), run, "held bigint, entry bigint, fp bigint")
 
 
 def _search(fps: np.ndarray, most: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -148,86 +151,132 @@ def _search(fps: np.ndarray, most: int) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def links_in(keys: np.ndarray, fps: np.ndarray, most: int, limit: int | None) -> tuple[list, list[slice]]:
-    """Links among rows sorted by key, and the runs that are longer than `limit`."""
+def links_in(keys: np.ndarray, fps: np.ndarray, most: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Links among rows sorted by key."""
     edges = np.flatnonzero(keys[1:] != keys[:-1]) + 1
     starts = np.concatenate(([0], edges))
     sizes = np.diff(np.concatenate((starts, [len(keys)])))
     of_row = np.repeat(sizes, sizes)
-    out, large = [], []
+    out = []
     for gap in range(1, SMALL_ENTRY):
         near = (keys[gap:] == keys[:-gap]) & (of_row[gap:] <= SMALL_ENTRY)
         at = np.flatnonzero(near)
         at = at[np.bitwise_count(fps[at] ^ fps[at + gap]) <= most]
         out.append((fps[at], fps[at + gap]))
     for a, n in zip(starts[sizes > SMALL_ENTRY].tolist(), sizes[sizes > SMALL_ENTRY].tolist()):
-        if limit and n > limit:
-            large.append(slice(a, a + n))
-        else:
-            out += _search(fps[a : a + n], most)
-    return out, large
+        out += _search(fps[a : a + n], most)
+    return out
+
 
+def entry_links(rows: DataFrame, most: int, limit: int) -> DataFrame:
+    """(a, b, held, entry): links between the fingerprints of an entry; rows of entries above `limit` come with a null b.
 
-def entry_links(rows: DataFrame, most: int, limit: int | None) -> DataFrame:
-    """(a, b, mask, value): links between the fingerprints of an entry; rows of entries above `limit` come back with null b."""
+    Of an entry no more than `limit` rows are held at once: a longer one is linked run by run, in the order of its
+    fingerprints, and its rows are listed, as links between the runs are missing.
+    """
+    names = ["a", "b", "held", "entry"]
+
+    def linked(keys: np.ndarray, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
+        found = links_in(keys, fps.view(np.uint64), most)
+        a = np.concatenate([x for x, _ in found] or [np.zeros(0, np.uint64)]).view(np.int64)
+        b = np.concatenate([y for _, y in found] or [np.zeros(0, np.uint64)]).view(np.int64)
+        if len(a):
+            pairs = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)]), axis=1)
+            none = pa.nulls(pairs.shape[1], pa.int64())
+            yield pa.record_batch([pa.array(pairs[0]), pa.array(pairs[1]), none, none], names=names)
+
+    def listed(held: int, entry: int, fps: np.ndarray) -> pa.RecordBatch:
+        n = len(fps)
+        own = [pa.array(np.full(n, held)), pa.array(np.full(n, entry))]
+        return pa.record_batch([pa.array(fps), pa.nulls(n, pa.int64()), *own], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
-
-        def done(mask, value, fps):
-            # Masks differ in every entry kind; equal (mask, value) is what makes an entry.
-            order = np.flatnonzero((mask[1:] != mask[:-1]) | (value[1:] != value[:-1])) + 1
-            keys = np.zeros(len(mask), np.int64)
-            keys[order] = 1
-            keys = np.cumsum(keys)
-            found, large = links_in(keys, fps.view(np.uint64), most, limit)
-            a = np.concatenate([x for x, _ in found] or [np.zeros(0, np.uint64)]).view(np.int64)
-            b = np.concatenate([y for _, y in found] or [np.zeros(0, np.uint64)]).view(np.int64)
-            if len(a):
-                pairs = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)]), axis=1)
-                none = pa.nulls(pairs.shape[1], pa.int64())
-                yield pa.record_batch([pa.array(pairs[0]), pa.array(pairs[1]), none, none], names=names)
-            for s in large:
-                n = s.stop - s.start
-                yield pa.record_batch(
-                    [pa.array(fps[s]), pa.nulls(n, pa.int64()), pa.array(mask[s]), pa.array(value[s])], names=names
-                )
-
-        names = ["a", "b", "mask", "value"]
+        # The entry that the last rows belong to, its rows since the last run, and whether it had a run before.
+        last, kept, long = None, np.zeros(0, np.int64), False
+
+        def closed() -> Iterator[pa.RecordBatch]:
+            yield from linked(np.zeros(len(kept), np.int64), kept)
+            if long and len(kept):
+                yield listed(*last, kept)
+
         for batch in batches:
             if not batch.num_rows:
                 continue
-            new = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
-            last = np.flatnonzero((new[0] != new[0][-1]) | (new[1] != new[1][-1]))
-            cut = int(last[-1]) + 1 if len(last) else 0
-            if held and cut == 0 and held[-1][0][-1] == new[0][0] and held[-1][1][-1] == new[1][0]:
-                held.append(new)  # still the same entry
+            held, entry, fps = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            cuts = np.flatnonzero((held[1:] != held[:-1]) | (entry[1:] != entry[:-1])) + 1
+            first, final = (int(cuts[0]), int(cuts[-1])) if len(cuts) else (len(fps), 0)
+            if last == (held[0], entry[0]):
+                kept = np.concatenate([kept, fps[:first]])
+            else:
+                yield from closed()
+                last, kept, long = (held[0], entry[0]), fps[:first], False
+            while len(kept) > limit:
+                yield from linked(np.zeros(limit, np.int64), kept[:limit])
+                yield listed(*last, kept[:limit])
+                kept, long = kept[limit:], True
+            if not len(cuts):
                 continue
-            parts = [np.concatenate(x) for x in zip(*held, [c[:cut] for c in new])]
-            if len(parts[0]):
-                yield from done(*parts)
-            held = [[c[cut:] for c in new]]
-        if held:
-            yield from done(*[np.concatenate(x) for x in zip(*held)])
-
-    sorted_rows = rows.repartition("mask", "value").sortWithinPartitions("mask", "value", "fp")
-    return mapped(sorted_rows, run, "a bigint, b bigint, mask bigint, value bigint")
-
-
-def links(nodes: DataFrame, max_bits: int = MAX_BITS, split_above: int = SPLIT_ABOVE) -> DataFrame:
-    """(a, b): enough links between distinct fingerprints to join all that are reachable over `max_bits` or fewer bits."""
+            yield from closed()
+            # Whole entries of one batch, all together but for long ones.
+            bounds = [first, *cuts[1:].tolist()]
+            small = np.ones(final - first, bool)
+            for a, b in zip(bounds, bounds[1:]):
+                if b - a > limit:
+                    small[a - first : b - first] = False
+                    for at in range(a, b, limit):
+                        part = fps[at : min(at + limit, b)]
+                        yield from linked(np.zeros(len(part), np.int64), part)
+                        yield listed(held[a], entry[a], part)
+            keys = np.zeros(final - first, np.int64)
+            keys[np.array(bounds[1:-1], np.int64) - first] = 1
+            yield from linked(np.cumsum(keys)[small], fps[first:final][small])
+            last, kept, long = (held[-1], entry[-1]), fps[final:], False
+            while len(kept) > limit:
+                yield from linked(np.zeros(limit, np.int64), kept[:limit])
+                yield listed(*last, kept[:limit])
+                kept, long = kept[limit:], True
+        if last is not None:
+            yield from closed()
+
+    sorted_rows = rows.repartition("held", "entry").sortWithinPartitions("held", "entry", "fp")
+    return mapped(sorted_rows, run, "a bigint, b bigint, held bigint, entry bigint")
+
+
+def undecided(hot: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows (held, entry, fp) of entries whose fingerprints lie in several components; others need no more links."""
+    rooted = hot.join(roots, hot.fp == roots.node, "left").select("held", "entry", "fp", F.coalesce("root", "fp").alias("root"))
+    spread = rooted.groupBy("held", "entry").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b")
+    return rooted.join(spread.select("held", "entry"), ["held", "entry"], "left_semi").select("held", "entry", "fp")
+
+
+def joined(nodes: DataFrame, max_bits: int = MAX_BITS, split_above: int = SPLIT_ABOVE) -> DataFrame:
+    """(node, root) of the fingerprints (fp) reachable from a smaller one over steps of `max_bits` or fewer bits.
+
+    Entries above `split_above` are linked run by run first. Only if their members still lie in several components are
+    they dealt out again by the bits they do not hold, and so on: every round holds more bits, until an entry of the few
+    left cannot be too large any more.
+    """
     parts = max(1, (max_bits + 2) // 2)
-    first = stored(entry_links(variant_rows(nodes, parts), max_bits, split_above), "links")
-    hot = first.where("b is null").select("mask", "value", F.col("a").alias("fp"))
-    rest = entry_links(split_rows(hot, parts), max_bits, None).select("a", "b")
-    return first.where("b is not null").select("a", "b").union(rest)
+    rows, roots, limit = variant_rows(nodes.select("fp"), parts), None, split_above
+    while True:
+        found = stored(entry_links(rows, max_bits, limit), "links")
+        links = found.where("b is not null").select("a", "b")
+        roots = components(links if roots is None else links.union(roots.select("node", "root")))
+        hot = found.where("b is null").select("held", "entry", F.col("a").alias("fp"))
+        if hot.isEmpty():
+            return roots
+        hot = stored(undecided(hot, roots), "undecided")
+        if hot.isEmpty():
+            return roots
+        # An entry with more rows than this has two bits at least for each part, so the next round holds more of them.
+        rows, limit = split_rows(hot, parts), max(split_above, 4**parts)
 
 
 def _grouped(docs: DataFrame, shingle_words: int, max_bits: int, split_above: int) -> DataFrame:
     """doc_id, mark, fp, root (of the fingerprint's component), component_id for each row of `docs`."""
     prints = stored(fingerprints(docs, shingle_words), "simhash")
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(links(nodes.select("fp"), max_bits, split_above))
+    roots = joined(nodes, max_bits, split_above)
     member = nodes.join(roots, nodes.fp == roots.node, "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )

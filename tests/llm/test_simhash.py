@@ -83,7 +83,7 @@ def test_planted_bit_distances_are_all_found(spark):
     signed = [int(np.uint64(x).view(np.int64)) for x in fps]
     nodes = spark.createDataFrame([(x,) for x in signed], "fp bigint")
     for split_above in (4096, 9):
-        roots = dict(components(simhash.links(nodes, 4, split_above)).collect())
+        roots = dict(simhash.joined(nodes, 4, split_above).collect())
         label = {x: roots.get(int(np.uint64(x).view(np.int64)), int(np.uint64(x).view(np.int64))) for x in fps}
         left = set(fps)
         while left:
@@ -98,6 +98,51 @@ def test_planted_bit_distances_are_all_found(spark):
             assert all(label[x] != label[y] for x in list(group)[:1] for y in left)
 
 
+def signed(x):
+    return int(np.uint64(x).view(np.int64))
+
+
+def test_a_large_group_of_near_copies_is_not_dealt_out_again(spark):
+    """20,000 fingerprints within three bits of one: runs join them, so a second round has no rows."""
+    rng = random.Random(8)
+    base, fps = rng.getrandbits(64), set()
+    while len(fps) < 20_000:
+        x = base
+        for bit in rng.sample(range(64), rng.randint(0, 3)):
+            x ^= 1 << bit
+        fps.add(x)
+    nodes = spark.createDataFrame([(signed(x),) for x in fps], "fp bigint")
+    found = simhash.entry_links(simhash.variant_rows(nodes, 3), 4, 4096).persist()
+    hot = found.where("b is null").select("held", "entry", F.col("a").alias("fp"))
+    roots = components(found.where("b is not null").select("a", "b"))
+    assert hot.count() > 0
+    assert simhash.undecided(hot, roots).count() == 0
+    found.unpersist()
+    assert {r.root for r in simhash.joined(nodes).collect()} == {min(map(signed, fps))}
+
+
+@pytest.mark.parametrize("split_above", [3, 50])
+def test_entries_of_unlike_fingerprints_are_dealt_out_until_decided(spark, split_above):
+    """All fingerprints share 40 bits, so that most entries are long and hold many components."""
+    rng = random.Random(9)
+    high = rng.getrandbits(40) << 24
+    fps = {high | rng.getrandbits(24) for _ in range(400)}
+    fps |= {x ^ 1 << rng.randrange(24) for x in list(fps)[:100]}
+    nodes = spark.createDataFrame([(signed(x),) for x in fps], "fp bigint")
+    roots = dict(simhash.joined(nodes, 2, split_above).collect())
+    left = set(fps)
+    while left:
+        group, queue = set(), [left.pop()]
+        while queue:
+            x = queue.pop()
+            group.add(x)
+            near = {y for y in left if (x ^ y).bit_count() <= 2}
+            left -= near
+            queue += near
+        least = min(map(signed, group))
+        assert all(roots.get(signed(x), signed(x)) == least for x in group)
+
+
 def test_repeated_rows_null_ids_and_clashing_columns(spark, make_docs):
     rows = [(1, "a b c d e"), (1, "a b c d e"), (None, "a b c d e"), (None, "q r s t u v"), (2, "z")]
     df = make_docs(rows).withColumns({"fp": F.lit("own"), "component_id": F.lit(5)})
