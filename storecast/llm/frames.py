@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,12 +48,27 @@ def release(df: DataFrame) -> None:
 def mapped(df: DataFrame, run: Callable, schema: str) -> DataFrame:
     """`df.mapInArrow(run, schema)` in batches that stay small when texts are long.
 
-    Batches are counted in rows, so the session's setting is lowered if it is above BATCH_ROWS.
+    Batches are counted in rows, so the session's setting is lowered if it is above BATCH_ROWS. A task gives back the
+    memory it no longer needs, since Spark keeps its Python worker for later tasks.
     """
     spark = df.sparkSession
     if not 0 < int(spark.conf.get(_BATCH)) <= BATCH_ROWS:
         spark.conf.set(_BATCH, BATCH_ROWS)
-    return df.mapInArrow(run, schema)
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return df.mapInArrow(tidy, schema)
+
+
+def give_back() -> None:
+    """Return this process's free memory to the system, where its allocators can."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
 
 
 def id_or_none(name: str) -> Column:

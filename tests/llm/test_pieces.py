@@ -40,6 +40,10 @@ def test_encode_then_decode_keeps_columns(spark, make_docs):
     assert rows.columns == ["doc_id", "lang", "source", "n_chars", "extra", "tokens", "n_tokens"]
     back = pieces.decoded(rows, model)
     assert sorted((str(r.doc_id), r.text, r.extra) for r in back.collect()) == [("1", "one two", 4), ("1", "one two", 4), ("3", "", 4), ("None", "", 4)]
+    again = pieces.retold(docs, model)
+    assert again.columns == back.columns and again.dtypes == back.dtypes
+    assert sorted(map(str, again.collect())) == sorted(map(str, back.collect()))
+    assert pieces.retold(make_docs([]), model).count() == 0
     assert pieces.encoded(make_docs([]), model).count() == 0
     assert pieces.round_trip(make_docs([]), model).count() == 0
 
