@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from storecast.llm import decontaminate, pieces, quality, simhash, suffix
-from storecast.llm.frames import scratch_path, table
+from storecast.llm.frames import release, scratch_path, table
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,8 +30,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokenization(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as tokens, and the text that the tokens give back."""
-    model = pieces.load(spark, pieces.MODEL)
-    return pieces.decoded(pieces.encoded(docs, model), model)
+    return pieces.retold(docs, pieces.load(spark, pieces.MODEL))
 
 
 STAGES = [
@@ -52,5 +51,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, stage in STAGES:
         path = scratch_path(spark, f"stage-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        before, docs = docs, spark.read.parquet(path)
+        if name != STAGES[0][0]:
+            release(before)  # an earlier stage's folder, which nothing reads any more
     return docs
