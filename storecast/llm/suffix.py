@@ -440,9 +440,13 @@ def remove_repeats(
 
 
 def without_repeats(docs: DataFrame, **options) -> DataFrame:
-    """`docs` with the text that is left; characters of which any byte stays are kept whole, n_chars follows."""
-    judged_rows = remove_repeats(docs, **options)
-    columns = docs.columns
+    """`docs` with the text that is left; characters of which any byte stays are kept whole, n_chars follows.
+
+    Cases as in `remove_repeats`, but no own column is replaced.
+    """
+    columns = [c if c in ("doc_id", "text") else f"c{i}" for i, c in enumerate(docs.columns)]
+    own = docs.toDF(*columns)
+    judged_rows = remove_repeats(own, **options)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = columns.index("text")
@@ -467,8 +471,8 @@ def without_repeats(docs: DataFrame, **options) -> DataFrame:
                 names=columns,
             )
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    left = mapped(judged_rows.select(*columns, "spans"), run, schema)
-    if "n_chars" in columns:
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields)
+    left = mapped(judged_rows.select(*columns, "spans"), run, schema).toDF(*docs.columns)
+    if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return left

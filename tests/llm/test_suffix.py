@@ -132,3 +132,16 @@ def test_texts_longer_than_a_piece(make_docs):
     rows = [(1, long), (2, "x" + long[70_000:90_000] + "y"), (3, long[5:130] * 2), (4, long)]
     got = suffix.remove_repeats(make_docs(rows))
     assert spark_result(got) == brute(rows, 100)
+
+
+def test_own_column_names_of_the_input_survive(make_docs):
+    from pyspark.sql import functions as F
+
+    same = "b" * 40
+    names = ["kept", "n_bytes", "spans", "n_removed", "n_spans", "id", "pos"]
+    docs = make_docs([(1, "a" + same), (2, "c" + same)]).withColumns({c: F.lit(c) for c in names})
+    got = suffix.without_repeats(docs, length=24, gram=8)
+    assert got.dtypes == docs.dtypes
+    rows = got.collect()
+    assert all(r[c] == c for r in rows for c in names)
+    assert {r.doc_id: r.n_chars for r in rows} == {1: 2, 2: 1}
