@@ -136,15 +136,25 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> Da
 
 
 def without_spans(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """`docs` with hit words cut out, each with what follows it up to the next word. For tables with unique ids."""
-    spans = report(docs, benchmark, **options).where("n_hit > 0").select(F.col("doc_id").alias("_id"), "spans")
+    """`docs` with hit words cut out, each with what follows it up to the next word; columns are kept.
+
+    Rows that repeat a doc_id, or have none, are told apart by a hash of their text, so each is cut by its own hits.
+    """
+    marked = docs.select(F.struct("doc_id", F.md5("text").alias("mark")).alias("doc_id"), "text")
+    found = report(marked, benchmark, **options).where("n_hit > 0")
+    # Rows alike in id and text have the same hits.
+    spans = found.select(F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.mark").alias("_mark"), "spans")
+    spans = spans.dropDuplicates(["_id", "_mark"])
+    own = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    at, text = (f"c{docs.columns.index(name)}" for name in ("doc_id", "text"))
     piece = f"{ANY_WORD}[^{ANY_WORD[1:-2]}]*"
-    lead = F.regexp_extract("text", f"^[^{ANY_WORD[1:-2]}]*", 0)
-    body = F.expr("substring(text, length(_lead) + 1)")
+    lead = F.regexp_extract(text, f"^[^{ANY_WORD[1:-2]}]*", 0)
+    body = F.expr(f"substring({text}, length(_lead) + 1)")
     cut = F.expr(
         "concat(_lead, array_join(filter(_pieces, (p, i) -> NOT exists(spans, s -> i >= s.at AND i < s.to)), ''))"
     )
-    rows = docs.join(spans, F.col("doc_id") == F.col("_id"), "left").withColumn("_lead", lead)
+    same = F.col(at).eqNullSafe(F.col("_id")) & (F.md5(text) == F.col("_mark"))
+    rows = own.join(spans, same, "left").withColumn("_lead", lead)
     rows = rows.withColumn("_pieces", F.regexp_extract_all(body, F.lit(piece), F.lit(0)))
-    text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(cut)
-    return rows.withColumn("text", text).select(*docs.columns)
+    left = F.when(F.col("spans").isNull(), F.col(text)).otherwise(cut)
+    return rows.withColumn(text, left).select(*own.columns).toDF(*docs.columns)

@@ -102,3 +102,14 @@ def test_a_very_long_text(spark, make_docs):
     docs = [(1, " ".join(words)), (2, " ".join(words[:400]))]
     got = decontaminate.report(make_docs(docs), spark.createDataFrame(items, "item_id bigint, text string")).collect()
     assert sorted((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in got) == sorted(brute(docs, items, 10))
+
+
+def test_spans_of_repeated_and_missing_ids_are_cut_row_by_row(spark, make_docs):
+    b = spark.createDataFrame([(1, "a b c")], "item_id bigint, text string")
+    rows = [(1, "x a b c p"), (1, "j k a b c"), (1, "j k a b c"), (None, "q a b c"), (None, "clean"), (1, None)]
+    docs = make_docs(rows).withColumn("spans", F.lit("own")).withColumn("_id", F.lit(5))
+    got = decontaminate.without_spans(docs, b, window=3)
+    assert got.dtypes == docs.dtypes
+    want = [(1, "x p"), (1, "j k "), (1, "j k "), (None, "q "), (None, "clean"), (1, None)]
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(want, key=str)
+    assert {r.spans for r in got.collect()} == {"own"}
