@@ -68,20 +68,23 @@ def number_in_cell(key: str, order: Sequence[str]) -> Column:
     return F.row_number().over(Window.partitionBy(key).orderBy(*order)).cast("long")
 
 
-def numbered(df: DataFrame, order: Sequence[Column], name: str = "rank") -> DataFrame:
+def numbered(
+    df: DataFrame, order: Sequence[Column], name: str = "rank", within: str | None = None
+) -> DataFrame:
     """`df` with the position of each row in the order given, from 1.
 
-    The sorted rows are written to the shared folder once, each with its place in its part of the sort; the counts of
-    the parts, one row a task, say where a part begins. Ties are split over tasks like everything else, so the order
-    should end with a key.
+    With `within`, a column of few values, positions start anew for each of them; rows are sorted by it first. The
+    sorted rows are written to the shared folder once, each with its place in its part of the sort; the counts of the
+    parts, one row a task and value, say where a part begins. Ties are split over tasks like everything else, so the
+    order should end with a key.
     """
     spark, path = df.sparkSession, scratch_path(df.sparkSession, "numbered")
-    df.orderBy(*order).withColumn("_m", F.monotonically_increasing_id()).write.parquet(path)
-    rows = spark.read.parquet(path)
-    part = F.shiftright("_m", 33)
-    counts = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    begins = counts.select("_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_begin"))
-    place = F.col("_begin") + F.col("_m").bitwiseAND(F.lit(2**33 - 1)) + 1
-    joined = rows.withColumn("_part", part).join(F.broadcast(begins), "_part")
-    return joined.select(*df.columns, place.alias(name))
+    leading = [] if within is None else [F.asc(within)]
+    df.orderBy(*leading, *order).withColumn("_m", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path).withColumn("_part", F.shiftright("_m", 33))
+    group = [] if within is None else [within]
+    counts = rows.groupBy("_part", *group).agg(F.count(F.lit(1)).alias("n"), F.min("_m").alias("_first"))
+    before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    begins = counts.select("_part", *group, "_first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_begin"))
+    joined = rows.join(F.broadcast(begins), ["_part", *group])
+    return joined.select(*df.columns, (F.col("_begin") + F.col("_m") - F.col("_first") + 1).alias(name))

@@ -270,6 +270,56 @@ def _few_ranked(df: DataFrame, *order: Column) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
 
 
+def report_sums(
+    items: DataFrame,
+    orders: DataFrame,
+    base: tuple[str | None, str | None],
+    compare: tuple[str | None, str | None],
+    recent: tuple[str | None, str | None],
+) -> DataFrame:
+    """Exact sums of every line of a known order, by product, by month and by known customer (`kind`), in one pass.
+
+    Lines join their orders once. Grouping sets sum them per product and per order, with a map-side combine; an order has
+    one month and one customer, so its row counts as one order in each of them, and no distinct count is needed.
+    """
+    zero = F.lit(0).cast("decimal(12,2)")
+    lines = items.select("order_id", "product_id", "quantity", revenue_of_line().alias("revenue")).join(
+        orders.select("order_id", "order_date", "customer_id"), "order_id"
+    )
+    of_order = ["order_id", "order_date", "customer_id"]
+    keys = ["product_id", *of_order]
+    grains = lines.groupingSets([[F.col("product_id")], [F.col(c) for c in of_order]], *keys).agg(
+        F.grouping("product_id").alias("by_order"),
+        F.sum("quantity").alias("total_quantity_sold"),
+        F.sum("revenue").alias("total_revenue"),
+        _period_quantity(base).alias("q1_quantity"),
+        _period_quantity(compare).alias("q4_quantity"),
+        F.sum(F.when(_within(*recent), F.col("quantity")).otherwise(zero)).alias("sold"),
+        F.count(F.when(_within(*recent), F.lit(1))).alias("recent_lines"),
+    )
+    text, number = F.lit(None).cast("string"), F.lit(None).cast("bigint")
+
+    def place(kind, product=number, month=text, customer=number):
+        return F.struct(
+            F.lit(kind).alias("kind"),
+            product.cast("bigint").alias("product_id"),
+            month.alias("month"),
+            customer.cast("bigint").alias("customer_id"),
+        )
+
+    in_month = place("month", month=F.date_format("order_date", "yyyy-MM"))
+    of_customer = place("customer", customer=F.col("customer_id"))
+    known = F.col("customer_id") != UNKNOWN_CUSTOMER
+    places = F.when(F.col("by_order") == 0, F.array(place("product", product=F.col("product_id"))))
+    places = places.when(known, F.array(in_month, of_customer)).otherwise(F.array(in_month))
+    measures = [c for c in grains.columns if c not in (*keys, "by_order")]
+    return (
+        grains.select(F.explode(places).alias("p"), "by_order", *measures)
+        .groupBy("p.kind", "p.product_id", "p.month", "p.customer_id")
+        .agg(*[F.sum(c).alias(c) for c in measures], F.sum(F.col("by_order").cast("bigint")).alias("total_orders"))
+    )
+
+
 def full_report(
     items: DataFrame,
     orders: DataFrame,
@@ -288,27 +338,16 @@ def full_report(
     rank is the position in the section's own order; name is that of the product, category,
     month, region or customer (with its region).
 
-    Lines are read twice, not seven times. The four product sections share one stored
-    aggregate of a row per product; the month and customer sections start from the
-    same shuffle of lines per order, which Spark reuses.
+    Lines are read and joined once. Two grouping sets sum them per product and per order, the orders count per month and
+    per customer, and what the sections start from is stored: one row per product, month and customer.
     """
-    zero = F.lit(0).cast("decimal(12,2)")
-    per_product = (
-        items.join(orders.select("order_id", "order_date"), "order_id")
-        .groupBy("product_id")
-        .agg(
-            F.sum("quantity").alias("total_quantity_sold"),
-            F.sum(revenue_of_line()).alias("total_revenue"),
-            _period_quantity(base).alias("q1_quantity"),
-            _period_quantity(compare).alias("q4_quantity"),
-            F.sum(F.when(_within(*recent), F.col("quantity")).otherwise(zero)).alias("sold"),
-            F.count(F.when(_within(*recent), F.lit(1))).alias("recent_lines"),
-        )
+    sums = report_sums(items, orders, base, compare, recent)
+    path = scratch_path(items.sparkSession, "report-sums")
+    sums.write.partitionBy("kind").parquet(path)
+    read = items.sparkSession.read.schema(sums.schema).parquet(path)
+    per_product, per_month, by_customer = (
+        read.where(F.col("kind") == kind) for kind in ("product", "month", "customer")
     )
-    # Four sections start from these: one row per product, written once.
-    path = scratch_path(items.sparkSession, "per-product")
-    per_product.write.parquet(path)
-    per_product = items.sparkSession.read.parquet(path)
     trend = per_product.select(
         "product_id",
         "q1_quantity",
@@ -333,15 +372,35 @@ def full_report(
         .orderBy(F.col("days_of_stock_remaining").asc_nulls_last(), "product_id")
         .limit(low_stock_rows)
     )
-    monthly = _monthly(order_sales(items, orders))
-    known = orders.where(F.col("customer_id") != UNKNOWN_CUSTOMER)
-    per_customer = customer_sales(order_sales(items, known))
+    monthly = per_month.select("month", _double("total_revenue"), "total_orders")
+    per_customer = by_customer.select("customer_id", "total_orders", F.col("total_revenue").alias("revenue"))
     totals = ["total_quantity_sold", "total_revenue"]
     listed = products.select("product_id", "product_name")
-    best = numbered(per_product.join(listed, "product_id"), [F.desc("total_revenue"), F.asc("product_id")])
-    changes = numbered(
-        trend.join(listed, "product_id"), [F.col("pct_change").desc_nulls_last(), F.asc("product_id")]
+    # Both long rankings take one sort. A change is rounded to one digit, so it fits the decimal.
+    kinds = dict(per_product.dtypes)
+    ranked = numbered(
+        per_product.select(
+            "product_id",
+            *totals,
+            F.col("total_revenue").cast("decimal(38,4)").alias("place"),
+            F.lit("best_sellers").alias("section"),
+            *[F.lit(None).cast("double").alias(c) for c in ("q1_quantity", "q4_quantity", "pct_change")],
+        )
+        .unionByName(
+            trend.select(
+                "product_id",
+                *[F.lit(None).cast(kinds[c]).alias(c) for c in totals],
+                F.col("pct_change").cast("decimal(38,4)").alias("place"),
+                F.lit("trend_analysis").alias("section"),
+                *[F.col(c).cast("double").alias(c) for c in ("q1_quantity", "q4_quantity", "pct_change")],
+            )
+        )
+        .join(listed, "product_id"),
+        [F.col("place").desc_nulls_last(), F.asc("product_id")],
+        within="section",
     )
+    best = ranked.where("section = 'best_sellers'")
+    changes = ranked.where("section = 'trend_analysis'")
     by_category = _category_performance(per_product, products, categories)
     top = _top_customers(per_customer, customers, top_rows)
     top = top.withColumn("named", F.concat_ws(", ", "name", "region"))

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from checks.queries import REGISTRY
 from storecast.operators import allocate, features, forecast, ranking
 from storecast.plans import reports
+from storecast.sources.retail import BASE_PERIOD, COMPARE_PERIOD
 from tests.conftest import SMALL
 
-# The only step with a Python worker: the first-fit scan over product counts.
-WITH_PYTHON = {"assemble_baskets", "flatten_orders"}
+# Retail queries whose plan has a Python worker.
+WITH_PYTHON: set[str] = set()
 # Fitting a model or writing files when called; their plans are checked elsewhere.
 EAGER = {
     "linear_regression",
@@ -182,24 +183,12 @@ def test_lines_per_order_are_shuffled_once(retail, shuffled):
     assert len(re.findall(r"Exchange hashpartitioning\(order_id", by_region)) == 2
 
 
-def test_full_report_reads_lines_twice(retail, shuffled):
-    from storecast.sources.retail import BASE_PERIOD, COMPARE_PERIOD
-
+def test_full_report_reads_lines_once(spark, retail):
+    """One scan and one join of the lines; the report itself reads stored sums only."""
+    args = (BASE_PERIOD, COMPARE_PERIOD, retail.calendar.recent)
+    sums = plan_of(reports.report_sums(retail.items, retail.orders, *args))
+    assert sums.count("lineitem.parquet") == 1 and sums.count("Expand") == 1
     report = reports.full_report(
-        retail.items,
-        retail.orders,
-        retail.products,
-        retail.categories,
-        retail.customers,
-        retail.stock,
-        BASE_PERIOD,
-        COMPARE_PERIOD,
-        retail.calendar.recent,
+        retail.items, retail.orders, retail.products, retail.categories, retail.customers, retail.stock, *args
     )
-    report.collect()
-    final = plan_of(report).split("\n+- == Initial Plan ==")[0]
-    # Three sections start from lines per order: one shuffles them, two reuse that.
-    assert len(re.findall(r"ReusedExchange \[order_id#\d+L, sum", final)) == 2
-    assert len(re.findall(r"FileScan parquet \[l_orderkey#\d+L,l_quantity", final)) == 1
-    # The four product sections read a stored aggregate; nothing stays on the executors.
-    assert "InMemoryTableScan" not in final
+    assert "lineitem" not in plan_of(report) and "orders.parquet" not in plan_of(report)
