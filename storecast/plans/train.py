@@ -25,7 +25,9 @@ from storecast.operators.models import (
 
 # Tasks of a training frame. A forest draws its samples task by task, so the number is
 # fixed and does not follow cores or rows: the same rows give the same model anywhere.
-TRAIN_TASKS = 16
+# Boosting is hundreds of short jobs and deep forests merge large statistics of every task,
+# so a frame of some 100,000 rows takes few; give more for larger ones.
+TRAIN_TASKS = 4
 
 
 def demand_grid(
@@ -87,9 +89,14 @@ def train_and_save(
     """Fit and compare all regressors and both baselines, and store the one named `keep`.
 
     Returns the metrics on the test days and the feature importance of the kept
-    model, which is a tree model.
+    model, which is a tree model. Both are worked out here, and the training frame
+    is let go.
     """
-    train, test = chronological_split(training_frame(features, series), split_date)
+    spark, frame = features.sparkSession, training_frame(features, series)
+    train, test = chronological_split(frame, split_date)
     table, fitted = compare_models(train, test, regressors, series)
     save_model(fitted[keep], path)
-    return table, feature_importance(fitted[keep], features.sparkSession, series=series)
+    # One row per model.
+    listed = spark.createDataFrame(table.collect(), table.schema).orderBy("rmse", "model")
+    frame.unpersist()
+    return listed, feature_importance(fitted[keep], spark, series=series)

@@ -43,3 +43,27 @@ def test_the_stored_forest_is_the_tuned_one(spark, monkeypatch, name):
     with pytest.raises(Fitted):
         queries.REGISTRY[name](spark, "/root/testdata/sf0.001")
     assert settings(seen[0]) == settings(models.random_forest(max_depth=6, min_leaf=5, trees=100))
+
+
+@pytest.mark.parametrize("name", ["random_forest", "gradient_boosting"])
+def test_metric_queries_give_the_errors_of_the_library(spark, retail, monkeypatch, name):
+    """On a light model of the same kind; the configurations are checked above."""
+    from pyspark.ml.evaluation import RegressionEvaluator
+
+    light = {"random_forest": models.random_forest(3, 5, 5), "gradient_boosting": models.gradient_boosting(3)}[name]
+    fit, seen = models.fit_model, []
+
+    def fitted(train, regressor, *args):
+        seen.append((regressor, fit(train, light, *args)))
+        return seen[-1][1]
+
+    monkeypatch.setattr(models, "fit_model", fitted)
+    got = queries.REGISTRY[f"{name}_metrics"](spark, "/root/testdata/sf0.001").first()
+    regressor, model = seen[0]
+    wanted = {"random_forest": models.random_forest(max_depth=6, min_leaf=5), "gradient_boosting": models.gradient_boosting()}
+    assert settings(regressor) == settings(wanted[name])
+    scored = model.transform(queries._model_split(retail)[1])
+    assert got.rows == scored.count()
+    for metric in ("mae", "mse", "rmse", "r2"):
+        theirs = RegressionEvaluator(labelCol="quantity", metricName=metric).evaluate(scored)
+        assert got[metric] == pytest.approx(theirs, abs=1e-6)
