@@ -164,3 +164,33 @@ def test_a_repeated_key_stops_the_load(spark):
 def test_unknown_customer_row(spark):
     customers = append_unknown_customer(spark.createDataFrame([(1, "A", "n")], schema.CUSTOMERS))
     assert sorted(r.customer_id for r in customers.collect()) == [-1, 1]
+
+
+def test_a_load_writes_each_table_once_and_counts_on_the_way(spark, monkeypatch):
+    seen, written = {}, load._written
+
+    def spy(judged, rule, path):
+        seen[path.rsplit("/", 1)[1]] = written(judged, rule, path)
+        return seen[path.rsplit("/", 1)[1]]
+
+    monkeypatch.setattr(load, "_written", spy)
+    raw = raw_tables(spark)
+    raw["orders"] = raw["orders"].unionByName(
+        spark.createDataFrame([(9, 5, 1, "bad"), (10, 6, 44, "2025-01-09")], raw["orders"].schema)
+    )
+    path = load.load_retail(spark, scratch_path(spark, "store"), raw)
+    assert set(seen) == set(schema.RULES)
+    for name, found in seen.items():
+        for side in ("accepted", "rejected"):
+            assert load.loaded_table(spark, path, name, side).count() == found[side]
+        assert not any(n for c, n in found.items() if c.startswith("null_"))
+    assert seen["orders"]["rejected"] == 2
+    assert spark.conf.get(load._WRITERS) == "0"
+
+
+def test_a_missing_value_that_no_reason_names_stops_the_load(spark, monkeypatch):
+    monkeypatch.setattr(load, "_with_reason", lambda df, rule, parents: df.withColumn("reject_reason", F.lit(None).cast("string")))
+    raw = raw_tables(spark)
+    raw["categories"] = raw["categories"].withColumn("category_name", F.lit(None).cast("string"))
+    with pytest.raises(load.ConstraintViolation, match="null_category_name"):
+        load.load_retail(spark, scratch_path(spark, "store"), raw)
