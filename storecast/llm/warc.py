@@ -22,6 +22,10 @@ from storecast.llm.frames import mapped, scratch_path, stored
 #: Uncompressed bytes after which a frame is closed, and compressed bytes after which a bundle is.
 FRAME_BYTES = 1 << 18
 BUNDLE_BYTES = 1 << 28
+#: The tables hold no time of capture; every record has this date, so that archives of equal rows are equal.
+DATE = "2000-01-01T00:00:00Z"
+#: Seek tables of bundles that a reading task remembers.
+TABLES_HELD = 16
 LEVEL = 3
 
 # Fixed values of the public formats: seek table magic numbers and base-32 alphabet.
@@ -77,12 +81,13 @@ class Record(NamedTuple):
     refers_to: int | None
 
 
-def _urn(page_id: int | None) -> str:
-    return "<urn:page:null>" if page_id is None else f"<urn:page:{page_id}>"
+def _urn(page_id: int | None, digest: str) -> str:
+    """The id of a record: rows that share it are alike in page and payload."""
+    return f"<urn:page:{'null' if page_id is None else page_id}:{digest}>"
 
 
 def _page(urn: str) -> int | None:
-    name = urn.removeprefix("<urn:page:").removesuffix(">")
+    name = urn.removeprefix("<urn:page:").partition(":")[0]
     return None if name == "null" else int(name)
 
 
@@ -94,7 +99,8 @@ def packed(r: Record) -> bytes:
     head = [
         "WARC/1.1",
         f"WARC-Type: {'revisit' if revisit else 'response'}",
-        f"WARC-Record-ID: {_urn(r.page_id)}",
+        f"WARC-Record-ID: {_urn(r.page_id, r.digest)}",
+        f"WARC-Date: {DATE}",
         # What a header cannot hold is percent-encoded; the table keeps the URL as it was.
         f"WARC-Target-URI: {quote(r.url or '', safe=':/?#[]@!$&()*+,;=%~')}",
         "Content-Type: application/http; msgtype=response",
@@ -102,7 +108,7 @@ def packed(r: Record) -> bytes:
     ]
     if revisit:
         head += [
-            f"WARC-Refers-To: {_urn(r.refers_to)}",
+            f"WARC-Refers-To: {_urn(r.refers_to, r.digest)}",
             "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
         ]
     head.append(f"Content-Length: {len(block)}")
@@ -270,11 +276,15 @@ def read(index: DataFrame, folder: str) -> DataFrame:
         names = [f.split()[0] for f in _READ.split(", ")]
         kinds = [pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.string(), pa.string(), pa.int64()]
         opener = zstandard.ZstdDecompressor()
+        tables: dict[str, list] = {}
         for batch in batches:
             for row in batch.to_pylist():
                 with fs.open_input_file(f"{path}/{row['bundle']}") as file:
-                    table = read_seek_table(file, file.size())
-                    start, size, plain = table[row["frame"]]
+                    if row["bundle"] not in tables:
+                        if len(tables) >= TABLES_HELD:
+                            tables.clear()
+                        tables[row["bundle"]] = read_seek_table(file, file.size())
+                    start, size, plain = tables[row["bundle"]][row["frame"]]
                     if (start, size) != (row["frame_start"], row["frame_size"]):
                         raise ValueError(f"{row['bundle']}: index and seek table differ")
                     file.seek(start)

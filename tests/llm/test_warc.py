@@ -99,3 +99,19 @@ def test_digest_expression(spark):
     df = spark.createDataFrame([(b"",), (b"abc",), ("é".encode() * 999,)], "p binary")
     for r in df.select("p", warc.base32_sha1(F.col("p")).alias("d")).collect():
         assert r.d == sha(bytes(r.p))
+
+
+def test_headers_have_a_date_and_ids_that_tell_payloads_of_a_page_apart(spark, folder):
+    rows = [(1, "u", "a" * 90), (1, "u", "b" * 90), (2, "u", "a" * 90), (None, "u", "c"), (None, "u", "d")]
+    index = warc.write(spark.createDataFrame(rows, SCHEMA), folder).collect()
+    heads = []
+    for r in index:
+        path = f"{folder}/{r.bundle}"
+        with open(path, "rb") as f:
+            start, size, plain = warc.read_seek_table(f, os.path.getsize(path))[r.frame]
+            f.seek(start)
+            data = zstandard.ZstdDecompressor().decompress(f.read(size), max_output_size=plain)
+        heads.append(warc.unpacked(data[r.start : r.start + r.length])[0])
+    ids = [h["WARC-Record-ID"] for h in heads]
+    assert len(set(ids)) == len(rows) and all(h["WARC-Date"] == warc.DATE for h in heads)
+    assert all(h["WARC-Refers-To"] in ids for h in heads if h["WARC-Type"] == "revisit")
