@@ -103,3 +103,28 @@ def test_few_labels_of_one_kind(spark, make_docs):
     docs = make_docs([(i, f"text {i}") for i in range(12)])
     labels = spark.createDataFrame([(i, 1) for i in range(12)] + [(3, 0)], "doc_id bigint, quality int")
     assert all(r.score > 0.3 for r in quality.scored(docs, quality.fit(docs, labels)).collect())
+
+
+def test_a_repeat_is_seen_at_any_distance():
+    """One passage twice: the share does not depend on how far apart the copies are, but for the filler itself."""
+    import random
+
+    import numpy as np
+
+    rng = random.Random(2)
+    noise = lambda n: bytes(rng.choices(range(97, 123), k=n))
+    passage, filler = noise(4000), noise(16)
+    shares = [quality._repeats(np.frombuffer(passage + filler[:gap] + passage, np.uint8)) for gap in range(16)]
+    assert min(shares) > 0.45 and max(shares) - min(shares) < 0.01
+    assert quality._repeats(np.frombuffer(noise(8000), np.uint8)) < 0.01
+    long = np.frombuffer(passage * 300, np.uint8)  # longer than a part
+    assert quality._repeats(long) > 0.99
+
+
+def test_repeats_equal_a_plain_count():
+    import numpy as np
+
+    text = b"the cat sat on the mat and the cat sat on the hat " * 3 + b"once"
+    grams = [int.from_bytes(text[i : i + 8], "little") for i in range(len(text) - 7)]
+    kept = [g for g in grams if (g * 0x9E3779B97F4A7C15) % 2**64 >> 62 == 0]
+    assert quality._repeats(np.frombuffer(text, np.uint8)) == 1 - len(set(kept)) / len(kept)
