@@ -659,6 +659,26 @@ BODIES = {
     "append_orders": """
         SELECT customer_id, count(*) AS orders, CAST(max(order_date) AS VARCHAR) AS last_order
         FROM r_orders GROUP BY customer_id""",
+    "append_batch_twice": """
+        SELECT CASE WHEN order_id % 2 = 0 THEN 'even' ELSE 'odd' END AS batch, count(*) AS orders,
+               count(DISTINCT order_id) AS different, CAST(max(order_date) AS VARCHAR) AS last_order
+        FROM r_orders GROUP BY 1""",
+    "incremental_dedup": """
+        SELECT pos, order_id, CAST(customer_id AS VARCHAR) AS customer_id, order_date,
+               CAST(batch AS INTEGER) AS batch
+        FROM (SELECT *, CASE WHEN order_id % 3 = 0 OR pos <> order_id THEN 2 ELSE 1 END AS batch FROM raw_orders)
+        QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY batch, pos) = 1""",
+    "copied_rows": """
+        SELECT 'orders' AS table_name,
+               (SELECT count(*) FROM raw_orders)
+               - (SELECT count(*) FROM (SELECT DISTINCT order_id, customer_id, order_date FROM raw_orders)) AS duplicate_rows
+        UNION ALL
+        SELECT 'order_items',
+               (SELECT count(*) FROM raw_items) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw_items))""",
+    "date_range": """
+        SELECT CAST(min(order_date) AS VARCHAR) AS first_day, CAST(max(order_date) AS VARCHAR) AS last_day,
+               count(*) AS n
+        FROM r_orders""",
     "load_retail": f"""
         WITH enriched AS (
             SELECT p_partkey AS product_id, concat(p_name, '#', p_partkey) AS product_name,

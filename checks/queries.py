@@ -339,6 +339,53 @@ def append_orders(r):
     )
 
 
+@query
+def append_batch_twice(r):
+    """Orders appended in two batches, one of them sent twice, the first time with other rows; read back by batch."""
+    path = scratch_path(r.spark, "batches")
+    early = F.col("order_id") % 2 == 0
+    columns = r.orders.select("order_id", "customer_id", "order_date")
+    files.append_batch(columns.where(~early).limit(10), path, "odd")
+    files.append_batch(columns.where(early), path, "even")
+    files.append_batch(columns.where(~early), path, "odd")
+    back = files.read_batches(r.spark, path, columns.schema)
+    return back.groupBy("batch").agg(
+        F.count(F.lit(1)).alias("orders"),
+        F.countDistinct("order_id").alias("different"),
+        F.max("order_date").cast("string").alias("last_order"),
+    )
+
+
+@query
+def incremental_dedup(r):
+    """Raw orders in two batches: copies of the second are looked up among the keys of the first."""
+    known = f"known_{uuid.uuid4().hex}"
+    late = (F.col("order_id") % 3 == 0) | (F.col("pos") != F.col("order_id"))
+    first = quality.first_copies(r.raw_orders.where(~late), known, "order_id", ["pos"], 16)
+    second = quality.first_copies(r.raw_orders.where(late), known, "order_id", ["pos"], 16)
+    both = first.withColumn("batch", F.lit(1)).unionByName(second.withColumn("batch", F.lit(2)))
+    return as_text(both, "customer_id")
+
+
+@query
+def copied_rows(r):
+    """Full-row copies among the raw orders, and among the lines as they were exported."""
+    orders = quality.copied_rows(_raw_orders(r)).select(F.lit("orders").alias("table_name"), "duplicate_rows")
+    lines = quality.copied_rows(r.raw_items)
+    return orders.unionAll(lines.select(F.lit("order_items"), "duplicate_rows"))
+
+
+@query
+def date_range(r):
+    """First and last day and number of orders, from the footers of a written table."""
+    path = scratch_path(r.spark, "dated")
+    r.orders.select("order_id", "order_date").write.parquet(path)
+    found = files.footer_aggregate(r.spark, path, "order_date")
+    return found.select(
+        F.col("least").cast("string").alias("first_day"), F.col("greatest").cast("string").alias("last_day"), "n"
+    )
+
+
 # -- features --------------------------------------------------------------
 
 

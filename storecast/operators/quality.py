@@ -13,6 +13,14 @@ from pyspark.sql import functions as F
 
 from storecast.functions import parse_iso, repair_date, share_pct
 from storecast.schema import RULES, UNKNOWN_CUSTOMER, TableRules
+from storecast.session import stored
+from storecast.sources.files import append_table
+
+
+#: Buckets of a table of known keys; every batch is dealt out into as many parts.
+KEY_BUCKETS = 64
+#: Hashes of 16 bytes that may be sent to every task: 16 MB.
+BROADCAST_HASHES = 1 << 20
 
 
 def _total(n: Column) -> Column:
@@ -142,6 +150,55 @@ def dedup_order_items(items: DataFrame, position: str = "pos") -> DataFrame:
     return keep_first(items, ["order_item_id"], [position])
 
 
+def first_copies(
+    batch: DataFrame, known: str, key: str, order: Sequence[str], buckets: int = KEY_BUCKETS
+) -> DataFrame:
+    """Of a new batch, the first copy of each key that no earlier batch had; its keys join the known ones.
+
+    `known` names a table of the keys loaded so far, bucketed and sorted by key; it is made by the first batch. Only the
+    batch is shuffled, into as many parts as the table has buckets: the history, which grows, is read in place, bucket
+    beside part. A NULL key is a key like any other. The result is stored before the keys are appended, so a batch that
+    fails before that may simply be sent again; one that failed after it has no new keys left and returns nothing.
+    """
+    spark = batch.sparkSession
+    first = keep_first(batch, [key], order)
+    if spark.catalog.tableExists(known):
+        first = _unknown(first, spark.table(known), key, buckets)
+    kept = stored(first, "first-copies")
+    append_table(kept.select(key), known, key, buckets)
+    return kept
+
+
+def _unknown(first: DataFrame, known: DataFrame, key: str, buckets: int) -> DataFrame:
+    """Rows whose key is not known. The hint keeps Spark from shuffling the history to a number of its own."""
+    history = known.select(F.col(key).alias("__key")).where(F.col("__key").isNotNull())
+    dealt = first.repartition(buckets, key)
+    unseen = dealt.join(history.hint("merge"), F.col(key) == F.col("__key"), "left_anti")
+    if known.where(F.col(key).isNull()).isEmpty():
+        return unseen
+    return unseen.where(F.col(key).isNotNull())
+
+
+def copied_rows(df: DataFrame, hashes: Sequence[Column] | None = None) -> DataFrame:
+    """(duplicate_rows): rows beyond the first of each set of equal rows. Nulls compare equal.
+
+    Rows are counted by 128 bits of hash, so only hashes travel, and combine on the map side. Full rows are fetched only
+    for hashes that occur twice, and compared: rows that merely share a hash are not copies. Up to BROADCAST_HASHES such
+    hashes are sent to all tasks, so that no other row is moved; beyond, rows are joined by hash.
+
+    Two scans in place of one shuffle of all rows, which pays for wide rows; the profiles, over narrow ones, take the
+    shuffle, as it serves their other figures too.
+    """
+    own = [F.xxhash64(F.lit(i), *[F.col(c) for c in df.columns]) for i in (1, 2)] if hashes is None else list(hashes)
+    names = [f"__h{i}" for i in range(len(own))]
+    hashed = df.select("*", *[h.alias(n) for h, n in zip(own, names)])
+    counts = hashed.groupBy(*names).agg(F.count(F.lit(1)).alias("__n"))
+    twice = stored(counts.where(F.col("__n") > 1).drop("__n"), "repeated-hashes")
+    few = twice.count() <= BROADCAST_HASHES
+    met = hashed.join(F.broadcast(twice) if few else twice, names, "left_semi").select(*df.columns)
+    return _distinct_rows(met).agg(_total(F.col("n") - 1).alias("duplicate_rows"))
+
+
 def fix_dates(orders: DataFrame) -> DataFrame:
     """Text dates in either accepted layout become dates; others become NULL."""
     return orders.withColumn("order_date", repair_date(F.col("order_date")))

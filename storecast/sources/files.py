@@ -56,6 +56,49 @@ def append_table(
     writer.saveAsTable(table)
 
 
+def append_batch(df: DataFrame, path: str, batch: str, column: str = "batch") -> None:
+    """Append a batch to a folder so that sending it again replaces it: twice leaves one copy.
+
+    Rows lie in a partition of the batch's name, and only that partition is overwritten, when the write commits. An own
+    column of that name is replaced. An empty batch sent again leaves what was there, as it names no partition.
+    """
+    named = df.withColumn(column, F.lit(batch))
+    named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+
+
+def read_batches(spark: SparkSession, path: str, schema: T.StructType, column: str = "batch") -> DataFrame:
+    """All batches of a folder; their names come as text, in `column`."""
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField(column, T.StringType())])).parquet(path)
+
+
+def column_range(spark: SparkSession, path: str, column: str) -> tuple[Any, Any, int]:
+    """(least, greatest, rows) of a Parquet folder, from the statistics in the files' footers: no data page is read.
+
+    Spark answers such aggregates from footers only in its newer reader, which is switched on for this read. Where a
+    type has no usable statistics, or a file lacks them, the same query reads the column instead.
+    """
+    found = footer_aggregate(spark, path, column).first()
+    return found["least"], found["greatest"], found["n"]
+
+
+def footer_aggregate(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """The aggregate behind `column_range`; planned at once, while the settings hold."""
+    settings = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        rows = spark.read.parquet(path)
+        out = rows.agg(
+            F.min(column).alias("least"), F.max(column).alias("greatest"), F.count(F.lit(1)).alias("n")
+        )
+        out._jdf.queryExecution().executedPlan()  # planned now
+        return out
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def table_info(df: DataFrame) -> DataFrame:
     """Per column: position, type, non-null count, and the row count; one pass."""
     counts = df.agg(

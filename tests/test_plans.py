@@ -27,6 +27,10 @@ EAGER = {
     "csv_roundtrip",
     "scan_text_csv",
     "append_orders",
+    "append_batch_twice",
+    "incremental_dedup",
+    "random_forest_metrics",
+    "gradient_boosting_metrics",
 }
 # Ranks reports that are short by nature, and counts per task: windows over a few rows.
 SHORT_WINDOWS = {"full_report"}

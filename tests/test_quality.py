@@ -179,3 +179,68 @@ def test_dates_are_fixed_in_place(spark):
         "2025-12-31",
     ]
     assert fixed.where(F.col("order_date").isNull()).count() == 1
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_that_share_a_hash_are_no_copies(spark):
+    """A forced collision: all rows have one hash, and only equal ones count."""
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, "a"), (None, None), (None, None), (None, None)], "k int, v string")
+    forced = [F.lit(7), F.lit(7)]
+    assert quality.copied_rows(df, forced).first()[0] == quality.copied_rows(df).first()[0] == 3
+    assert quality.copied_rows(df.limit(0)).first()[0] == 0
+    assert quality.copied_rows(df.where("k = 2")).first()[0] == 0
+
+
+@pytest.mark.parametrize("few", [1 << 20, 0])
+def test_copies_beyond_what_may_be_sent_are_joined(spark, monkeypatch, shuffled, few):
+    monkeypatch.setattr(quality, "BROADCAST_HASHES", few)
+    df = spark.range(2000).select((F.col("id") % 700).alias("k"), F.lit("x").alias("v"))
+    found = quality.copied_rows(df)
+    assert found.first()[0] == 1300
+    assert ("BroadcastHashJoin" in plan_of(found)) == bool(few)
+
+
+def test_no_whole_row_is_shuffled_to_find_copies(spark):
+    """Only rows whose hash occurs twice go through the exchange on all columns."""
+    df = spark.range(5000).unionAll(spark.range(10)).select("id", F.concat(F.lit("text"), "id").alias("v"))
+    found = quality.copied_rows(df)
+    assert found.first()[0] == 10
+    plan = plan_of(found)
+    assert plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(id" in plan
+    assert plan.index("BroadcastHashJoin") > plan.index("hashpartitioning(id")  # below it: joined first
+
+
+def known_table():
+    import uuid
+
+    return f"known_{uuid.uuid4().hex}"
+
+
+def test_batches_keep_the_first_copy_of_all(spark):
+    known = known_table()
+    batches = [
+        [(1, 1, "a"), (1, 2, "b"), (2, 3, "c")],
+        [(2, 4, "late"), (3, 6, "e"), (3, 5, "d")],
+        [(None, 7, "n"), (1, 8, "late")],
+        [(None, 9, "late"), (4, 10, "f")],
+    ]
+    got = []
+    for rows_ in batches:
+        df = spark.createDataFrame(rows_, "id bigint, pos int, v string")
+        got += [tuple(r) for r in quality.first_copies(df, known, "id", ["pos"], 4).collect()]
+    assert sorted(got, key=lambda r: r[1]) == [(1, 1, "a"), (2, 3, "c"), (3, 5, "d"), (None, 7, "n"), (4, 10, "f")]
+    again = spark.createDataFrame(batches[0], "id bigint, pos int, v string")
+    assert quality.first_copies(again, known, "id", ["pos"], 4).count() == 0
+
+
+def test_the_history_is_not_shuffled(spark):
+    known = known_table()
+    quality.first_copies(spark.range(3000), known, "id", [], 8)
+    batch = spark.range(2900, 3100)
+    plan = quality._unknown(batch, spark.table(known), "id", 8)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+    assert plan.count("Exchange") == 1 and plan.index("Exchange") < plan.index("FileScan")  # above the batch only
+    assert quality.first_copies(batch, known, "id", [], 8).count() == 100

@@ -194,3 +194,32 @@ def test_a_missing_value_that_no_reason_names_stops_the_load(spark, monkeypatch)
     raw["categories"] = raw["categories"].withColumn("category_name", F.lit(None).cast("string"))
     with pytest.raises(load.ConstraintViolation, match="null_category_name"):
         load.load_retail(spark, scratch_path(spark, "store"), raw)
+
+
+def test_a_batch_sent_twice_leaves_one_copy(spark):
+    path = scratch_path(spark, "batches")
+    rows = spark.createDataFrame([(1, "old"), (2, "b")], "id int, batch string")
+    files.append_batch(rows, path, "2025-01-01")
+    files.append_batch(rows.limit(1), path, "2025-01-02")
+    files.append_batch(rows.select("id"), path, "2025-01-01")
+    files.append_batch(rows.select("id"), path, "2025-01-01")
+    files.append_batch(rows.limit(0), path, "2025-01-02")
+    back = files.read_batches(spark, path, rows.select("id").schema)
+    assert sorted(map(tuple, back.collect())) == [(1, "2025-01-01"), (1, "2025-01-02"), (2, "2025-01-01")]
+
+
+def test_ranges_come_from_footers(spark):
+    path = scratch_path(spark, "dated")
+    days = spark.range(100).select(F.date_add(F.lit("2025-01-01").cast("date"), F.col("id").cast("int")).alias("d"), "id")
+    days.repartition(3).write.parquet(path)
+    assert files.column_range(spark, path, "d") == (dt.date(2025, 1, 1), dt.date(2025, 4, 10), 100)
+    plan = files.footer_aggregate(spark, path, "d")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MIN(d), MAX(d), COUNT(*)]" in plan
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    assert "parquet" in before and spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
+def test_ranges_without_statistics_read_the_column(spark):
+    path = scratch_path(spark, "text")
+    spark.createDataFrame([("b",), (None,), ("a",)], "s string").write.parquet(path)
+    assert files.column_range(spark, path, "s") == ("a", "b", 3)
