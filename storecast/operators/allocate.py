@@ -155,7 +155,7 @@ def _last_takes_rest(shared: DataFrame, group: list[str], key: str) -> DataFrame
 
 def _largest_remainders(weighed: DataFrame, valid: DataFrame, group: list[str], key: str) -> DataFrame:
     """Shares cut to the cent; the first parts of a cell take one cent more, as many as `_spare_cents` says."""
-    block = key_block(key, bits=block_bits(weighed, key))
+    block = key_block(key, dict(weighed.dtypes)[key], block_bits(weighed, key))
     blocked = weighed.withColumn("block", block)
     cells = blocked.groupBy(*group, "weight", "w", "block").agg(F.count(F.lit(1)).alias("n"))
     lookup = _spare_cents(cells.join(valid, group), group)

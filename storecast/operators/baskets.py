@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storecast.operators.ranking import (
-    BLOCK_BITS,
     block_widths,
     cell,
     cell_counts,
@@ -132,8 +131,8 @@ def assemble_baskets(
     # Two levels: an order with very many lines is itself split by line number.
     leading = list(takewhile(lambda c: kinds[c] in BLOCKED, order))[:2]
     blocks = [f"__block{i}" for i in range(len(leading))]
-    # One aggregate tells how far the keys of all integer columns lie apart.
-    width = dict.fromkeys(leading, BLOCK_BITS) | block_widths(portions, [c for c in leading if kinds[c] != "string"])
+    # One aggregate tells how far the keys of these columns lie apart.
+    width = block_widths(portions, leading)
     blocked = portions.withColumns(
         {b: key_block(c, kinds[c], width[c]) for b, c in zip(blocks, leading)}
     )

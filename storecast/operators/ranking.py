@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from os.path import commonprefix
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,23 +14,30 @@ from storecast.session import scratch_path
 BLOCK_BITS = 16
 
 
-# Leading characters of a text key that make its block.
+# Leading characters of a text key that make its block, beyond those that all keys share.
 BLOCK_CHARACTERS = 3
 
 
 def block_widths(df: DataFrame, keys: Sequence[str]) -> dict[str, int]:
-    """Width of the blocks of integer keys, in bits: about 2^BLOCK_BITS keys to a block, dense or sparse.
+    """Width of the blocks of integer and text keys: about 2^BLOCK_BITS keys to a block, dense or sparse.
 
-    One aggregate over all keys. Keys that crowd in a part of their range make larger blocks there.
+    One aggregate over all keys. Integers: bits. Texts: leading characters, past the prefix that the least and the
+    greatest key share, one more for every tenfold of rows. Keys that crowd in a part of their range make larger blocks
+    there.
     """
     if not keys:
         return {}
+    kinds = dict(df.dtypes)
     found = df.agg(*[f(k).alias(f"{f.__name__}_{k}") for k in keys for f in (F.min, F.max, F.count)]).first()
     out = {}
     for k in keys:
         low, high, n = (found[f"{f}_{k}"] for f in ("min", "max", "count"))
         blocks = max(1, n >> BLOCK_BITS)
-        out[k] = max(0, ((high - low) // blocks).bit_length()) if n else BLOCK_BITS
+        if kinds[k] == "string":
+            shared = len(commonprefix([low, high])) if n else 0
+            out[k] = shared + max(BLOCK_CHARACTERS, len(str(blocks)))
+        else:
+            out[k] = max(0, ((high - low) // blocks).bit_length()) if n else BLOCK_BITS
     return out
 
 
@@ -39,9 +47,9 @@ def block_bits(df: DataFrame, key: str) -> int:
 
 
 def key_block(key: str, kind: str = "bigint", bits: int = BLOCK_BITS) -> Column:
-    """Block of a key that grows with it: a number for integers, leading characters for texts."""
+    """Block of a key that grows with it: a number for integers, `bits` leading characters for texts."""
     if kind == "string":
-        return F.substring(key, 1, BLOCK_CHARACTERS)
+        return F.substring(key, 1, bits)
     return F.shiftright(F.col(key).cast("long"), bits)
 
 

@@ -176,6 +176,17 @@ def test_blocks_hold_many_keys_and_are_many(spark, step):
     assert 2 <= len(blocks) <= 8 and max(r["count"] for r in blocks) <= 2 * 65536
 
 
+
+def test_text_keys_with_one_prefix_fall_into_many_blocks(spark):
+    """`ORD-000001` and so on: the first characters alone would make one block of all."""
+    keys = spark.range(200_000).select(F.format_string("ORD-%06d", "id").alias("k"))
+    width = ranking.block_bits(keys, "k")
+    blocks = keys.groupBy(ranking.key_block("k", "string", width).alias("b")).count().collect()
+    assert len(blocks) >= 4 and max(r["count"] for r in blocks) <= 1 << ranking.BLOCK_BITS
+    assert ranking.block_bits(keys.limit(0), "k") == ranking.BLOCK_CHARACTERS
+    one = spark.createDataFrame([("same",), ("same",), (None,)], "k string")
+    assert one.groupBy(ranking.key_block("k", "string", ranking.block_bits(one, "k"))).count().count() == 2
+
 def test_lines_per_order_are_shuffled_once(retail, shuffled):
     """Aggregate, join and distinct count share one partitioning of the lines."""
     plan = plan_of(reports.revenue_trends(retail.items, retail.orders))
