@@ -75,6 +75,24 @@ def id_or_none(name: str) -> Column:
     return F.coalesce(F.col(name).cast("bigint"), F.lit(NO_ID))
 
 
+#: Leading characters by which rows of one id are ordered, before a hash of the text.
+ORDER_CHARS = 64
+
+
+def told_apart(rows: DataFrame, key: Column, text: str, name: str) -> DataFrame | None:
+    """`rows` with a number of their own (`name`) that grows with `key`; None if keys are unique as they are.
+
+    Rows of one key are numbered by the first characters of their text, then by its hash; equal rows in any order. They
+    are sorted over all tasks by all of that, so a key that holds a third of the rows, or one row that is repeated as
+    often, is spread like any others. The numbered rows are stored, as a number must not change when a task is repeated.
+    """
+    if rows.groupBy(key.alias("k")).agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        return None
+    tied = rows.withColumn("_tie", F.monotonically_increasing_id())
+    place = tied.orderBy(key, F.substring(text, 1, ORDER_CHARS), F.xxhash64(text), "_tie").drop("_tie")
+    return stored(place.withColumn(name, F.monotonically_increasing_id()), "told-apart")
+
+
 def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storecast.llm.frames import id_or_none, mapped
+from storecast.llm.frames import id_or_none, mapped, told_apart
 
 #: One word in 2**PIECE_BITS ends a piece, one paragraph in 2**SECTION_BITS a section.
 PIECE_BITS = 2
@@ -207,7 +207,8 @@ def compared_with_next(docs: DataFrame) -> DataFrame:
     """Per row of `docs`: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The next document is that with the next doc_id; after the last comes the first. Null texts count as empty, null ids
-    come first, rows that share an id follow each other in the order of their texts. A document alone is its own next.
+    come first, rows that share an id follow each other in the order of their texts' first 64 characters, then of a hash;
+    an id may hold any number of rows. A document alone is its own next.
     Empty texts are alike (1). Other columns are ignored. An empty table gives an empty result.
 
     Rows are dealt into as many ranges of ids as there are shuffle partitions. A range is one sorted stream; the first
@@ -216,6 +217,9 @@ def compared_with_next(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(id_or_none("doc_id").alias("id"), F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
+    numbered = told_apart(rows, F.col("id"), "text", "_row")
+    if numbered is not None:
+        rows = numbered.select(F.col("_row").alias("id"), "doc_id", "text")
     steps = [i / tasks for i in range(1, tasks)]
     found = rows.agg(F.percentile_approx("id", steps or [0.5], 10 * tasks).alias("b")).first().b or []
     blocked = rows.withColumn("block", _block_of(F.col("id"), sorted(set(found))))
@@ -245,7 +249,7 @@ def compared_with_next(docs: DataFrame) -> DataFrame:
                 if held and held[0] != block:
                     held = None
                 if is_ahead and not held:
-                    continue  # a second row with the first id of the next range
+                    continue  # the range before it is empty
                 own = tree(text)
                 if held:
                     _, prev_id, prev_text, prev = held

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storecast.llm.frames import flat_bytes, id_or_none, mapped, release, stored
+from storecast.llm.frames import flat_bytes, id_or_none, mapped, release, stored, told_apart
 
 LENGTH = 100
 GRAM = 24
@@ -287,22 +287,16 @@ def judged(rows: DataFrame, length: int, block: int) -> DataFrame:
 
 
 def _keyed(docs: DataFrame) -> tuple[DataFrame, Column]:
-    """All columns as c0, c1 and so on, with _text and _base, and the id to compare.
+    """All columns as c0, c1 and so on, with _text and _base, and the id to compare: the row's own number if ids repeat.
 
-    Rows of one id follow each other in the order of their texts; _base is where each begins. It is 0 for all if ids
-    are unique, which one count over ids tells.
+    _base is where a row begins among those of its id: at 0, since every row has an id of its own here.
     """
     at = docs.columns.index("doc_id")
     rows = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]).withColumn("_base", F.lit(0).cast("bigint"))
     rows = rows.withColumnRenamed(f"c{docs.columns.index('text')}", "_text")
     key = id_or_none(f"c{at}")
-    if rows.groupBy(key.alias("i")).agg(F.count("*").alias("c")).where("c > 1").isEmpty():
-        return rows, key
-    before = (
-        f"sum(coalesce(octet_length(_text), 0) + 100000) OVER (PARTITION BY c{at} ORDER BY _text"
-        " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    )
-    return rows.withColumn("_base", F.coalesce(F.expr(before), F.lit(0)).cast("bigint")), key
+    numbered = told_apart(rows, key, "_text", "_row")
+    return (rows, key) if numbered is None else (numbered, F.col("_row"))
 
 
 def repeats(
@@ -386,8 +380,9 @@ def remove_repeats(
 
     A byte goes if it lies in a `length`-byte string that also starts earlier: in a smaller doc_id, or earlier in the
     same text. Judged on the input as a whole. Null texts count as empty. Null ids come first. Rows that share an id
-    follow each other in the order of their texts, so a repeated row goes as a later copy. Own columns of these names
-    are replaced; others are kept. An empty table gives an empty result.
+    follow each other in the order of their texts' first 64 characters, then of a hash, so a repeated row goes as a later
+    copy; an id may hold any number of rows. Own columns of these names are replaced; others are kept. An empty table
+    gives an empty result.
     """
     if gram % 8 or not 8 <= gram <= length:
         raise ValueError("gram: a multiple of 8, at most length")
@@ -400,7 +395,7 @@ def remove_repeats(
         .agg(F.collect_list(F.struct("pos", "n", "level", "first")).alias("_found"))
     )
     rows = keyed.join(found, own_id == F.col("id"), "left")
-    rows = rows.select(*keyed.columns, "_found")
+    rows = rows.select(*[c for c in keyed.columns if c != "_row"], "_found")
     text_at = docs.columns.index("text")
     names = docs.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)

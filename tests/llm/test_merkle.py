@@ -78,3 +78,10 @@ def test_nulls_repeats_and_clashing_columns(make_docs):
     df = make_docs(rows).withColumns({"id": F.lit("own"), "block": F.lit(1), "ahead": F.lit(2), "fingerprint": F.lit(3)})
     assert sorted((tuple(r) for r in merkle.compared_with_next(df).collect()), key=str) == brute(rows)
     assert merkle.fingerprints(df).count() == 7
+
+
+def test_a_third_of_all_rows_without_an_id(spark, make_docs):
+    rng = random.Random(12)
+    rows = [(i, prose(rng, 2)) for i in range(60)] + [(None, prose(rng, 1)) for _ in range(40)] + [(5, "the same")] * 40
+    got = merkle.compared_with_next(make_docs(rows).repartition(4)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows)

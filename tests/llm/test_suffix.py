@@ -145,3 +145,25 @@ def test_own_column_names_of_the_input_survive(make_docs):
     rows = got.collect()
     assert all(r[c] == c for r in rows for c in names)
     assert {r.doc_id: r.n_chars for r in rows} == {1: 2, 2: 1}
+
+
+def test_a_third_of_all_rows_without_an_id(spark, make_docs):
+    """They are numbered over several tasks, and judged as rows of their own."""
+    import xxhash
+
+    rows = texts(8, 80) + [(None, t) for _, t in texts(9, 40)] + [(7, "same text again and again" * 3)] * 40
+    place = lambda r: (r[0] is not None, r[0] or 0, r[1][:64], np.uint64(xxhash.xxh64_intdigest(r[1], 42)).view(np.int64))
+    numbered = {r: i for i, r in enumerate(sorted(set(rows), key=place))}
+    want: dict = {}
+    for (i, _), found in brute([(numbered[r] * 1000 + k, r[1]) for k, r in enumerate(rows)], 24).items():
+        row = next(r for r, n in numbered.items() if n == i // 1000)
+        want.setdefault(row, []).extend(found)
+    got = suffix.remove_repeats(make_docs(rows).repartition(4), length=24, gram=8)
+    assert spark_result(got) == {k: sorted(v) for k, v in want.items()}
+
+
+def test_rows_of_one_id_are_numbered_by_many_tasks(make_docs, shuffled):
+    """Also rows that are all alike; small parts are not merged here, as large ones would not be."""
+    keyed, _ = suffix._keyed(make_docs([(None, "the same text")] * 900 + [(1, "x")]).repartition(4))
+    spread = keyed.groupBy(F.shiftright("_row", 33).alias("task")).count().collect()
+    assert len(spread) > 2 and max(r["count"] for r in spread) < 450
