@@ -784,6 +784,10 @@ BODIES = {
         WHERE a.order_date > (SELECT min(order_date) FROM near_train)
         UNION ALL
         SELECT 'target_in_features', count(*), 0 FROM near_train""",
+    "product_grid": """
+        SELECT product_id, CAST(order_date AS VARCHAR) AS order_date, quantity, quantity_lag_1, quantity_lag_7,
+               quantity_rolling_7, day_of_week, month, is_weekend, is_festival_season
+        FROM panel_test""",
     "product_features": """
         SELECT product_id, count(*) AS days, sum(quantity) AS quantity, sum(lag_1) AS lag_1,
                sum(lag_7) AS lag_7, round(sum(rolling_7), 6) AS rolling_7,

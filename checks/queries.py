@@ -494,6 +494,15 @@ def leakage_checks(r):
     return features.leakage_checks(*parts, "product_id", sparse=True)
 
 
+@query
+def product_grid(r):
+    """The dense rows of every product over the test days, filled in from the days in reach of a sale."""
+    split, last = r.calendar.split, str(r.calendar.end)
+    near = features.chronological_split(features.finalize_features(_sparse_features(r)), split)[1]
+    dense = features.densified(near, r.products.select("product_id"), split, last, "product_id")
+    return as_text(dense, "order_date")
+
+
 @query
 def product_features(r):
     """Lag features of every product over every day, summed per product."""
@@ -759,9 +768,12 @@ def append_copies(r):
 # -- models ----------------------------------------------------------------
 
 
+def _model_frame(r):
+    return train.training_frame(_features(r))
+
+
 def _model_split(r):
-    kept = train.training_frame(_features(r))
-    return features.chronological_split(kept, r.calendar.split)
+    return features.chronological_split(_model_frame(r), r.calendar.split)
 
 
 def _checked(r, name, regressor, *columns):
@@ -842,15 +854,16 @@ def model_comparison(r):
 
     That is asked of the training days, where it must hold; on test days of nearly random sales it need not.
     """
-    train_rows, test_rows = _model_split(r)
-    table, fitted = models.compare_models(train_rows, test_rows, models.default_regressors())
+    rows, split = _model_frame(r), r.calendar.split
+    parts = features.chronological_split(rows, split)
+    table, fitted = models.compare_models(*parts, models.default_regressors())
     exact = table.where(F.col("model").isin("mean_baseline", "naive_lag_baseline"))
     none = F.lit(None)
     out = exact.select(
         "model", "rows", *[F.round(c, 6).alias(c) for c in ("mae", "rmse")], none.cast("boolean").alias("beats_mean")
     )
     for name, model in fitted.items():
-        checks = models.model_checks(model.transform(train_rows), model.transform(test_rows), name)
+        checks = models.comparison_checks(model.transform(rows), split, name)
         out = out.unionAll(
             checks.select("model", "rows", none.cast("double"), none.cast("double"), F.col("beats_mean") & F.col("finite"))
         )

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storecast.operators.features import FEATURES, TARGET
+from storecast.session import shared_root
 
 SEED = 42
 # Spark ML trees go no deeper than this; it stands for "no limit".
@@ -44,6 +45,22 @@ def regression_metrics(
     )
 
 
+def comparison_checks(scored: DataFrame, split_date: str, model: str, label: str = TARGET) -> DataFrame:
+    """(model, rows, finite, beats_mean) from all rows scored at once, so that a large model is sent to the tasks once.
+
+    Test rows start at `split_date`: their number, and whether their predictions are finite. On the rows before it, whether
+    the error is lower than that of their mean.
+    """
+    test = F.col("order_date") >= F.lit(split_date).cast("date")
+    y, p = F.col(label).cast("double"), F.col("prediction")
+    finite = p.isNotNull() & ~F.isnan(p) & (F.abs(p) < 1e300)
+    return scored.agg(
+        F.count(F.when(test, 1)).alias("rows"),
+        F.every(~test | finite).alias("finite"),
+        (F.avg(F.when(~test, (y - p) * (y - p))) < F.var_pop(F.when(~test, y))).alias("beats_mean"),
+    ).select(F.lit(model).alias("model"), "rows", "finite", "beats_mean")
+
+
 def model_checks(
     train_scored: DataFrame, test_scored: DataFrame, model: str, label: str = TARGET
 ) -> DataFrame:
@@ -150,6 +167,11 @@ def default_regressors() -> dict:
 
 
 def fit_model(train: DataFrame, regressor, series: str = "series") -> PipelineModel:
+    """The fitted pipeline. Deep forests and boosting go over the rows hundreds of times; with a folder to checkpoint to,
+    they cut the lineage of what they keep about each row."""
+    context = train.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_root(train.sparkSession))
     return Pipeline(stages=[*feature_stages(series), regressor]).fit(train)
 
 

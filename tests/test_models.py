@@ -174,3 +174,12 @@ def test_the_buffer_of_a_forest_fits_any_heap_and_does_not_change_it(split):
         forest = models.random_forest(max_depth=8, trees=5).setMaxMemoryInMB(mb)
         made.append(models.fit_model(split[0], forest).stages[-1].toDebugString.split("\n", 1)[1])
     assert made[0] == made[1]
+
+
+def test_checks_of_all_rows_at_once_equal_those_of_both_parts(split, forest):
+    rows = split[0].unionAll(split[1])
+    at_once = models.comparison_checks(forest.transform(rows), "2025-11-15", "forest").first()
+    parts = models.model_checks(forest.transform(split[0]), forest.transform(split[1]), "forest").first()
+    assert tuple(at_once) == (parts.model, parts.rows, parts.finite, parts.beats_mean)
+    worse = forest.transform(rows).withColumn("prediction", F.lit(1e9))
+    assert not models.comparison_checks(worse, "2025-11-15", "m").first().beats_mean
