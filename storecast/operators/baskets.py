@@ -127,6 +127,8 @@ def assemble_baskets(
     product is folded in sequence; that fold is as long as the group's product list.
     """
     group, served = list(group), [*group, product]
+    # Read for the widths of blocks, for the counts and for the numbering: what makes the portions runs once.
+    portions = stored(portions, "portions")
     kinds = dict(portions.dtypes)
     # Two levels: an order with very many lines is itself split by line number.
     leading = list(takewhile(lambda c: kinds[c] in BLOCKED, order))[:2]
