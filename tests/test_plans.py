@@ -207,3 +207,11 @@ def test_full_report_reads_lines_once(spark, retail):
         retail.items, retail.orders, retail.products, retail.categories, retail.customers, retail.stock, *args
     )
     assert "lineitem" not in plan_of(report) and "orders.parquet" not in plan_of(report)
+
+
+def test_literal_rows_go_to_every_task(spark):
+    """Twelve months as a key would deal all orders out to twelve tasks."""
+    from checks.queries import REGISTRY
+
+    plan = plan_of(REGISTRY["literal_rows"](spark, "/root/testdata/sf0.001"))
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(month" not in plan
