@@ -36,7 +36,8 @@ class WithinFit:
 
     def scored(self, rows: DataFrame) -> DataFrame:
         """`rows` with prediction; series that were not fitted have none."""
-        known = rows.join(self.effects, self.series, "left")
+        # One row per series: looked up, so that the rows need no sort.
+        known = rows.join(self.effects.hint("shuffle_hash"), self.series, "left")
         named = {f: F.col(f) for f in self.features}
         return known.select(*rows.columns, self(named).alias("prediction"))
 

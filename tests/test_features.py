@@ -155,3 +155,59 @@ def test_leaks_are_found_in_sparse_rows(spark):
     # The sale after the gap is one whose day before is not listed.
     leaky = train.withColumn("quantity_lag_1", train["quantity"])
     assert checks(leaky)["lag_1_is_previous_day"][1] >= 2
+
+
+def task_sorts(plan):
+    """What the plan sorts: columns of each Sort."""
+    return [line for line in plan.splitlines() if " Sort [" in line]
+
+
+def test_days_are_listed_after_the_only_sort(spark):
+    """The sales are sorted, not the days that follow them."""
+    sparse, *_ = sparse_and_dense(spark, {1: [1, None, 2]}, [1], 30)
+    plan = sparse._jdf.queryExecution().executedPlan().toString()
+    assert len(task_sorts(plan)) == 1
+    assert plan.index("Generate") < plan.index(" Sort [")
+
+
+def test_days_of_unknown_quantity_and_other_types(spark):
+    day = lambda i: START + dt.timedelta(days=i)
+    rows = [(1, day(0), None), (1, day(1), 2), (1, day(9), None), (None, day(3), 5), (1, None, 7)]
+    for kind, unit in (("decimal(22,2)", D("0.01")), ("int", 1), ("double", 0.5)):
+        value = lambda q: None if q is None else q if kind == "int" else q * unit  # noqa: E731, B023
+        sales = spark.createDataFrame([(s, d, value(q)) for s, d, q in rows], f"series int, order_date date, quantity {kind}")
+        got = by_place(features.sparse_features(sales, str(START), str(day(11))))
+        assert got[1, day(0)][0] is None and got[1, day(9)][0] is None
+        week = {d: got[1, day(d)][-1] for d in (7, 8, 9, 10)}
+        assert week == {d: float(value(2)) / 7 if d <= 8 else 0.0 for d in week}
+        assert got[None, day(4)][-3] == float(value(5)) and got[None, day(10)][-2] == float(value(5))
+
+
+def test_dense_features_equal_the_features_of_the_grid(spark):
+    """Members without sales or key, listed twice, sales of others and outside the calendar."""
+    sales = daily(spark, {1: [3, None, 4] + [None] * 20 + [5], 2: [None] * 8 + [9, -9], 3: [7], 9: [1, 1]})
+    end = str(START + dt.timedelta(days=18))
+    members = spark.createDataFrame([(m,) for m in (1, 2, 2, 3, 4, None, 5, 5, 5)], "series int")
+    want = features.build_features(features.complete_grid(sales, members, str(START), end))
+    got = features.dense_features(sales, members, str(START), end)
+    assert got.columns == want.columns
+    rows = lambda df: sorted(map(repr, df.collect()))
+    assert rows(got) == rows(want) and got.count() == 9 * 19
+    once = features.dense_features(sales, members.distinct(), str(START), end)
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    assert all("order_date" not in line or "__day" in line for line in task_sorts(plan.split("Union")[0]))
+
+
+def test_leaks_are_looked_up_without_a_sort(spark):
+    data = {1: [1] * 9 + [None] * 9 + [5] * 20}
+    sparse, *_ = sparse_and_dense(spark, data, [1], 38)
+    train, test = features.chronological_split(features.finalize_features(sparse), "2025-02-05")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        checked = features.leakage_checks(train, test, sparse=True)
+        plan = checked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    empty = {r.check_name: r.rows_checked for r in features.leakage_checks(train.limit(0), test, sparse=True).collect()}
+    assert empty == dict.fromkeys(("date_overlap", "lag_1_is_previous_day", "target_in_features"), 0)
