@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storecast.operators.features import (
-    build_features,
     chronological_split,
     complete_grid,
     daily_sales,
+    dense_features,
     finalize_features,
 )
 from storecast.operators.models import (
@@ -41,10 +41,9 @@ def demand_grid(
 def demand_features(
     items: DataFrame, orders: DataFrame, members: DataFrame, start: str, end: str, series: str
 ) -> DataFrame:
-    """Complete-history feature rows."""
-    return finalize_features(
-        build_features(demand_grid(items, orders, members, start, end, series), series)
-    )
+    """Complete-history feature rows of every member and day."""
+    daily = daily_sales(items, orders, series, start, end)
+    return finalize_features(dense_features(daily, members, start, end, series))
 
 
 def training_frame(
