@@ -12,6 +12,8 @@ from storecast.operators.ranking import block_bits, cell, key_block, number_in_c
 
 CENTS = "decimal(14,0)"
 DAYS_PER_YEAR = 365.0
+# Groups of at most so many parts are ranked by one window; larger ones by cells.
+WINDOW_PARTS = 1024
 # Buckets of the remainder of a share, at most so many per group.
 REMAINDER_BUCKETS = 2**20
 
@@ -103,8 +105,9 @@ def proportional_allocation(
     Group figures are combined on the map side and joined back. Keys that are structs make
     the steps after a join on the group shuffle anew, which leaves Spark free to split that
     join where one group is very large. Mode "last" needs nothing else. To rank remainders,
-    parts of a group with the same weight get the same share, so the ranking runs on
-    (group, weight, key block) cells and rows only look up their cell.
+    groups of at most WINDOW_PARTS parts take one window, in the shuffle of the join. In larger
+    ones, which one job looks for, parts with the same weight get the same share, so the ranking
+    runs on (group, weight, key block) cells and rows only look up their cell.
     """
     if mode not in ("last", "largest_remainder"):
         raise ValueError(f"unknown mode: {mode}")
@@ -114,6 +117,7 @@ def proportional_allocation(
         F.sum("w").cast("decimal(38,0)").alias("w_sum"),
         F.min(F.coalesce("w", F.lit(-1).cast(CENTS))).alias("w_min"),
         F.max(key).alias("group_last"),
+        F.count(F.lit(1)).alias("n_parts"),
     )
     priced = totals.select(*group, (F.col("total") * 100).cast(CENTS).alias("t"))
     reason = (
@@ -127,11 +131,18 @@ def proportional_allocation(
     rejected = judged.where(F.col("reason").isNotNull()).select(
         *group, (F.col("t") / 100).cast("decimal(12,2)").alias("total"), "reason"
     )
-    valid = judged.where(F.col("reason").isNull()).select(*group, "t", "w_sum", "group_last")
+    valid = judged.where(F.col("reason").isNull()).select(*group, "t", "w_sum", "group_last", "n_parts")
     if mode == "last":
         found = _last_takes_rest(weighed.join(valid, group), group, key)
     else:
-        found = _largest_remainders(weighed, valid, group, key)
+        small = F.col("n_parts") <= WINDOW_PARTS
+        found = _ranked_remainders(weighed.join(valid.where(small), group), group, key)
+        # One number: parts of the largest group.
+        most = weighed.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+        if (most or 0) > WINDOW_PARTS:
+            large = valid.where(~small)
+            held = weighed.join(large.select(*group).distinct(), group, "left_semi")
+            found = found.unionByName(_largest_remainders(held, large, group, key))
     allocated = found.select(
         *group, key, "weight", (F.col("cents").cast(CENTS) / 100).cast("decimal(12,2)").alias("allocated")
     )
@@ -153,6 +164,24 @@ def _last_takes_rest(shared: DataFrame, group: list[str], key: str) -> DataFrame
     )
 
 
+def _ranked_remainders(shared: DataFrame, group: list[str], key: str) -> DataFrame:
+    """Shares cut to the cent; the largest remainders of a group take the spare cents. For groups that a window holds."""
+    cut = shared.select(
+        *group,
+        key,
+        "weight",
+        "w",
+        "t",
+        F.expr("(t * w) div w_sum").alias("cents"),
+        F.expr("(t * w) % w_sum").alias("remainder"),
+    )
+    whole = Window.partitionBy(*group)
+    first = whole.orderBy(F.desc("remainder"), F.desc("w"), key)
+    spare = (F.max("t").over(whole) - F.sum("cents").over(whole)).cast("long")
+    added = F.when(F.row_number().over(first) <= spare, F.lit(1)).otherwise(F.lit(0))
+    return cut.select(*group, key, "weight", (F.col("cents") + added).alias("cents"))
+
+
 def _largest_remainders(weighed: DataFrame, valid: DataFrame, group: list[str], key: str) -> DataFrame:
     """Shares cut to the cent; the first parts of a cell take one cent more, as many as `_spare_cents` says."""
     block = key_block(key, dict(weighed.dtypes)[key], block_bits(weighed, key))
@@ -162,7 +191,7 @@ def _largest_remainders(weighed: DataFrame, valid: DataFrame, group: list[str],
     rows = blocked.select(*group, key, "weight", _cell_of(group).alias("cell"))
     rows = rows.withColumn("position", number_in_cell("cell", [key]))
     added = F.when(F.col("position") <= F.col("extra"), F.lit(1)).otherwise(F.lit(0))
-    return rows.join(lookup, "cell").withColumn("cents", F.col("cents") + added)
+    return rows.join(lookup, "cell").select(*group, key, "weight", (F.col("cents") + added).alias("cents"))
 
 
 def _cell_of(group: list[str]) -> Column:

@@ -149,3 +149,18 @@ def test_ground_truth_compares_directions(spark):
         1: (100.0, 20.0, True),
         2: (100.0, -20.0, False),
     }
+
+
+def test_small_groups_take_one_window_and_no_cells(spark, monkeypatch):
+    """The same amounts either way; cells are for groups beyond the bound only."""
+    rng = random.Random(11)
+    totals = [(g, rng.choice(["0.01", "0.05", "10", "99.97"])) for g in range(30)]
+    parts = [(g, k, rng.choice([1, 2, 0.5])) for g, _ in totals for k in rng.sample(range(1 << 20), rng.randint(1, 12))]
+    used = []
+    cells = allocate._largest_remainders
+    monkeypatch.setattr(allocate, "_largest_remainders", lambda *a: used.append(1) or cells(*a))
+    by_window, _ = split(spark, totals, parts, "largest_remainder")
+    assert not used
+    monkeypatch.setattr(allocate, "WINDOW_PARTS", 4)
+    mixed, _ = split(spark, totals, parts, "largest_remainder")
+    assert used and mixed == by_window and set(mixed) == {g for g, _ in totals}
