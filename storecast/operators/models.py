@@ -5,10 +5,15 @@ from __future__ import annotations
 from collections.abc import Mapping
 from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.regression import (
+    GBTRegressor,
+    LinearRegression,
+    RandomForestRegressionModel,
+    RandomForestRegressor,
+)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +23,9 @@ from storecast.session import shared_root
 SEED = 42
 # Spark ML trees go no deeper than this; it stands for "no limit".
 DEEPEST = 30
+# A deep forest is fitted as so many smaller ones side by side, of two trees at least: one tree would take no samples.
+FOREST_SHARES = 10
+SHARE_MB = 64
 
 
 def regression_metrics(
@@ -172,9 +180,41 @@ def fit_model(train: DataFrame, regressor, series: str = "series") -> PipelineMo
     context = train.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_root(train.sparkSession))
+    if isinstance(regressor, RandomForestRegressor) and regressor.getCacheNodeIds() and regressor.getNumTrees() >= 4:
+        return _fit_in_shares(train, regressor, series)
     return Pipeline(stages=[*feature_stages(series), regressor]).fit(train)
 
 
+def _fit_in_shares(train: DataFrame, regressor: RandomForestRegressor, series: str) -> PipelineModel:
+    """A deep forest as forests of some of its trees, whose mean it predicts.
+
+    Most nodes of a deep tree hold few rows, and every task sends its whole table of candidate splits for each of them. So
+    a share sees all rows in as few tasks as there are to a share, and the shares run side by side. Their samples differ by
+    seed; the rows have a fixed order, so that the model does not depend on the machine.
+    """
+    stages = Pipeline(stages=feature_stages(series)).fit(train)
+    tasks = max(1, train.rdd.getNumPartitions() // FOREST_SHARES)
+    order = [c for c in (series, "order_date") if c in train.columns]
+    rows = stages.transform(train).repartition(tasks, *order).sortWithinPartitions(*order)
+    label, out, trees = regressor.getLabelCol(), regressor.getPredictionCol(), regressor.getNumTrees()
+    rows = rows.select(label, "features").persist(StorageLevel.MEMORY_AND_DISK)
+    shares = min(FOREST_SHARES, trees // 2)
+    sizes = [trees // shares + (i < trees % shares) for i in range(shares)]
+
+    def fit(i: int):
+        own = {regressor.numTrees: sizes[i], regressor.seed: regressor.getSeed() + i}
+        own |= {regressor.predictionCol: f"__share_{i}", regressor.maxMemoryInMB: SHARE_MB}
+        return regressor.copy(own).fit(rows)
+
+    with ThreadPool(shares) as pool:
+        fitted = pool.map(inheritable_thread_target(train.sparkSession)(fit), range(shares))
+    rows.unpersist()
+    parts = ", ".join(f"__share_{i}" for i in range(shares))
+    total = " + ".join(f"{n} * __share_{i}" for i, n in enumerate(sizes))
+    mean = SQLTransformer(statement=f"SELECT * EXCEPT ({parts}), ({total}) / {trees}.0D AS {out} FROM __THIS__")
+    return PipelineModel([*stages.stages, *fitted, mean])
+
+
 def compare_models(
     train: DataFrame,
     test: DataFrame,
@@ -213,7 +253,10 @@ def feature_importance(
 
     One number per feature and series comes to the driver, as the model itself does.
     """
-    weights = model.stages[-1].featureImportances.toArray()
+    # A forest fitted in shares: their mean by trees.
+    forests = [m for m in model.stages if isinstance(m, RandomForestRegressionModel)] or [model.stages[-1]]
+    weights = sum(m.featureImportances.toArray() * m.getNumTrees for m in forests) if len(forests) > 1 else None
+    weights = forests[0].featureImportances.toArray() if weights is None else weights / weights.sum()
     rows = [(name, float(w)) for name, w in zip(feature_names(model, series), weights)]
     listed = spark.createDataFrame(rows, "feature string, importance double")
     ordered = listed.orderBy(F.desc("importance"), "feature")

@@ -183,3 +183,24 @@ def test_checks_of_all_rows_at_once_equal_those_of_both_parts(split, forest):
     assert tuple(at_once) == (parts.model, parts.rows, parts.finite, parts.beats_mean)
     worse = forest.transform(rows).withColumn("prediction", F.lit(1e9))
     assert not models.comparison_checks(worse, "2025-11-15", "m").first().beats_mean
+
+
+def test_a_deep_forest_is_fitted_in_shares(spark, split):
+    """All trees, unlimited, each on its own samples; the prediction is the mean over all of them, stored or not."""
+    from pyspark.ml.regression import RandomForestRegressionModel
+
+    train, test = split
+    model = models.fit_model(train, models.random_forest(trees=9))
+    shares = [m for m in model.stages if isinstance(m, RandomForestRegressionModel)]
+    assert sum(m.getNumTrees for m in shares) == 9 and all(m.getNumTrees >= 2 for m in shares)
+    assert {m.getMaxDepth() for m in shares} == {models.DEEPEST}
+    trees = [t for m in shares for t in m.trees]
+    assert len({t.toDebugString.split("\n", 1)[1] for t in trees}) == 9
+    scored = model.transform(test.orderBy("series", "order_date"))
+    assert not [c for c in scored.columns if c.startswith("__share")]
+    for r in scored.limit(20).collect():
+        assert r.prediction == pytest.approx(sum(t.predict(r.features) for t in trees) / 9)
+    weights = models.feature_importance(model, spark, top=None).collect()
+    assert sum(w.importance for w in weights) == pytest.approx(1.0) and min(w.importance for w in weights) >= 0
+    again = models.fit_model(train, models.random_forest(trees=9)).transform(test)
+    assert again.exceptAll(model.transform(test)).count() == 0
