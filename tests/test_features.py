@@ -211,3 +211,37 @@ def test_leaks_are_looked_up_without_a_sort(spark):
     assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
     empty = {r.check_name: r.rows_checked for r in features.leakage_checks(train.limit(0), test, sparse=True).collect()}
     assert empty == dict.fromkeys(("date_overlap", "lag_1_is_previous_day", "target_in_features"), 0)
+
+
+def sold(spark):
+    """Repeated lines and orders, keys and quantities without value, orders without lines, lines without orders."""
+    lines = [(o, s, q) for o in range(40) for s in (1, 2, o % 7, None) for q in (D("1.50"), None)] + [(None, 1, D(2)), (99, 1, D(3))]
+    dates = [(o, START + dt.timedelta(days=o % 9)) for o in range(60)] + [(3, START), (5, None), (None, START)]
+    return (
+        spark.createDataFrame(lines, "order_id int, product_id int, quantity decimal(12,2)"),
+        spark.createDataFrame(dates, "order_id int, order_date date"),
+    )
+
+
+def test_sales_by_series_are_the_daily_sales_in_tasks_of_bounded_size(spark, monkeypatch):
+    items, orders = sold(spark)
+    rows = lambda df: sorted(map(repr, df.collect()))
+    for days in ((None, None), ("2025-01-02", "2025-01-05")):
+        want, got = (f(items, orders, "product_id", *days) for f in (features.daily_sales, features.sales_by_series))
+        assert got.schema == want.schema and rows(got) == rows(want)
+    monkeypatch.setattr(features, "ROWS_PER_TASK", 10)
+    dealt = features.sales_by_series(items, orders)
+    assert dealt.rdd.getNumPartitions() == -(-items.count() // 10)
+
+
+def test_sales_by_series_are_windowed_without_another_shuffle(spark, shuffled):
+    """Lines are neither sorted nor summed by the tasks that join them; a window takes the sales as they are dealt out."""
+    items, orders = sold(spark)
+    sparse = features.sparse_features(features.sales_by_series(items, orders), str(START), "2025-01-09", "product_id")
+    plan = sparse._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan and len(task_sorts(plan)) == 1
+    assert plan.count("Exchange") == 4
+    lines = plan.splitlines()
+    aggregates = [i for i, line in enumerate(lines) if "HashAggregate" in line]
+    assert max(aggregates) < next(i for i, line in enumerate(lines) if "ShuffledHashJoin" in line)
+    assert all("Exchange" not in line for line in lines[aggregates[0] : aggregates[-1]])
