@@ -245,3 +245,19 @@ def test_sales_by_series_are_windowed_without_another_shuffle(spark, shuffled):
     aggregates = [i for i, line in enumerate(lines) if "HashAggregate" in line]
     assert max(aggregates) < next(i for i, line in enumerate(lines) if "ShuffledHashJoin" in line)
     assert all("Exchange" not in line for line in lines[aggregates[0] : aggregates[-1]])
+
+
+def test_densified_rows_are_filled_in_without_a_shuffle_of_days(spark, shuffled):
+    """Members listed twice, without sales or key; what is not known counts as zero."""
+    items, orders = sold(spark)
+    members = spark.createDataFrame([(m,) for m in (1, 2, 2, 8, None)], "product_id int")
+    daily = features.sales_by_series(items, orders)
+    end = "2025-01-16"
+    sparse = features.finalize_features(features.sparse_features(daily, str(START), end, "product_id"))
+    got = features.densified(sparse, members, "2025-01-08", end, "product_id")
+    grid = features.build_features(features.complete_grid(daily, members.distinct(), str(START), end, "product_id"), "product_id")
+    dense = grid.where("order_date >= '2025-01-08'").join(members, "product_id")
+    rows = lambda df: sorted(repr(r) for r in df.where("product_id is not null").select(got.columns).fillna(0.0, "quantity").collect())
+    assert rows(got) == rows(dense) and got.count() == 5 * 9
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert all("order_date" not in line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "REPARTITION" not in line and "order_id" not in line)
