@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -20,6 +21,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Text bytes encoded at once.
 BATCH_BYTES = 1 << 19
+#: Tokens looked up at once; the indices of their bytes take some 60 bytes a token.
+DECODED_AT_ONCE = 1 << 17
 THREADS = 2
 
 # Fixed values of the public model format: field numbers, kinds of pieces and of models.
@@ -144,11 +147,59 @@ def load(spark: SparkSession, path: str = MODEL):
         return spark.sparkContext.broadcast(build(Model.parse(f.read())).to_str())
 
 
-_TOKENIZERS: dict[int, object] = {}
+class Decoder:
+    """`tokenizer.decode_batch` for tokenizers made by `build`, by a table of token bytes.
+
+    Pieces are valid text, so only runs of byte tokens can fail to be. Whether one does shows in the whole text: no
+    character begins in a piece and ends in a byte token, or the other way round. Such texts are left to the library.
+    """
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+        listed = range(max(tokenizer.get_vocab(with_added_tokens=True).values(), default=-1) + 1)
+        texts = [self._bytes_of(tokenizer.id_to_token(i) or "") for i in listed]
+        self.data = np.frombuffer(b"".join(texts), np.uint8)
+        self.starts = np.cumsum([0, *map(len, texts)])
+        self.strips = tokenizer.decoder.decode([f"{SPACE}a"]) == "a"
+
+    @staticmethod
+    def _bytes_of(token: str) -> bytes:
+        token = token.replace(SPACE, " ")
+        byte = re.fullmatch("<0x([0-9A-Fa-f]{2})>", token)
+        return bytes([int(byte[1], 16)]) if byte else token.encode()
+
+    def _joined(self, ids: np.ndarray) -> bytes:
+        out = []
+        for at in range(0, len(ids), DECODED_AT_ONCE):
+            part = ids[at : at + DECODED_AT_ONCE]
+            first, sizes = self.starts[part], self.starts[part + 1] - self.starts[part]
+            before = np.cumsum(sizes) - sizes
+            out.append(self.data[np.repeat(first - before, sizes) + np.arange(sizes.sum())].tobytes())
+        return b"".join(out)
+
+    def __call__(self, ids: list[np.ndarray]) -> list[str]:
+        """The texts behind the ids of each text; ids are the tokenizer's own."""
+        if not ids:
+            return []
+        whole = np.concatenate(ids)
+        # Bytes up to the end of each text.
+        ends = np.concatenate(([0], np.cumsum(np.diff(self.starts)[whole])))[np.cumsum([len(x) for x in ids])]
+        data, out, at = self._joined(whole), [], 0
+        for own, end in zip(ids, ends.tolist()):
+            try:
+                text = data[at:end].decode()
+                out.append(text[1:] if self.strips and text.startswith(" ") else text)
+            except UnicodeDecodeError:
+                out.append(self.tokenizer.decode(own.tolist(), skip_special_tokens=False))
+            at = end
+        return out
+
+
+_TOKENIZERS: dict[int, tuple] = {}
 
 
 def _tokenizer(shared):
-    """One tokenizer in each Python worker."""
+    """One tokenizer, and the decoder of its tokens, in each Python worker."""
     os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
     os.environ["TOKENIZERS_PARALLELISM"] = "true"
     from tokenizers import Tokenizer
@@ -156,7 +207,8 @@ def _tokenizer(shared):
     key = hash(shared.value)
     if key not in _TOKENIZERS:
         _TOKENIZERS.clear()
-        _TOKENIZERS[key] = Tokenizer.from_str(shared.value)
+        tokenizer = Tokenizer.from_str(shared.value)
+        _TOKENIZERS[key] = tokenizer, Decoder(tokenizer)
     return _TOKENIZERS[key]
 
 
@@ -175,10 +227,6 @@ def _encoded_parts(tokenizer, column: pa.Array) -> Iterator[tuple[int, list[np.n
         at += n
 
 
-def _decode(tokenizer, ids: list[np.ndarray]) -> pa.Array:
-    return pa.array(tokenizer.decode_batch([x.tolist() for x in ids], skip_special_tokens=False), pa.string())
-
-
 def _token_lists(ids: list[np.ndarray]) -> tuple[pa.Array, pa.Array]:
     sizes = np.array([len(x) for x in ids], np.int64)
     ends = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
@@ -207,7 +255,7 @@ def encoded(docs: DataFrame, model, keep: list[str] | None = None) -> DataFrame:
     keep = [c for c in (keep or docs.columns) if c not in ("text", "tokens", "n_tokens")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(model)
+        tokenizer, _ = _tokenizer(model)
         for batch in batches:
             at = 0
             for texts in _pieces_of(batch.column(len(keep)).to_pylist(), BATCH_BYTES):
@@ -226,7 +274,7 @@ def decoded(rows: DataFrame, model) -> DataFrame:
     keep = [c for c in rows.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(model)
+        tokenizer, _ = _tokenizer(model)
         for batch in batches:
             tokens = [t or [] for t in batch.column(keep.index("tokens")).to_pylist()]
             texts = tokenizer.decode_batch(tokens, skip_special_tokens=False)
@@ -246,11 +294,11 @@ def retold(docs: DataFrame, model) -> DataFrame:
     names = [*keep, "tokens", "n_tokens", "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(model)
+        tokenizer, decode = _tokenizer(model)
         for batch in batches:
             for at, ids in _encoded_parts(tokenizer, batch.column(len(keep))):
                 own = [c.slice(at, len(ids)) for c in batch.columns[: len(keep)]]
-                yield pa.record_batch([*own, *_token_lists(ids), _decode(tokenizer, ids)], names=names)
+                yield pa.record_batch([*own, *_token_lists(ids), pa.array(decode(ids), pa.string())], names=names)
 
     own = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     schema = ", ".join([*(f"`{c}` {own[c]}" for c in keep), "tokens array<int>, n_tokens bigint, text string"])
@@ -264,12 +312,12 @@ def round_trip(docs: DataFrame, model) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(model)
+        tokenizer, decode = _tokenizer(model)
         for batch in batches:
             at = 0
             for texts in _pieces_of(batch.column(1).to_pylist(), BATCH_BYTES):
                 ids = _encode(tokenizer, texts)
-                back = tokenizer.decode_batch([x.tolist() for x in ids], skip_special_tokens=False)
+                back = decode(ids)
                 same = pa.array([a == b for a, b in zip(texts, back)])
                 tokens, sizes = _token_lists(ids)
                 own = [batch.column(0).slice(at, len(texts)), sizes, tokens, pa.array(back, pa.string()), same]

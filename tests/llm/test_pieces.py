@@ -48,6 +48,46 @@ def test_encode_then_decode_keeps_columns(spark, make_docs):
     assert pieces.round_trip(make_docs([]), model).count() == 0
 
 
+def library_and_table(model):
+    """The tokenizer as its workers have it, and its decoder by table."""
+    tokenizer = pieces.build(model)
+    return tokenizer, pieces.Decoder(tokenizer)
+
+
+def test_decoding_by_table_equals_the_library(monkeypatch):
+    """Any ids: runs of byte tokens that are or are not text, at pieces' ends, spaces in front, no ids at all."""
+    with open(pieces.MODEL, "rb") as f:
+        model = pieces.Model.parse(f.read())
+    tokenizer, decode = library_and_table(model)
+    rng, n = random.Random(5), len(model.pieces)
+    byte = [i for i, p in enumerate(model.pieces) if p[2] == pieces.BYTE]
+    high = [byte[b] for b in "é🙂日".encode()]
+    ids = [[], [byte[32], byte[32]], high, high[:3], high[1:], [*high[:1], 300, *high[1:2]], [0, 1, 2]]
+    for k in range(300):
+        pool = [range(n), byte, [*high, 400, *byte[8:40]]][k % 3]
+        ids.append([rng.choice(pool) for _ in range(rng.randint(1, 30))])
+    want = tokenizer.decode_batch(ids, skip_special_tokens=False)
+    arrays = [pieces.np.array(x, pieces.np.int32) for x in ids]
+    assert decode(arrays) == want and "\ufffd" in "".join(want)
+    monkeypatch.setattr(pieces, "DECODED_AT_ONCE", 3)
+    assert decode(arrays) == want and decode([]) == [] and decode(arrays[:1]) == [""]
+
+
+@pytest.mark.parametrize("add_prefix", [True, False])
+def test_decoding_by_table_of_models_without_byte_tokens(add_prefix):
+    tokenizer, decode = library_and_table(pieces.Model.parse(unigram_model(False, add_prefix, False)))
+    ids = [tokenizer.encode(t, add_special_tokens=False).ids for t in ("a  b", " ab", "", "z zz", "abc cd")]
+    assert decode([pieces.np.array(x, pieces.np.int32) for x in ids]) == tokenizer.decode_batch(ids, skip_special_tokens=False)
+
+
+def test_round_trip_leaves_only_broken_texts_to_the_library(monkeypatch):
+    with open(pieces.MODEL, "rb") as f:
+        tokenizer, decode = library_and_table(pieces.Model.parse(f.read()))
+    ids = [pieces.np.array(tokenizer.encode(t, add_special_tokens=False).ids, pieces.np.int32) for t in ODD]
+    decode.tokenizer = None  # any call fails
+    assert decode(ids)[2:4] == ["▁x".replace("▁", " "), "  "]
+
+
 def varint(n):
     out = b""
     while n > 0x7F:
