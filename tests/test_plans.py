@@ -143,6 +143,14 @@ def test_hot_order_is_split(spark, shuffled):
     assert "skew=true" in plan_of(daily)
 
 
+def test_hot_order_is_split_where_sales_are_dealt_out(spark, shuffled):
+    items = hot_items(spark)
+    daily = features.sales_by_series(items, orders_of(spark))
+    sold = sum(r.quantity for r in daily.collect())
+    assert sold == items.agg(F.sum("quantity")).first()[0]
+    assert "skew=true" in plan_of(daily)
+
+
 def test_hot_order_reaches_the_join_as_one_row(spark, shuffled):
     per_order = reports.order_sales(hot_items(spark), orders_of(spark))
     rows = per_order.collect()
