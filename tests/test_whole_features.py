@@ -9,8 +9,9 @@ from storecast.operators import features
 
 START, DAYS = dt.date(1998, 9, 20), 60
 PRODUCTS = [1, 2, 3, 4]
-# (product, day, quantity): product 3 sells nothing, product 9 is not known, and gaps are longer than a week.
-SALES = [(1, 0, 3.0), (1, 0, 2.5), (1, 30, 4.0), (1, 59, 1.0), (2, 5, 7.0), (2, 6, 1.5), (2, 21, 2.0), (4, 58, 6.0), (9, 40, 8.0)]
+# (product, day, quantity): product 3 sells nothing, product 9 is not known, gaps are longer than a week, and a sale of
+# unknown quantity makes a day of zero, as a day without sales.
+SALES = [(1, 0, 3.0), (1, 0, 2.5), (1, 30, 4.0), (1, 59, 1.0), (2, 5, 7.0), (2, 6, 1.5), (2, 21, 2.0), (4, 58, 6.0), (9, 40, 8.0), (4, 52, None)]
 
 
 @pytest.fixture(scope="module")
@@ -33,7 +34,7 @@ def whole():
     """{(product, day): (quantity, lag 1, lag 7, rolling 7, day of week, month, weekend, season)} of the whole grid."""
     out = {}
     for p in PRODUCTS:
-        sold = [sum(q for s, d, q in SALES if (s, d) == (p, day)) for day in range(DAYS)]
+        sold = [sum(q or 0.0 for s, d, q in SALES if (s, d) == (p, day)) for day in range(DAYS)]
         for i, q in enumerate(sold):
             day = START + dt.timedelta(days=i)
             lags = sold[i - 1] if i else None, sold[i - 7] if i >= 7 else None, sum(sold[i - 7 : i]) / 7 if i >= 7 else None
